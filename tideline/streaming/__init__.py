@@ -1,0 +1,12 @@
+"""Streaming use of the row-wise operators.
+
+Nothing here is streaming-specific: calendar features, scaling, encoding and
+the inverse target are row-wise expressions, so ``add_time_features`` and
+``FeatureModel.transform`` accept a streaming DataFrame as they are.  Row-count
+frames (positions, splits, windows) are batch steps.
+"""
+
+from tideline.operators.features import FeatureModel
+from tideline.operators.select import add_time_features
+
+__all__ = ["FeatureModel", "add_time_features"]
