@@ -123,7 +123,7 @@ def build_windows(
     rows_df = df.select(*[_col(c) for c in needed], *[e.alias(n) for n, e in place.items()])
 
     if strategy == "single":
-        rows = Window.partitionBy(*keys).orderBy(*ordering)
+        rows = Window.partitionBy(*(labels if include_future else keys)).orderBy(*ordering)
         own = F.lit(True)
     else:
         chunk = chunk_rows or max(CHUNK_ROWS, 16 * (window.size + window.horizon))
