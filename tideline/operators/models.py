@@ -93,8 +93,8 @@ def make_estimator(kind: str, params: dict[str, Any] | None = None, seed: int =
 
 
 def with_label(windows: DataFrame, step: int) -> DataFrame:
-    """The target of one forecast step as the training label."""
-    return windows.withColumn(LABEL, F.col("y")[step - 1])
+    """The target of one forecast step as the training label; rows without one cannot train."""
+    return windows.withColumn(LABEL, F.col("y")[step - 1]).where(F.col(LABEL).isNotNull())
 
 
 def as_vectors(windows: DataFrame, names: Sequence[str] | None) -> DataFrame:
@@ -141,7 +141,7 @@ def fit_step(
     prefix is refitted instead of cutting a fitted model apart.
     """
     merged = merged_params(kind, params)
-    assembler = [VectorAssembler(inputCols=list(names), outputCol=FEATURES)] if names else []
+    assembler = [VectorAssembler(inputCols=list(names), outputCol=FEATURES, handleInvalid="keep")] if names else []
     estimator = make_estimator(kind, params, seed)
     model = Pipeline(stages=[*assembler, estimator]).fit(train)
     if val is None:
