@@ -113,9 +113,18 @@ def exact_quantiles(
         table = spark.createDataFrame(open_intervals, "column string, lo double, hi double, below long")
         # Bounded: a few intervals per column.
         inside = values.join(F.broadcast(table), "column").where(F.col("value").between(F.col("lo"), F.col("hi")))
-        share = (F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        # The ends have bins of their own: every pass shrinks every open interval,
+        # also one with infinite ends.
+        span = F.col("hi") / 2 - F.col("lo") / 2
+        share = (F.col("value") / 2 - F.col("lo") / 2) / span
+        place = (
+            F.when(F.col("value") == F.col("lo"), F.lit(-1))
+            .when(F.col("value") == F.col("hi"), F.lit(NARROWING_BINS + 1))
+            .when(span > 0, F.floor(share * NARROWING_BINS))
+            .otherwise(F.lit(0))
+        )
         bins = (
-            inside.groupBy("column", "lo", "hi", "below", F.floor(share * NARROWING_BINS).alias("bin"))
+            inside.groupBy("column", "lo", "hi", "below", place.alias("bin"))
             .agg(F.count("*").alias("n"), F.min("value").alias("first"), F.max("value").alias("last"))
             .orderBy("column", "lo", "hi", "below", "bin")
             .collect()
@@ -171,25 +180,48 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
     """Equal-width bins per column, empty ones included, the last one closed.
 
     (column, bin, lower, upper, count).  A constant column gets the range of one
-    around its value.
+    around its value.  Two passes: the ranges enter the second one as a scalar
+    subquery, and cells are counted inside their tasks before the shuffle.
     """
     names = _numeric(df, columns)
-    values = long_values(df, names)
-    ranges = values.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    flat = F.col("lo") == F.col("hi")
-    # One row per column of the input: bounded by the width of the table.
-    ranges = ranges.select(
-        "column",
-        F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-    )
-    at = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
+    df = nan_to_null(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in names]))
+    ranges = df.agg(
+        F.struct(
+            *[F.min(f"`{c}`").alias(f"lo{i}") for i, c in enumerate(names)],
+            *[F.max(f"`{c}`").alias(f"hi{i}") for i, c in enumerate(names)],
+        ).alias("r")
+    ).scalar()
+
+    def ends(i: int) -> tuple[Column, Column]:
+        lo, hi = ranges.getField(f"lo{i}"), ranges.getField(f"hi{i}")
+        return F.when(lo == hi, lo - 0.5).otherwise(lo), F.when(lo == hi, hi + 0.5).otherwise(hi)
+
+    def place(i: int) -> Column:
+        lo, hi = ends(i)
+        value = F.col(f"`{names[i]}`")
+        at = F.least(F.floor((value - lo) / (hi - lo) * bins), F.lit(bins - 1))
+        return F.when(value.isNotNull(), at.cast("int"))
+
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), place(i).alias("bin")) for i, c in enumerate(names)])
     counts = (
-        values.join(F.broadcast(ranges), "column")
-        .groupBy("column", F.least(at, F.lit(bins - 1)).cast("int").alias("bin"))
+        df.select(F.explode(cells).alias("e"))
+        .select("e.*")
+        .where(F.col("bin").isNotNull())
+        .groupBy("column", "bin")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    all_bins = ranges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    limits = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), ends(i)[0].alias("lo"), ends(i)[1].alias("hi"))
+            for i, c in enumerate(names)
+        ]
+    )
+    all_bins = (
+        df.sparkSession.range(1)
+        .select(F.explode(limits).alias("e"))
+        .select("e.*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        .where(F.col("lo").isNotNull())
+    )
     width = (F.col("hi") - F.col("lo")) / bins
     return all_bins.join(counts, ["column", "bin"], "left").select(
         "column",

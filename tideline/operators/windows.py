@@ -115,14 +115,16 @@ def build_windows(
     carried = [*labels, "idx"]
     if spec.time_col and spec.time_col in df.columns:
         carried.append(spec.time_col)
-    order = [c for c in spec.order_by if c in df.columns]
-    # One group per series keeps the sort of with_position usable; frames that
-    # would reach over a split border are dropped below.
-    ordering = order if strategy == "single" and len(order) == len(spec.order_by) else ["idx"]
+    # Ordering by the series order keeps the sort of with_position usable, unless
+    # scaling has replaced an order column.
+    kept_order = set(spec.order_by) <= set(df.columns) and not set(spec.order_by) & {*spec.sensors, spec.target}
+    ordering = list(spec.order_by) if kept_order else ["idx"]
     needed = list(dict.fromkeys([*carried, *inputs, spec.target, *(ordering if strategy == "single" else [])]))
     rows_df = df.select(*[_col(c) for c in needed], *[e.alias(n) for n, e in place.items()])
 
     if strategy == "single":
+        # One group per series, not per split: frames that would reach over a split
+        # border belong to windows that are dropped below.
         rows = Window.partitionBy(*(labels if include_future else keys)).orderBy(*ordering)
         own = F.lit(True)
     else:

@@ -60,7 +60,7 @@ class TrainedRun:
 
 def clean_series(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """C3 with keys and order columns left alone."""
-    return clean(df, exclude=(*spec.series_keys, *spec.order_by))
+    return clean(df, exclude=spec.reserved)
 
 
 def prepare_samples(df: DataFrame, config: RunConfig) -> Samples:

@@ -16,6 +16,9 @@ MISSING_TEXTS = (
     "nan", "null",
 )
 
+# Timestamps in text files, to the microsecond.
+_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
 
 def series_schema(spec: SeriesSpec) -> T.StructType:
     """Declared types of a raw series file: timestamp, sensors and target."""
@@ -34,7 +37,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     that is neither missing nor of the declared type fails the job.  Without
     one, types are inferred, which costs further passes over the files.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("escape", '"')
     if schema is None:
         return _infer_numbers(nan_to_null(reader.option("inferSchema", True).csv(path)))
     texts = reader.csv(path)
@@ -67,18 +70,19 @@ def _infer_numbers(df: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """S3: one CSV part per task, each with a header."""
-    df.write.mode(mode).option("header", True).csv(path)
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    writer.option("timestampNTZFormat", _TIME_FORMAT).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """One JSON object per line."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(path)
+    reader = spark.read.option("timestampNTZFormat", _TIME_FORMAT)
+    return (reader if schema is None else reader.schema(schema)).json(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """S4."""
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).option("timestampNTZFormat", _TIME_FORMAT).json(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

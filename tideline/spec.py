@@ -46,11 +46,14 @@ class SeriesSpec:
 
     @property
     def reserved(self) -> tuple[str, ...]:
-        """Keys, order columns and positions: carried along, never features."""
+        """Keys, order columns and positions: carried along, never features.
+
+        A sensor or target that also serves as a tie-breaker stays a feature.
+        """
         names = [*self.series_keys, *self.order_by, *POSITION_COLUMNS]
         if self.time_col:
             names.append(self.time_col)
-        return tuple(dict.fromkeys(names))
+        return tuple(n for n in dict.fromkeys(names) if n not in self.sensors and n != self.target)
 
     def to_dict(self) -> dict[str, Any]:
         return asdict(self)
