@@ -16,10 +16,10 @@ from tideline.operators.order import choose_strategy, chronological_split, with_
 from tideline.operators.windows import build_windows
 from tideline.plans import reports, tuning
 from tideline.plans.scoring import persistence
-from tideline.plans.training import clean_series
-from tideline.session import new_path, stage
+from tideline.plans.training import prepare_split
+from tideline.session import new_path
 from tideline.sources.runs import RUN_SCHEMA, metrics_table, read_runs, trials_only
-from tideline.spec import WindowSpec
+from tideline.spec import RunConfig, WindowSpec
 
 _H_PERSISTENCE = f"with c as ({H_CLEAN_SQL}), {persistence_ctes('select * from c', H)}"
 _Q_PERSISTENCE = f"with {persistence_ctes(L_SQL, Q)}"
@@ -29,17 +29,25 @@ def hourly_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, split, fit on training rows, scale, window, forecast "no change", restore."""
     raw = hourly(spark, sf_dir)
     strategy = choose_strategy(raw, H)
-    split = stage(chronological_split(with_position(clean_series(raw, H), H, strategy)), "split")
+    split = prepare_split(raw, RunConfig(H), strategy)
     model = FeatureModel.fit(split.where(F.col("split") == "train"), H)
     windows = build_windows(model.transform(split), H, WindowSpec(), strategy)
     columns = {"prediction": "prediction", "actual": "actual"}
     return model.inverse_target(persistence(windows).select("split", "prediction", "actual"), columns)
 
 
+def supplier_windows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Split rows of all suppliers and their windows."""
+    lines = supplier_lines(spark, sf_dir)
+    strategy = choose_strategy(lines, Q)
+    split = chronological_split(with_position(lines, Q, strategy))
+    return split, build_windows(split, Q, WindowSpec(), strategy)
+
+
 def supplier_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The forecast "no change" of the quantity of every supplier's lines."""
-    split = chronological_split(with_position(supplier_lines(spark, sf_dir), Q))
-    return persistence(build_windows(split, Q)).select("l_suppkey", "split", "idx", "prediction", "actual")
+    forecast = persistence(supplier_windows(spark, sf_dir)[1])
+    return forecast.select("l_suppkey", "split", "idx", "prediction", "actual")
 
 
 def _rounded(df: DataFrame, *labels: str) -> DataFrame:
@@ -132,7 +140,7 @@ def metrics_by_split_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check(
-    f"""{_RUNS} select run_name, "RMSE", (row_number() over (order by "RMSE", run_name))::int as rank
+    f"""{_RUNS} select run_name, "RMSE", row_number() over (order by "RMSE", run_name) as rank
     from runs where split = 'test'"""
 )
 def rank_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,8 +207,8 @@ def param_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def best_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validation errors in time order stand in for the scores of boosting rounds."""
-    split = chronological_split(with_position(supplier_lines(spark, sf_dir), Q))
-    errors = persistence(build_windows(split, Q)).where(F.col("split") == "val")
+    split, windows = supplier_windows(spark, sf_dir)
+    errors = persistence(windows).where(F.col("split") == "val")
     val_start = F.floor(F.col("n_rows") * F.lit(0.7))
     starts = split.groupBy("l_suppkey").agg(F.max("n_rows").alias("n_rows")).select("l_suppkey", val_start.alias("v"))
     history = errors.join(starts, "l_suppkey").select(

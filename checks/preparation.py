@@ -17,7 +17,7 @@ from tideline.operators.features import FeatureModel, feature_pipeline
 from tideline.operators.order import chronological_split, with_position
 from tideline.operators.scale import Scaler, scaler_table
 from tideline.operators.select import add_time_features, select_existing, split_xy
-from tideline.session import new_path
+from tideline.session import new_path, stage
 from tideline.sources.tables import read_csv, read_json, read_table, write_csv, write_json, write_table
 from tideline.spec import SeriesSpec
 
@@ -123,6 +123,11 @@ _L_SPLIT = f"with {split_ctes(L_SQL, L)} select l_suppkey, {', '.join(L_ORDER)},
 _POSITIONS = ("idx", "n_rows", "split", "pos", "split_rows")
 
 
+def _split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written, because parameters are fitted on it before it is transformed."""
+    return stage(chronological_split(with_position(supplier_lines(spark, sf_dir), L)), "split")
+
+
 @check(_L_SPLIT)
 def chronological_split_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = chronological_split(with_position(supplier_lines(spark, sf_dir), L))
@@ -186,14 +191,14 @@ def _scaled_sql(by: str) -> str:
 
 @check(_scaled_sql(""))
 def scaler_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = chronological_split(with_position(supplier_lines(spark, sf_dir), L))
+    split = _split_lines(spark, sf_dir)
     scaler = Scaler.fit(split.where(F.col("split") == "train"), _L_NUMBERS)
     return scaler.transform(split).select("l_suppkey", "idx", "split", *[rounded(c) for c in _L_NUMBERS])
 
 
 @check(_scaled_sql("l_suppkey"))
 def scaler_transform_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = chronological_split(with_position(supplier_lines(spark, sf_dir), L))
+    split = _split_lines(spark, sf_dir)
     scaler = Scaler.fit(split.where(F.col("split") == "train"), _L_NUMBERS, by=["l_suppkey"])
     return scaler.transform(split).select("l_suppkey", "idx", "split", *[rounded(c) for c in _L_NUMBERS])
 
@@ -208,7 +213,7 @@ def scaler_transform_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     + " from q"
 )
 def target_inverse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = chronological_split(with_position(supplier_lines(spark, sf_dir), L))
+    split = _split_lines(spark, sf_dir)
     model = FeatureModel.fit(split.where(F.col("split") == "train"), L)
     scaled = model.transform(split).select("l_suppkey", "idx", F.col("l_extendedprice").alias("scaled"))
     restored = model.inverse_target(scaled, {"restored": "scaled"})
@@ -253,7 +258,7 @@ def feature_transformer(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", *L_ORDER, "l_discount", "l_tax", "l_returnflag"
     )
-    split = chronological_split(with_position(lines, _FULL))
+    split = stage(chronological_split(with_position(lines, _FULL)), "split")
     out = FeatureModel.fit(split.where(F.col("split") == "train"), _FULL).transform(split)
     doubles = ("hour_sin", "hour_cos", "month_sin", "month_cos", *L.sensors, L.target)
     return out.select(

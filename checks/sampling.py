@@ -11,14 +11,21 @@ from checks.inputs import (
     calendar_sql, event_line, hourly, rounded, split_ctes, sql_round, statistics, supplier_lines, window_clause,
 )
 from tideline.operators.clean import clean
-from tideline.operators.order import chronological_split, with_position
+from tideline.operators.order import choose_strategy, chronological_split, with_position
 from tideline.operators.select import add_time_features
 from tideline.operators.windows import build_windows, industrial_names
 from tideline.spec import SeriesSpec, WindowSpec
 
 
-def _lines_split(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
-    return chronological_split(with_position(supplier_lines(spark, sf_dir), L, strategy))
+def _lines_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chronological_split(with_position(supplier_lines(spark, sf_dir), L, "ranged"))
+
+
+def _line_windows(spark: SparkSession, sf_dir: str, window: WindowSpec = WindowSpec()) -> DataFrame:
+    """Windows of all suppliers' lines, by the path that suits the longest series."""
+    lines = supplier_lines(spark, sf_dir)
+    strategy = choose_strategy(lines, L)
+    return build_windows(chronological_split(with_position(lines, L, strategy)), L, window, strategy)
 
 
 def _industrial(windows: DataFrame, spec: SeriesSpec, *extra, horizon: int = 1) -> DataFrame:
@@ -54,14 +61,14 @@ def _l_sql(mode: str = "delta", size: int = 24, horizon: int = 1, step: int = 1)
 
 @check(_l_sql())
 def windows_industrial_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = build_windows(_lines_split(spark, sf_dir), L)
+    windows = _line_windows(spark, sf_dir)
     return _industrial(windows, L, "l_suppkey", "split", "idx")
 
 
 @check(_l_sql())
 def windows_industrial_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same samples by the path for series of any length, with chunks far shorter than a series."""
-    windows = build_windows(_lines_split(spark, sf_dir, "ranged"), L, WindowSpec(), "ranged", chunk_rows=100)
+    windows = build_windows(_lines_split(spark, sf_dir), L, WindowSpec(), "ranged", chunk_rows=100)
     return _industrial(windows, L, "l_suppkey", "split", "idx")
 
 
@@ -105,8 +112,7 @@ _FLAT_COLUMNS = ("l_quantity", "l_discount", "l_tax")
 )
 def windows_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     window = WindowSpec(size=_FLAT_SIZE, feature_mode="flat")
-    split = _lines_split(spark, sf_dir).select("l_suppkey", "idx", "split", "pos", "split_rows", *_FLAT_COLUMNS, L.target)
-    windows = build_windows(split, L, window)
+    windows = _line_windows(spark, sf_dir, window)
     return windows.select("l_suppkey", "split", "idx", F.posexplode("x").alias("k", "v"))
 
 
@@ -118,20 +124,20 @@ def windows_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def windows_flat_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     window = WindowSpec(size=4, horizon=3, feature_mode="flat")
-    windows = build_windows(_lines_split(spark, sf_dir, "ranged"), L, window, "ranged", chunk_rows=50)
+    windows = build_windows(_lines_split(spark, sf_dir), L, window, "ranged", chunk_rows=50)
     ahead = [F.round(F.col("y")[j], 6).alias(f"y_{j + 1}") for j in range(3)]
     return windows.select("l_suppkey", "split", "idx", *ahead, F.round("baseline", 6).alias("baseline"))
 
 
 @check(_l_sql(step=6))
 def windows_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = build_windows(_lines_split(spark, sf_dir), L, WindowSpec(step=6))
+    windows = _line_windows(spark, sf_dir, WindowSpec(step=6))
     return _industrial(windows, L, "l_suppkey", "split", "idx")
 
 
 @check(_l_sql("absolute", horizon=3))
 def windows_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = build_windows(_lines_split(spark, sf_dir), L, WindowSpec(horizon=3, target_mode="absolute"))
+    windows = _line_windows(spark, sf_dir, WindowSpec(horizon=3, target_mode="absolute"))
     return _industrial(windows, L, "l_suppkey", "split", "idx", horizon=3)
 
 

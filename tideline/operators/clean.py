@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.missing import nan_to_null, numeric_columns
+from tideline.functions.missing import join_by_keys, nan_to_null, numeric_columns
+from tideline.session import stage
 
 
 def drop_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -24,23 +25,38 @@ def impute_mean(
     columns: Sequence[str] | None = None,
     exclude: Sequence[str] = (),
     fit_on: Column | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Replace missing numbers by the mean of their column.
 
     The means come from all rows of ``df`` or, with ``fit_on``, from the rows
     where that condition holds.  They enter the plan as a scalar subquery: one
-    pass, no driver round trip, no join.  A column without any value stays
-    missing.  Filled columns are DOUBLE.
+    pass, no driver round trip, no join.  With ``by`` each group has its own
+    means, joined from a table with one row per group.  A column without any
+    value stays missing.  Filled columns are DOUBLE.
     """
-    df = nan_to_null(df)
-    filled = list(columns) if columns is not None else numeric_columns(df, tuple(exclude))
+    return _fill(nan_to_null(df), columns, exclude, fit_on, by)
+
+
+def _fill(
+    df: DataFrame,
+    columns: Sequence[str] | None,
+    exclude: Sequence[str],
+    fit_on: Column | None,
+    by: Sequence[str],
+) -> DataFrame:
+    filled = list(columns) if columns is not None else numeric_columns(df, (*exclude, *by))
     if not filled:
         return df
     source = df if fit_on is None else df.where(fit_on)
-    means = source.agg(F.struct(*[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(filled)]).alias("m"))
-    mean = means.scalar()
+    averages = F.struct(*[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(filled)]).alias("_means")
+    if by:
+        means = stage(source.groupBy(*by).agg(averages), "means")
+        wide, mean = join_by_keys(df, means, by, ["_means"]), F.col("_means")
+    else:
+        wide, mean = df, source.agg(averages).scalar()
     position = {c: i for i, c in enumerate(filled)}
-    return df.select(
+    return wide.select(
         *[
             F.coalesce(F.col(f"`{c}`").cast("double"), mean.getField(f"m{position[c]}")).alias(c)
             if c in position
@@ -55,6 +71,16 @@ def clean(
     columns: Sequence[str] | None = None,
     exclude: Sequence[str] = (),
     fit_on: Column | None = None,
+    by: Sequence[str] = (),
+    colocate: Sequence[str] = (),
 ) -> DataFrame:
-    """Drop repeated rows, then fill gaps."""
-    return impute_mean(drop_duplicates(nan_to_null(df)), columns, exclude, fit_on)
+    """Drop repeated rows, then fill gaps.
+
+    ``colocate`` names columns to shuffle by before the rows are compared.  A
+    later step grouped by the same columns then needs no shuffle of its own;
+    use it only where no group is too large for one task.
+    """
+    df = nan_to_null(df)
+    if colocate:
+        df = df.repartition(*colocate)
+    return _fill(drop_duplicates(df), columns, exclude, fit_on, by)

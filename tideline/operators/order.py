@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.functions.missing import join_by_keys
 from tideline.session import stage
 from tideline.spec import SeriesSpec, SplitSpec
 
@@ -88,17 +89,9 @@ def _number_by_range(df: DataFrame, spec: SeriesSpec) -> DataFrame:
         ),
         "offsets",
     )
-    on = F.col("o._range") == F.col("p._range")
-    for key in keys:
-        on = on & F.col(f"o.{key}").eqNullSafe(F.col(f"p.{key}"))
-    return (
-        ordered.alias("o")
-        .join(offsets.alias("p"), on)
-        .select(
-            *[F.col(f"o.`{c}`") for c in df.columns],
-            (F.col("o._row") + F.col("p._shift")).alias("idx"),
-            F.col("p.n_rows").alias("n_rows"),
-        )
+    placed = join_by_keys(ordered, offsets, [*keys, "_range"], ["_shift", "n_rows"])
+    return placed.select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_row") + F.col("_shift")).alias("idx"), "n_rows"
     )
 
 

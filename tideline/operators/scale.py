@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.missing import numeric_columns
+from tideline.functions.missing import join_by_keys, numeric_columns
+from tideline.session import stage
 
 PARAM_COLUMNS = ("column", "mean", "scale", "n")
 
@@ -72,7 +73,7 @@ class Scaler:
     @classmethod
     def from_table(cls, table: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> "Scaler":
         if by:
-            return cls(tuple(columns), None, tuple(by), table)
+            return cls(tuple(columns), None, tuple(by), stage(table, "scaler"))
         values = {r["column"]: (r["mean"], r["scale"]) for r in table.collect()}
         return cls(tuple(columns), values)
 
@@ -98,7 +99,7 @@ class Scaler:
         params = self.table.where(F.col("column").isin(*columns)).groupBy(*self.by).agg(
             F.map_from_entries(F.collect_list(F.struct("column", F.struct("mean", "scale")))).alias("_params")
         )
-        joined = df.join(params, list(self.by), "left")
+        joined = join_by_keys(df, params, self.by, ["_params"])
         entry = {c: F.col("_params").getItem(c) for c in columns}
         return (
             joined,

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.metrics import METRICS
+from tideline.operators.order import with_position
+from tideline.spec import SeriesSpec
 
 # The metrics of a side-by-side comparison.
 COMPARED = ("RMSE", "MAE", "R2", "SMAPE")
@@ -25,9 +27,10 @@ def rank_trials(metrics: DataFrame, metric: str = "RMSE", split: str = "test", r
 
 
 def with_rank(ranked: DataFrame, metric: str, run: str = "run_name") -> DataFrame:
-    """Number the runs of a ranking from 1 (run tables are small: one row per run)."""
-    order = Window.orderBy(F.asc_nulls_last(metric), run)
-    return ranked.withColumn("rank", F.row_number().over(order))
+    """Number the runs of a ranking from 1; a missing metric counts as infinite."""
+    order = SeriesSpec(order_by=("_metric", run), target=metric, sensors=())
+    keyed = ranked.withColumn("_metric", F.coalesce(F.col(f"`{metric}`"), F.lit(float("inf"))))
+    return with_position(keyed, order).withColumn("rank", F.col("idx") + 1).drop("_metric", "idx", "n_rows")
 
 
 def comparison_matrix(

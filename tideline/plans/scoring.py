@@ -25,7 +25,8 @@ def predict(df: DataFrame, run: TrainedRun, include_future: bool = False) -> Dat
         raise RuntimeError("the run has no fitted model")
     config = run.config
     strategy = choose_strategy(df, config.series, config.strategy)
-    positioned = with_position(clean_series(df, config.series), config.series, strategy)
+    cleaned = clean_series(df, config.series, strategy, config.per_series)
+    positioned = with_position(cleaned, config.series, strategy)
     windows = build_windows(
         run.features.transform(positioned), config.series, config.window, strategy, include_future=include_future
     )

@@ -58,22 +58,42 @@ class TrainedRun:
     record: dict[str, Any]
 
 
-def clean_series(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """C3 with keys and order columns left alone."""
-    return clean(df, exclude=spec.reserved)
+def clean_series(df: DataFrame, spec: SeriesSpec, strategy: str, per_series: bool = False) -> DataFrame:
+    """C3 with keys and order columns left alone.
+
+    Where every series fits one task, rows are compared in the partitioning of
+    the series, so that cleaning and positions share one shuffle.
+    """
+    return clean(
+        df,
+        exclude=spec.reserved,
+        by=spec.series_keys if per_series else (),
+        colocate=spec.series_keys if strategy == "single" else (),
+    )
+
+
+def prepare_split(df: DataFrame, config: RunConfig, strategy: str) -> DataFrame:
+    """L11 steps 1-3: cleaned rows with position and split, written once.
+
+    The ranged path has written its rows already; the split is then only a
+    projection on them.
+    """
+    spec = config.series
+    positioned = with_position(clean_series(df, spec, strategy, config.per_series), spec, strategy)
+    split = chronological_split(positioned, config.split)
+    return stage(split, "split") if strategy == "single" else split
 
 
 def prepare_samples(df: DataFrame, config: RunConfig) -> Samples:
     """L11 steps 1-5: clean, split, fit features on training rows, build windows.
 
-    The split table and the windows are each written once; every later pass,
-    and every trial of a search, reads the windows.
+    The windows are written once; every later pass, and every trial of a search,
+    reads them.
     """
     spec = config.series
     strategy = choose_strategy(df, spec, config.strategy)
-    positioned = with_position(clean_series(df, spec), spec, strategy)
-    split = stage(chronological_split(positioned, config.split), "split")
-    features = FeatureModel.fit(split.where(F.col("split") == "train"), spec)
+    split = prepare_split(df, config, strategy)
+    features = FeatureModel.fit(split.where(F.col("split") == "train"), spec, by_series=config.per_series)
     transformed = features.transform(split)
     windows = stage(build_windows(transformed, spec, config.window, strategy), "windows", ("split",))
     return Samples(windows, features, feature_names(transformed, config), config)

@@ -16,8 +16,9 @@ MISSING_TEXTS = (
     "nan", "null",
 )
 
-# Timestamps in text files, to the microsecond.
-_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+# Timestamps in text files: written to the microsecond, read with any fraction.
+_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_TIME_INPUT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]"
 
 
 def series_schema(spec: SeriesSpec) -> T.StructType:
@@ -76,7 +77,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """One JSON object per line."""
-    reader = spark.read.option("timestampNTZFormat", _TIME_FORMAT)
+    reader = spark.read.option("timestampNTZFormat", _TIME_INPUT)
     return (reader if schema is None else reader.schema(schema)).json(path)
 
 

@@ -100,7 +100,11 @@ class WindowSpec:
 
 @dataclass(frozen=True)
 class RunConfig:
-    """Everything one training run depends on besides its data."""
+    """Everything one training run depends on besides its data.
+
+    ``per_series`` fits means and scales for each series on its own; the default
+    is one set for the whole table.
+    """
 
     series: SeriesSpec
     window: WindowSpec = WindowSpec()
@@ -108,6 +112,7 @@ class RunConfig:
     model_kind: str = "gbt_absolute"
     model_params: dict[str, Any] = field(default_factory=dict)
     use_validation: bool = True
+    per_series: bool = False
     seed: int = 42
     strategy: str = "auto"
 
