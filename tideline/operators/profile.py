@@ -149,7 +149,8 @@ def exact_quantiles(
         for p in probabilities:
             at = p * (n - 1)
             low, high = ranks[column, int(at)][0], ranks[column, min(int(at) + 1, n - 1)][0]
-            result[column].append(low + (high - low) * (at - int(at)))
+            share = at - int(at)
+            result[column].append(low + (high - low) * share if share else low)
     return result
 
 
@@ -263,6 +264,7 @@ def corr_with_target(df: DataFrame, target: str, columns: Sequence[str] | None =
 
 
 def _corr(a: str, b: str) -> Column:
-    """Correlation, NULL (not an error or NaN) where a column is constant."""
-    r = F.corr(F.col(f"`{a}`"), F.col(f"`{b}`"))
-    return F.when(~F.isnan(r), r)
+    """Correlation over the rows that have both values, NULL where one is constant there."""
+    x, y = F.col(f"`{a}`"), F.col(f"`{b}`")
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
