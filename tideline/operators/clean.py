@@ -52,9 +52,10 @@ def _fill(
     averages = F.struct(*[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(filled)]).alias("_means")
     if by:
         means = stage(source.groupBy(*by).agg(averages), "means")
-        wide, mean = join_by_keys(df, means, by, ["_means"]), F.col("_means")
+        wide = join_by_keys(df, means, by, ["_means"])
     else:
-        wide, mean = df, source.agg(averages).scalar()
+        wide = df.withColumn("_means", source.agg(averages).scalar())
+    mean = F.col("_means")
     position = {c: i for i, c in enumerate(filled)}
     return wide.select(
         *[

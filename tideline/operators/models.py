@@ -86,7 +86,6 @@ def make_estimator(kind: str, params: dict[str, Any] | None = None, seed: int =
         featureSubsetStrategy="all" if columns >= 1.0 else str(columns),
         maxBins=int(p.get("max_bins", 64)),
         maxMemoryInMB=int(p.get("max_memory_mb", 1024)),
-        cacheNodeIds=True,
         checkpointInterval=10,
         seed=int(p.get("random_state", seed)),
     )

@@ -91,26 +91,27 @@ def exact_quantiles(
 
     Each pass counts the values of the intervals that still hold a wanted rank
     in equal-width bins (combined before the shuffle) and keeps the bin with the
-    rank, shrunk to its smallest and largest value.  An interval ends when both
-    are equal, so hot values cost nothing and no task holds the values.  The
-    driver sees at most ``NARROWING_BINS`` counts per open interval.
+    rank, shrunk to its smallest and largest value.  An interval of at most
+    ``NARROWING_BINS`` rows is counted value by value instead.  It ends when its
+    ends are equal, so hot values cost nothing and no task holds the values; the
+    driver sees at most ``NARROWING_BINS`` + 3 counts per open interval.
     """
     spark = df.sparkSession
     values = long_values(df, columns)
     totals = values.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("n"))
     found = {r["column"]: (r["lo"], r["hi"], r["n"]) for r in totals.collect()}
-    # (column, rank) -> (smallest value, largest value, ranks below the interval)
-    ranks: dict[tuple[str, int], tuple[float, float, int]] = {}
+    # (column, rank) -> (smallest value, largest value, ranks below the interval, rows in it)
+    ranks: dict[tuple[str, int], tuple[float, float, int, int]] = {}
     for column, (lo, hi, n) in found.items():
         for p in probabilities:
             at = p * (n - 1)
             for rank in {int(at), min(int(at) + 1, n - 1)}:
-                ranks[column, rank] = (lo, hi, 0)
+                ranks[column, rank] = (lo, hi, 0, n)
     while True:
         open_intervals = sorted({(c, *i) for (c, _), i in ranks.items() if i[0] < i[1]})
         if not open_intervals:
             break
-        table = spark.createDataFrame(open_intervals, "column string, lo double, hi double, below long")
+        table = spark.createDataFrame(open_intervals, "column string, lo double, hi double, below long, size long")
         # Bounded: a few intervals per column.
         inside = values.join(F.broadcast(table), "column").where(F.col("value").between(F.col("lo"), F.col("hi")))
         # The ends have bins of their own: every pass shrinks every open interval,
@@ -123,20 +124,21 @@ def exact_quantiles(
             .when(span > 0, F.floor(share * NARROWING_BINS))
             .otherwise(F.lit(0))
         )
+        alone = F.when(F.col("size") <= NARROWING_BINS, F.col("value"))
         bins = (
-            inside.groupBy("column", "lo", "hi", "below", place.alias("bin"))
+            inside.groupBy("column", "lo", "hi", "below", place.alias("bin"), alone.alias("alone"))
             .agg(F.count("*").alias("n"), F.min("value").alias("first"), F.max("value").alias("last"))
-            .orderBy("column", "lo", "hi", "below", "bin")
+            .orderBy("column", "lo", "hi", "below", "bin", "alone")
             .collect()
         )
         grouped: dict[tuple, list] = {}
         for row in bins:
             grouped.setdefault((row["column"], row["lo"], row["hi"], row["below"]), []).append(row)
-        for (column, rank), (lo, hi, below) in list(ranks.items()):
+        for (column, rank), (lo, hi, below, _) in list(ranks.items()):
             seen = below
             for row in grouped.get((column, lo, hi, below), []):
                 if rank < seen + row["n"]:
-                    ranks[column, rank] = (row["first"], row["last"], seen)
+                    ranks[column, rank] = (row["first"], row["last"], seen, row["n"])
                     break
                 seen += row["n"]
     result: dict[str, list[float | None]] = {}
@@ -194,7 +196,7 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
     ).scalar()
 
     def ends(i: int) -> tuple[Column, Column]:
-        lo, hi = ranges.getField(f"lo{i}"), ranges.getField(f"hi{i}")
+        lo, hi = F.col(f"_ranges.lo{i}"), F.col(f"_ranges.hi{i}")
         return F.when(lo == hi, lo - 0.5).otherwise(lo), F.when(lo == hi, hi + 0.5).otherwise(hi)
 
     def place(i: int) -> Column:
@@ -205,7 +207,8 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
 
     cells = F.array(*[F.struct(F.lit(c).alias("column"), place(i).alias("bin")) for i, c in enumerate(names)])
     counts = (
-        df.select(F.explode(cells).alias("e"))
+        df.withColumn("_ranges", ranges)
+        .select(F.explode(cells).alias("e"))
         .select("e.*")
         .where(F.col("bin").isNotNull())
         .groupBy("column", "bin")
@@ -219,6 +222,7 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
     )
     all_bins = (
         df.sparkSession.range(1)
+        .select(ranges.alias("_ranges"))
         .select(F.explode(limits).alias("e"))
         .select("e.*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
         .where(F.col("lo").isNotNull())

@@ -186,11 +186,11 @@ def compare(runs: DataFrame, metric: str = "RMSE", split: str = "val") -> DataFr
         F.count_if(F.col("status") == "success").alias("completed_trials"),
         F.count_if(F.col("status") == "failed").alias("failed_trials"),
     )
-    return counts.select(
-        best.getField("run_name").alias("best_run"),
-        best.getField("params").alias("best_params"),
-        best.getField("metrics").alias("best_metrics"),
-        best.getField("metric_value").alias("best_metric_value"),
+    return counts.withColumn("_best", best).select(
+        F.col("_best.run_name").alias("best_run"),
+        F.col("_best.params").alias("best_params"),
+        F.col("_best.metrics").alias("best_metrics"),
+        F.col("_best.metric_value").alias("best_metric_value"),
         F.lit(f"{split}_{metric}").alias("optimization_metric"),
         "total_trials",
         "completed_trials",
