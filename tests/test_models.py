@@ -10,7 +10,7 @@ from tideline.operators.models import (
 )
 from tideline.plans import reports, tuning
 from tideline.plans.scoring import evaluate, persistence, predict
-from tideline.plans.training import load_run, prepare_samples, run_training, train_samples
+from tideline.plans.training import load_run, prepare_samples, prepare_split, run_training, train_samples
 from tideline.sources.artifacts import save_models
 from tideline.sources.runs import history_table, importance_table, metrics_table, read_runs, run_frame, trials_only
 from tideline.sources.tables import read_csv, series_schema, write_csv
@@ -78,6 +78,8 @@ def test_training_beats_persistence(spark, seasonal, config, stored):
         assert run.record["samples"][row["split"]] == row["n_samples"]
         assert run.record["metrics"][row["split"]]["RMSE"] < row["RMSE"]
     assert run.record["feature_count"] == len(run.names) == 6 * 2 + 6
+    assert run.record["rows"] == {"train": 280, "val": 60, "test": 60}
+    assert run.record["eval_metric"] == "mae" and len(run.record["eval_history"][0]) <= 6
     assert sum(run.record["importances"].values()) == pytest.approx(1)
 
 
@@ -142,6 +144,19 @@ def test_per_series_parameters_in_a_run(spark, seasonal, tmp_path):
     assert run.record["samples"]["train"] == 2 * (280 - 6)
 
 
+def test_gaps_filled_from_training_rows_only(spark, seasonal):
+    late = seasonal.withColumn("A", F.when(F.col("date") < "2016-07-02", F.col("A") * 0 + 1).when(F.col("A") > 0.9, F.col("A") * 100))
+    config = RunConfig(SPEC, WindowSpec(6), impute_on="train")
+    split = prepare_split(late, config, "single")
+    train = split.where("split = 'train'").join(late.select("date", F.col("A").alias("given")), "date")
+    mean = train.agg(F.avg("given")).first()[0]
+    filled = split.join(late.where("A is null").select("date"), "date").select("A").distinct().collect()
+    assert [r["A"] for r in filled] == [pytest.approx(mean)]
+    assert split.count() == 400
+    with pytest.raises(ValueError):
+        RunConfig(SPEC, impute_on="test")
+
+
 def test_no_validation_rows_no_early_stopping(spark, seasonal, config):
     from tideline.spec import SplitSpec
 

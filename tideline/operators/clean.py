@@ -11,12 +11,20 @@ from tideline.functions.missing import join_by_keys, nan_to_null, numeric_column
 from tideline.session import stage
 
 
-def drop_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def drop_duplicates(
+    df: DataFrame, columns: Sequence[str] | None = None, colocate: Sequence[str] = ()
+) -> DataFrame:
     """One row per distinct row.
 
     Copies of a row are merged inside each input task before the shuffle, so
     a row that makes up a third of the table costs one row per task.
+
+    ``colocate`` names columns to shuffle by before the rows are compared.  A
+    later step grouped by the same columns then needs no shuffle of its own;
+    use it only where no group is too large for one task.
     """
+    if colocate:
+        df = df.repartition(*colocate)
     return df.dropDuplicates(list(columns)) if columns else df.dropDuplicates()
 
 
@@ -75,13 +83,5 @@ def clean(
     by: Sequence[str] = (),
     colocate: Sequence[str] = (),
 ) -> DataFrame:
-    """Drop repeated rows, then fill gaps.
-
-    ``colocate`` names columns to shuffle by before the rows are compared.  A
-    later step grouped by the same columns then needs no shuffle of its own;
-    use it only where no group is too large for one task.
-    """
-    df = nan_to_null(df)
-    if colocate:
-        df = df.repartition(*colocate)
-    return _fill(drop_duplicates(df), columns, exclude, fit_on, by)
+    """Drop repeated rows, then fill gaps (see the two steps for the options)."""
+    return _fill(drop_duplicates(nan_to_null(df), colocate=colocate), columns, exclude, fit_on, by)

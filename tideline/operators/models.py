@@ -40,6 +40,9 @@ DEFAULTS: dict[str, dict[str, Any]] = {
 # Other names under which users know the two regressors.
 ALIASES = {"xgboost": "gbt_absolute", "lightgbm": "gbt_squared"}
 
+# Fixed value: rounds are compared by absolute error, whatever the training loss.
+_EVAL_LOSS = "absolute"
+
 _LOSS = {"gbt_absolute": "absolute", "gbt_squared": "squared"}
 _WITHOUT_COUNTERPART = ("reg_alpha", "reg_lambda")
 
@@ -146,7 +149,7 @@ def fit_step(
     if val is None:
         return Fitted(model, (), None)
     assembled = model.stages[0].transform(val) if names else val
-    scores = model.stages[-1].evaluateEachIteration(assembled, _LOSS[model_kind(kind)])
+    scores = model.stages[-1].evaluateEachIteration(assembled, _EVAL_LOSS)
     patience = merged.get("early_stopping_rounds")
     best, seen = best_round(scores, patience)
     if patience and best < len(scores):

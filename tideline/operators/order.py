@@ -52,12 +52,11 @@ def with_position(df: DataFrame, spec: SeriesSpec, strategy: str = "auto") -> Da
 
 
 def _number_in_one_group(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    series = Window.partitionBy(*spec.series_keys)
+    # Both in one window operator: same groups, same order.
+    series = Window.partitionBy(*spec.series_keys).orderBy(*spec.order_by)
+    whole = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.withColumns(
-        {
-            "idx": F.row_number().over(series.orderBy(*spec.order_by)).cast("long") - 1,
-            "n_rows": F.count(F.lit(1)).over(series),
-        }
+        {"idx": F.row_number().over(series).cast("long") - 1, "n_rows": F.count(F.lit(1)).over(whole)}
     )
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.metrics import METRICS, regression_metrics
-from tideline.operators.clean import clean
+from tideline.functions.missing import nan_to_null
+from tideline.operators.clean import clean, drop_duplicates, impute_mean
 from tideline.operators.features import FeatureModel
 from tideline.operators.models import (
     FEATURES,
@@ -28,8 +29,8 @@ from tideline.sources import artifacts
 from tideline.sources.runs import append_runs
 from tideline.spec import RunConfig, SeriesSpec
 
-# What the validation history of each regressor measures.
-HISTORY_METRIC = {"gbt_absolute": "mae", "gbt_squared": "mse"}
+# Fixed value: what the validation history measures, for both regressors.
+HISTORY_METRIC = "mae"
 
 
 @dataclass(frozen=True)
@@ -40,6 +41,7 @@ class Samples:
     features: FeatureModel
     names: tuple[str, ...]
     config: RunConfig
+    rows: dict[str, int]
 
     @property
     def assembled(self) -> tuple[str, ...] | None:
@@ -79,8 +81,18 @@ def prepare_split(df: DataFrame, config: RunConfig, strategy: str) -> DataFrame:
     projection on them.
     """
     spec = config.series
-    positioned = with_position(clean_series(df, spec, strategy, config.per_series), spec, strategy)
-    split = chronological_split(positioned, config.split)
+    if config.impute_on == "all":
+        positioned = with_position(clean_series(df, spec, strategy, config.per_series), spec, strategy)
+        split = chronological_split(positioned, config.split)
+    else:
+        colocate = spec.series_keys if strategy == "single" else ()
+        distinct = drop_duplicates(nan_to_null(df), colocate=colocate)
+        split = impute_mean(
+            chronological_split(with_position(distinct, spec, strategy), config.split),
+            exclude=spec.reserved,
+            fit_on=F.col("split") == "train",
+            by=spec.series_keys if config.per_series else (),
+        )
     return stage(split, "split") if strategy == "single" else split
 
 
@@ -96,7 +108,8 @@ def prepare_samples(df: DataFrame, config: RunConfig) -> Samples:
     features = FeatureModel.fit(split.where(F.col("split") == "train"), spec, by_series=config.per_series)
     transformed = features.transform(split)
     windows = stage(build_windows(transformed, spec, config.window, strategy), "windows", ("split",))
-    return Samples(windows, features, feature_names(transformed, config), config)
+    rows = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
+    return Samples(windows, features, feature_names(transformed, config), config, rows)
 
 
 def feature_names(transformed: DataFrame, config: RunConfig) -> tuple[str, ...]:
@@ -139,9 +152,10 @@ def train_samples(samples: Samples, params: dict[str, Any] | None = None) -> tup
         "params": {k: str(v) for k, v in merged_params(kind, merged).items()},
         "sample_definition": {k: str(v) for k, v in vars(config.window).items()},
         "feature_count": len(samples.names),
+        "rows": samples.rows,
         "samples": {r["split"]: r["n_samples"] for r in rows},
         "metrics": {r["split"]: {m: r[m] for m in METRICS} for r in rows},
-        "eval_metric": HISTORY_METRIC[kind] if use_val else None,
+        "eval_metric": HISTORY_METRIC if use_val else None,
         "eval_history": [list(f.history) for f in fitted] if use_val else None,
         "best_rounds": [f.best_round for f in fitted] if use_val else None,
         "importances": dict(zip(samples.names, importances)),

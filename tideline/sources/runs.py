@@ -20,6 +20,7 @@ RUN_SCHEMA = T.StructType(
         T.StructField("params", T.MapType(T.StringType(), T.StringType())),
         T.StructField("sample_definition", T.MapType(T.StringType(), T.StringType())),
         T.StructField("feature_count", T.IntegerType()),
+        T.StructField("rows", T.MapType(T.StringType(), T.LongType())),
         T.StructField("samples", T.MapType(T.StringType(), T.LongType())),
         T.StructField("metrics", T.MapType(T.StringType(), _METRICS)),
         T.StructField("eval_metric", T.StringType()),

@@ -103,7 +103,8 @@ class RunConfig:
     """Everything one training run depends on besides its data.
 
     ``per_series`` fits means and scales for each series on its own; the default
-    is one set for the whole table.
+    is one set for the whole table.  ``impute_on`` "all" fills gaps with means of
+    all rows, "train" with means of the training rows only.
     """
 
     series: SeriesSpec
@@ -113,9 +114,14 @@ class RunConfig:
     model_params: dict[str, Any] = field(default_factory=dict)
     use_validation: bool = True
     per_series: bool = False
+    impute_on: str = "all"
     seed: int = 42
     strategy: str = "auto"
 
+    def __post_init__(self) -> None:
+        if self.impute_on not in ("all", "train"):
+            raise ValueError(f"impute_on must be 'all' or 'train', got {self.impute_on!r}")
+
     def to_dict(self) -> dict[str, Any]:
         return asdict(self)
 
