@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import check
-from checks.inputs import H, Q, hourly, supplier_lines
+from checks.inputs import H, H_CLEAN_SQL, Q, hourly, rounded, split_ctes, sql_round, supplier_lines
 from tideline.functions.metrics import METRICS
 from tideline.operators.models import feature_importance
 from tideline.plans import tuning
@@ -25,6 +25,12 @@ def _hourly_run(spark: SparkSession, sf_dir: str, run_dir: str | None = None, **
     return run_training(spark, hourly(spark, sf_dir), config, "hourly", run_dir)
 
 
+def _grid_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = prepare_samples(hourly(spark, sf_dir), RunConfig(H, model_kind="gbt_squared", model_params=SMALL))
+    trials = tuning.grid_table(spark, {"max_depth": [2, 3], "learning_rate": [0.05, 0.1]})
+    return tuning.run_trials(spark, samples, trials)
+
+
 @check()
 def gbt_train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Absolute loss, all splits, six metrics."""
@@ -56,6 +62,43 @@ def gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(hourly(spark, sf_dir), load_run(spark, path), include_future=True)
 
 
+@check(
+    f"""with c as ({H_CLEAN_SQL}), q as (select ts, ot, row_number() over (order by ts) - 1 as idx from c),
+    n as (select idx, ts, {sql_round('lead(ot) over (order by idx)', 'actual')} from q)
+    select idx, ts, 1 as step, actual from n where idx >= 23"""
+)
+def gbt_predict_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scoring path without the trees: windows of the whole table, deltas undone, original scale."""
+    return predict(hourly(spark, sf_dir), _hourly_run(spark, sf_dir), include_future=True).select(
+        "idx", "ts", "step", rounded("actual")
+    )
+
+
+_H_COUNTS = f"""with c as ({H_CLEAN_SQL}), {split_ctes('select * from c', H)},
+    counts as (select split, count(*) as n_rows, greatest(count(*) - 24, 0) as n_samples from q group by split)"""
+
+
+@check(f"{_H_COUNTS} select 'hourly' as run_name, 'success' as status, 42 as feature_count, split, n_rows, n_samples from counts")
+def gbt_run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run's record says about its data."""
+    runs = run_frame(spark, [_hourly_run(spark, sf_dir).record])
+    return runs.select("run_name", "status", "feature_count", "samples", F.explode("rows").alias("split", "n_rows")).select(
+        "run_name", "status", "feature_count", "split", "n_rows", F.col("samples")[F.col("split")].alias("n_samples")
+    )
+
+
+@check(
+    f"""{_H_COUNTS}, trials(run_idx, run_name) as (values
+      (0, 'grid_000_lr005_d2'), (1, 'grid_001_lr01_d2'), (2, 'grid_002_lr005_d3'), (3, 'grid_003_lr01_d3'))
+    select run_idx, run_name, 'success' as status, split, n_samples from trials cross join counts"""
+)
+def tune_grid_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names, order, states and sample counts of the grid's trials."""
+    return _grid_runs(spark, sf_dir).select(
+        "run_idx", "run_name", "status", F.explode("samples").alias("split", "n_samples")
+    )
+
+
 @check()
 def gbt_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = new_path(spark, "runs")
@@ -78,9 +121,7 @@ def gbt_importance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check()
 def tune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = prepare_samples(hourly(spark, sf_dir), RunConfig(H, model_kind="gbt_squared", model_params=SMALL))
-    trials = tuning.grid_table(spark, {"max_depth": [2, 3], "learning_rate": [0.05, 0.1]})
-    runs = tuning.run_trials(spark, samples, trials)
+    runs = _grid_runs(spark, sf_dir)
     return runs.select("run_name", "status", *[F.col("metrics")["val"][m].alias(m) for m in METRICS])
 
 
