@@ -44,22 +44,33 @@ def industrial_names(sensors: Sequence[str], time_columns: Sequence[str]) -> lis
     return sorted([f"{s}_{kind}" for s in sensors for kind in per_sensor] + list(time_columns))
 
 
-def industrial_features(
-    sensors: Sequence[str], time_columns: Sequence[str], size: int, rows: Frame
-) -> dict[str, Column]:
-    """Rolling statistics, the last two readings, calendar at the origin.
+_STATISTICS = {"mean": F.avg, "std": F.stddev_pop, "max": F.max, "min": F.min}
+
+
+def sensor_frames(sensors: Sequence[str], size: int, rows: Frame) -> dict[str, Column]:
+    """Rolling aggregates and the reading before the last, as raw window columns."""
+    past = rows.rowsBetween(-(size - 1), 0)
+    frames: dict[str, Column] = {}
+    for i, name in enumerate(sensors):
+        value = _col(name)
+        frames[f"_n{i}"] = F.count(value).over(past)
+        frames[f"_before{i}"] = F.lag(value, 1).over(rows)
+        for kind, aggregate in _STATISTICS.items():
+            frames[f"_{kind}{i}"] = aggregate(value).over(past)
+    return frames
+
+
+def industrial_features(sensors: Sequence[str], time_columns: Sequence[str], size: int) -> dict[str, Column]:
+    """The features by name, from the raw window columns.
 
     A statistic over a window with a gap is missing, as it would be with NaN.
     """
-    past = rows.rowsBetween(-(size - 1), 0)
     features: dict[str, Column] = {}
-    for name in sensors:
-        value = _col(name)
-        complete = F.count(value).over(past) == size
-        for kind, aggregate in (("mean", F.avg), ("std", F.stddev_pop), ("max", F.max), ("min", F.min)):
-            features[f"{name}_{kind}"] = F.when(complete, aggregate(value).over(past))
-        features[f"{name}_t-1"] = F.lag(value, 1).over(rows)
-        features[f"{name}_t"] = value
+    for i, name in enumerate(sensors):
+        for kind in _STATISTICS:
+            features[f"{name}_{kind}"] = F.when(F.col(f"_n{i}") == size, F.col(f"_{kind}{i}"))
+        features[f"{name}_t-1"] = F.col(f"_before{i}")
+        features[f"{name}_t"] = _col(name)
     for name in time_columns:
         features[name] = _col(name).cast("double")
     return {name: features[name] for name in sorted(features)}
@@ -134,19 +145,20 @@ def build_windows(
         own = F.floor(F.col("_pos") / chunk) == F.col("_chunk")
 
     if window.feature_mode == "flat":
-        features = {"x": flat_features(flat, window.size, rows)}
+        frames = {"x": flat_features(flat, window.size, rows)}
+        features = {"x": F.col("x")}
     else:
-        features = industrial_features(spec.sensors, time_columns, window.size, rows)
-    samples = rows_df.select(
+        frames = sensor_frames(spec.sensors, window.size, rows)
+        features = industrial_features(spec.sensors, time_columns, window.size)
+    # Every frame is named once here and only referred to afterwards, so that no
+    # aggregate is computed twice.
+    framed = rows_df.withColumns({**frames, "_y": future_targets(spec.target, window, rows), "_own": own})
+    return framed.where(_starts(window, include_future) & F.col("_own")).select(
         *[_col(c) for c in carried],
         *[e.alias(n) for n, e in features.items()],
-        future_targets(spec.target, window, rows).alias("y"),
+        F.col("_y").alias("y"),
         _col(spec.target).alias("baseline"),
-        "_pos",
-        "_len",
-        own.alias("_own"),
     )
-    return samples.where(_starts(window, include_future) & F.col("_own")).drop("_pos", "_len", "_own")
 
 
 def _starts(window: WindowSpec, include_future: bool) -> Column:
