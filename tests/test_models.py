@@ -249,7 +249,11 @@ def test_csv_with_missing_cells(spark, tmp_path):
     rows = read_csv(spark, str(folder), series_schema(SPEC)).orderBy("date").collect()
     assert [tuple(r)[1:] for r in rows] == [(None, 2.0, 1.5), (3.0, None, None)]
     inferred = read_csv(spark, str(folder)).orderBy("date")
-    assert dict(inferred.dtypes)["A"] == "double" and [r["A"] for r in inferred.collect()] == [None, 3.0]
+    assert dict(inferred.dtypes) == {"extra": "string", "OT": "double", "date": "string", "A": "double", "B": "double"}
+    assert [r["A"] for r in inferred.collect()] == [None, 3.0]
+    (folder / "a.csv").write_text("k,x\n1,2.5\n2,-3\n")
+    whole = read_csv(spark, str(folder))
+    assert dict(whole.dtypes) == {"k": "bigint", "x": "double"} and whole.agg(F.sum("k")).first()[0] == 3
     (folder / "a.csv").write_text("date,A,B,OT\n2016-07-01 00:00:00,abc,2,3\n")
     with pytest.raises(Exception, match="abc"):
         read_csv(spark, str(folder), series_schema(SPEC)).collect()

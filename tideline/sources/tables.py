@@ -36,16 +36,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
     With a schema the files are read once and columns are bound by name; a cell
     that is neither missing nor of the declared type fails the job.  Without
-    one, types are inferred, which costs further passes over the files.
+    one, number columns are found by another pass over the files; timestamps
+    stay text.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
-    if schema is None:
-        return _infer_numbers(nan_to_null(reader.option("inferSchema", True).csv(path)))
-    texts = reader.csv(path)
-    absent = [f.name for f in schema if f.name not in texts.columns]
+    texts = spark.read.option("header", True).option("escape", '"').csv(path)
+    types = {f.name: f.dataType for f in schema} if schema is not None else _number_types(texts)
+    absent = [c for c in types if c not in texts.columns]
     if absent:
         raise KeyError(f"columns not in the file: {absent}")
-    return texts.select(*[_present(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return texts.select(*[_present(c).cast(t).alias(c) for c, t in types.items()])
 
 
 def _present(name: str) -> Column:
@@ -54,19 +53,26 @@ def _present(name: str) -> Column:
     return F.when(~text.isin(*MISSING_TEXTS), text)
 
 
-def _infer_numbers(df: DataFrame) -> DataFrame:
-    """Make number columns of those that inference took for text because of missing cells."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    if not texts:
-        return df
-    cells = [_present(c) for c in texts]
-    found = df.agg(
-        *[F.count_if(c.isNotNull() & c.try_cast("double").isNull()).alias(f"t{i}") for i, c in enumerate(cells)]
-    ).first()
-    typed = {
-        c: cell.cast("double") if found[f"t{i}"] == 0 else cell for i, (c, cell) in enumerate(zip(texts, cells))
-    }
-    return df.select(*[typed[c].alias(c) if c in typed else F.col(f"`{c}`") for c in df.columns])
+def _number_types(texts: DataFrame) -> dict[str, T.DataType]:
+    """BIGINT for columns of whole numbers without gaps, DOUBLE for other numbers, else STRING."""
+    cells = [_present(c) for c in texts.columns]
+    counts = [F.count(F.lit(1)).alias("n")]
+    for i, cell in enumerate(cells):
+        counts += [
+            F.count(cell).alias(f"present{i}"),
+            F.count(cell.try_cast("double")).alias(f"numbers{i}"),
+            F.count(cell.try_cast("bigint")).alias(f"whole{i}"),
+        ]
+    found = texts.agg(*counts).first()
+    types: dict[str, T.DataType] = {}
+    for i, name in enumerate(texts.columns):
+        if found[f"numbers{i}"] < found[f"present{i}"]:
+            types[name] = T.StringType()
+        elif found[f"whole{i}"] == found["n"]:
+            types[name] = T.LongType()
+        else:
+            types[name] = T.DoubleType()
+    return types
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
