@@ -64,13 +64,14 @@ def gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(
     f"""with c as ({H_CLEAN_SQL}), q as (select ts, ot, row_number() over (order by ts) - 1 as idx from c),
-    n as (select idx, ts, {sql_round('lead(ot) over (order by idx)', 'actual')} from q)
-    select idx, ts, 1 as step, actual from n where idx >= 23"""
+    n as (select idx, ts, lead(ts) over (order by idx) as target_time,
+      {sql_round('lead(ot) over (order by idx)', 'actual')} from q)
+    select idx, ts, 1 as step, target_time, actual from n where idx >= 23"""
 )
 def gbt_predict_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scoring path without the trees: windows of the whole table, deltas undone, original scale."""
     return predict(hourly(spark, sf_dir), _hourly_run(spark, sf_dir), include_future=True).select(
-        "idx", "ts", "step", rounded("actual")
+        "idx", "ts", "step", "target_time", rounded("actual")
     )
 
 

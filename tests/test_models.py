@@ -128,6 +128,8 @@ def test_two_steps_ahead_flat_and_absolute(spark, seasonal):
     assert len(rows) == 2 * (400 - 4 - 1)
     actual = [r["OT"] for r in seasonal.orderBy("date").collect()]
     assert [r["actual"] for r in rows if r["step"] == 2] == pytest.approx(actual[5:])
+    dates = [r["date"] for r in seasonal.orderBy("date").collect()]
+    assert [r["target_time"] for r in rows if r["step"] == 2] == dates[5:]
 
 
 def test_per_series_parameters_in_a_run(spark, seasonal, tmp_path):

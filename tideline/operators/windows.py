@@ -102,9 +102,9 @@ def build_windows(
     ``df`` carries ``idx`` and ``n_rows`` and, when split, ``split``, ``pos`` and
     ``split_rows``; without a split, the whole series is one run of rows.
     Columns: series keys, ``split``, ``idx`` of the last input row, its timestamp,
-    the features (named columns, or ``x`` for flat windows), ``y`` (array) and
-    ``baseline`` (the last known target).  ``include_future`` also keeps the
-    windows whose targets are not known yet.
+    the features (named columns, or ``x`` for flat windows), ``y`` (array), the
+    timestamps ``y_time`` of ``y`` (array) and ``baseline`` (the last known target).
+    ``include_future`` also keeps the windows whose targets are not known yet.
     """
     keys = list(spec.series_keys)
     is_split = "split" in df.columns
@@ -152,11 +152,15 @@ def build_windows(
         features = industrial_features(spec.sensors, time_columns, window.size)
     # Every frame is named once here and only referred to afterwards, so that no
     # aggregate is computed twice.
-    framed = rows_df.withColumns({**frames, "_y": future_targets(spec.target, window, rows), "_own": own})
+    ahead = {"_y": future_targets(spec.target, window, rows)}
+    if spec.time_col in carried:
+        times = [F.lead(_col(spec.time_col), j).over(rows) for j in range(1, window.horizon + 1)]
+        ahead["_y_time"] = F.array(*times)
+    framed = rows_df.withColumns({**frames, **ahead, "_own": own})
     return framed.where(_starts(window, include_future) & F.col("_own")).select(
         *[_col(c) for c in carried],
         *[e.alias(n) for n, e in features.items()],
-        F.col("_y").alias("y"),
+        *[F.col(n).alias(n[1:]) for n in ahead],
         _col(spec.target).alias("baseline"),
     )
 

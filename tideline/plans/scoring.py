@@ -18,7 +18,8 @@ def predict(df: DataFrame, run: TrainedRun, include_future: bool = False) -> Dat
 
     The rows are cleaned with their own means and taken as a whole, without a
     split; features are scaled with the parameters of the run.  ``idx`` and the
-    timestamp are those of the last input row.  ``include_future`` also scores
+    timestamp are those of the last input row, ``target_time`` is the time the
+    prediction is for.  ``include_future`` also scores
     the windows whose targets are not known yet.
     """
     if not run.models:

@@ -184,6 +184,7 @@ def score_windows(
                 F.lit(step).alias("step"),
                 (F.col(f"_p{step}") + shift).alias("prediction"),
                 (F.col("y")[step - 1] + shift).alias("actual"),
+                *([F.col("y_time")[step - 1].alias("target_time")] if "y_time" in windows.columns else []),
             )
             for step in range(1, len(models) + 1)
         ]
