@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tideline.operators import order as order_module
 from tideline.operators.clean import clean, drop_duplicates
 from tideline.operators.features import FeatureModel
-from tideline.operators.order import choose_strategy, chronological_split, longest_series, with_position
+from tideline.operators.order import choose_strategy, chronological_split, series_sizes, with_position
 from tideline.operators.scale import Scaler
 from tideline.operators.windows import build_windows
 from tideline.plans.training import clean_series, prepare_split
@@ -65,8 +65,12 @@ def test_ranged_windows_equal_single(skewed, size, horizon, step, chunk, mode, s
     assert len(single) == sum(max(0, (n - size - horizon) // step + 1) for n in lengths)
 
 
-def test_auto_counts_the_longest_series(skewed, monkeypatch):
-    assert longest_series(skewed, ("s",)) == 1500
+def test_auto_weighs_the_longest_series(skewed, monkeypatch):
+    assert series_sizes(skewed, ("s",)) == (1500, 3000) and series_sizes(skewed, ()) == (3000, 3000)
+    assert choose_strategy(skewed, SPEC) == "single"
+    monkeypatch.setattr(order_module, "SMALL_SERIES_ROWS", 1499)
+    assert choose_strategy(skewed, SPEC) == "ranged"  # half of the table in one series
+    monkeypatch.setattr(order_module, "BALANCE", 2)
     assert choose_strategy(skewed, SPEC) == "single"
     monkeypatch.setattr(order_module, "SINGLE_TASK_ROWS", 1499)
     assert choose_strategy(skewed, SPEC) == "ranged"

@@ -4,7 +4,7 @@ Two ways lead to the same positions.  ``single`` numbers the rows of a series
 in one window group; it needs one shuffle, but a whole series must fit one
 task.  ``ranged`` sorts the table by range over all tasks, writes it, and adds
 up the row counts of the ranges; no task holds more than a range, whatever the
-length of a series.  ``auto`` counts the longest series and decides.
+length of a series.  ``auto`` counts the rows per series and decides.
 """
 
 from __future__ import annotations
@@ -20,28 +20,37 @@ from tideline.spec import SeriesSpec, SplitSpec
 
 STRATEGIES = ("auto", "single", "ranged")
 
-# Longest series that one task numbers and frames on its own.
+# A series up to this length is numbered and framed by one task in any case.
+SMALL_SERIES_ROWS = 50_000
+
+# Longer ones, up to this length, only where the longest series is at most
+# 1/BALANCE of the table, so that the tasks stay evenly loaded.
 SINGLE_TASK_ROWS = 1_000_000
+BALANCE = 16
 
 # monotonically_increasing_id keeps the row number inside a partition in its low 33 bits.
 _ROW_BITS = (1 << 33) - 1
 
 
-def longest_series(df: DataFrame, series_keys: Sequence[str]) -> int:
-    """Rows of the longest series (a map-side combined count over the keys)."""
+def series_sizes(df: DataFrame, series_keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the longest series and of the table (a map-side combined count over the keys)."""
     if not series_keys:
-        return df.count()
+        n = df.count()
+        return n, n
     counts = df.groupBy(*series_keys).count()
-    return counts.agg(F.coalesce(F.max("count"), F.lit(0)).alias("n")).first()["n"]
+    row = counts.agg(F.max("count").alias("longest"), F.sum("count").alias("total")).first()
+    return row["longest"] or 0, row["total"] or 0
 
 
 def choose_strategy(df: DataFrame, spec: SeriesSpec, strategy: str = "auto") -> str:
-    """Resolve ``auto`` by the length of the longest series."""
+    """Resolve ``auto`` by the length of the longest series and its share of the table."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     if strategy != "auto":
         return strategy
-    return "single" if longest_series(df, spec.series_keys) <= SINGLE_TASK_ROWS else "ranged"
+    longest, total = series_sizes(df, spec.series_keys)
+    fits = longest <= SINGLE_TASK_ROWS and longest * BALANCE <= total
+    return "single" if longest <= SMALL_SERIES_ROWS or fits else "ranged"
 
 
 def with_position(df: DataFrame, spec: SeriesSpec, strategy: str = "auto") -> DataFrame:
