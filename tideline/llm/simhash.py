@@ -61,8 +61,14 @@ def segments(distance: int) -> list[tuple[int, int]]:
     return list(zip(edges, np.diff(edges).tolist()))
 
 
+def _mask(bits: int, without: int | None = None) -> Column:
+    """The lowest ``bits`` bits set but for one, as a signed 64-bit literal."""
+    value = ((1 << bits) - 1) & ~(0 if without is None else 1 << without)
+    return F.lit(value - (1 << 64) if value >> 63 else value)
+
+
 def _segment(fp: Column, first: int, bits: int) -> Column:
-    return F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << bits) - 1))
+    return F.shiftrightunsigned(fp, first).bitwiseAND(_mask(bits))
 
 
 def fingerprint_links(fps: DataFrame, distance: int = 4) -> DataFrame:
@@ -78,20 +84,20 @@ def fingerprint_links(fps: DataFrame, distance: int = 4) -> DataFrame:
     exact, wild = [], []
     for s, (first, bits) in enumerate(cut):
         part = _segment(fp, first, bits)
-        exact.append(F.struct(F.lit(s * 64).alias("kind"), part.alias("rest"), F.lit(2).alias("bit")))
+        exact.append(F.struct(F.lit(s * 65).alias("kind"), part.alias("rest"), F.lit(2).alias("bit")))
         for j in range(bits):
             bit = F.shiftrightunsigned(fp, first + j).bitwiseAND(F.lit(1)).cast("int")
-            rest = part.bitwiseAND(F.lit(((1 << bits) - 1) & ~(1 << j)))
-            wild.append(F.struct(F.lit(s * 64 + 1 + j).alias("kind"), rest.alias("rest"), bit.alias("bit")))
+            rest = part.bitwiseAND(_mask(bits, j))
+            wild.append(F.struct(F.lit(s * 65 + 1 + j).alias("kind"), rest.alias("rest"), bit.alias("bit")))
     index = fps.select("fp", F.explode(F.array(*exact, *wild)).alias("key")).select("fp", "key.*")
     a = index.where("bit != 1").select("kind", "rest", F.col("fp").alias("a"))
     b = index.where("bit != 0").select("kind", "rest", F.col("fp").alias("b"))
     apart = F.col("a").bitwiseXOR(F.col("b"))
-    here = F.shiftright("l.kind", 6)
+    here = F.floor(F.col("l.kind") / 65)
     first_met = F.lit(len(cut))
     for s in reversed(range(len(cut))):
         first_met = F.when(F.bit_count(_segment(apart, *cut[s])) <= 1, s).otherwise(first_met)
-    ordered = (F.col("l.kind") % 64 != 0) | (F.col("a") < F.col("b"))
+    ordered = (F.col("l.kind") % 65 != 0) | (F.col("a") < F.col("b"))
     return (
         a.alias("l")
         .join(
