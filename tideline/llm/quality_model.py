@@ -139,8 +139,19 @@ def gradients(p: dict, padded, first, labels: np.ndarray, weights: np.ndarray) -
     return g
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 1) -> QualityModel:
-    """Adam on the log loss, both labels with equal total weight; the same input gives the same model."""
+def train(
+    texts: list[str],
+    labels: np.ndarray,
+    epochs: int = 8,
+    batch: int = 64,
+    rate: float = 0.01,
+    seed: int = 1,
+    least_steps: int = 250,
+) -> QualityModel:
+    """Adam on the log loss, both labels with equal total weight; the same input gives the same model.
+
+    Small samples are passed over more often than ``epochs``, until there are ``least_steps`` steps.
+    """
     p = start(seed)
     if len(texts) == 0 or len(set(labels.tolist())) < 2:
         # Nothing to tell apart: every text gets the share of label 1 (a half without labels).
@@ -152,7 +163,9 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 64
     rng = np.random.default_rng(seed)
     m = {n: np.zeros_like(v) for n, v in p.items()}
     v2 = {n: np.zeros_like(v) for n, v in p.items()}
-    t, total = 0, epochs * -(-len(texts) // batch)
+    batches = -(-len(texts) // batch)
+    epochs = max(epochs, -(-least_steps // batches))
+    t, total = 0, epochs * batches
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), batch):
