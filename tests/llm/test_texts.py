@@ -70,6 +70,7 @@ def test_encode_then_decode_keeps_other_columns(docs):
     back = bpe.decode(ids, queries.WORD_BPE)
     assert back.columns == [*docs.columns, "ids", "decoded"]
     assert all((r["ids"], r["decoded"]) == library(r["text"]) for r in back.collect())
+    assert sorted(map(str, bpe.encode(docs, queries.WORD_BPE, decoded_col="decoded").collect())) == sorted(map(str, back.collect()))
 
 
 def test_round_trip_of_the_given_table(spark):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from tideline.llm.common import Memory, slices
+from tideline.llm.common import Memory, held, slices
 
 # Fixed values of the vocabulary's format: end of word, pieces of a normalized text, white space.
 WORD_END = "</w>"
@@ -31,8 +31,8 @@ SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACES = re.compile(f"[{SPACE}]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
-MOST_PIECES = 250_000
-MOST_PAIRS = 500_000
+MOST_PIECES = 150_000
+MOST_PAIRS = 250_000
 LONGEST_KEY = 64
 DECODED_AT_ONCE = 1 << 16
 TAIL = 0x1000
@@ -182,16 +182,10 @@ class WordBpe:
             yield self.blob[places].tobytes()
 
 
-_loaded: dict[str, WordBpe] = {}
-
-
 def _tables(shared) -> WordBpe:
-    """The tables of a broadcast vocabulary, built once per Python worker."""
+    """The tables of a broadcast vocabulary."""
     mark, raw = shared.value
-    if mark not in _loaded:
-        _loaded.clear()
-        _loaded[mark] = WordBpe(raw)
-    return _loaded[mark]
+    return held(mark, lambda: WordBpe(raw))
 
 
 def _share(df: DataFrame, vocab_path: str):
@@ -217,13 +211,24 @@ def _mapped(df: DataFrame, vocab_path: str, in_col: str, made: list[tuple[str, s
     return source.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, vocab_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``df`` with the token ids of each whole text as an array; null and empty texts have none."""
+def encode(
+    df: DataFrame, vocab_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None
+) -> DataFrame:
+    """``df`` with the token ids of each whole text as an array; null and empty texts have none.
+
+    With ``decoded_col`` the text that the ids decode to comes along, from the same pass.
+    """
+    made = [(ids_col, "array<int>", pa.list_(pa.int32()))]
+    if decoded_col is not None:
+        made.append((decoded_col, "string", pa.string()))
 
     def fill(tables: WordBpe, column: pa.Array):
-        return [[np.frombuffer(tables.encode(t or ""), "<u4").astype(np.int32) for t in column.to_pylist()]]
+        ids = [np.frombuffer(tables.encode(t or ""), "<u4").astype(np.int32) for t in column.to_pylist()]
+        if decoded_col is None:
+            return [ids]
+        return ids, [b"".join(tables.decoded(i)).decode() for i in ids]
 
-    return _mapped(df, vocab_path, text_col, [(ids_col, "array<int>", pa.list_(pa.int32()))], fill)
+    return _mapped(df, vocab_path, text_col, made, fill)
 
 
 def decode(df: DataFrame, vocab_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

@@ -65,3 +65,14 @@ class Memory(dict):
                 self.clear()
             self[key] = value
         return value
+
+
+_held: dict = {}
+
+
+def held(mark, build: Callable):
+    """The object of this mark, built once per Python worker; a worker holds one at a time, whatever task it runs."""
+    if mark not in _held:
+        _held.clear()
+        _held[mark] = build()
+    return _held[mark]

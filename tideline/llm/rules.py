@@ -6,7 +6,6 @@ import base64
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -16,7 +15,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Memory, slices
+from tideline.llm.common import Memory, held, slices
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
@@ -149,11 +148,6 @@ class Tokenisers:
         return word_chars / max(n, 1), word_chars / max(byte_tokens, 1), fallback, entropy
 
 
-@lru_cache(maxsize=1)
-def _load(piece_model: bytes, byte_ranks: bytes) -> Tokenisers:
-    return Tokenisers(piece_model, byte_ranks)
-
-
 def judge(text: str | None, lang: str | None, tools: Tokenisers, bands: Bands) -> tuple:
     """All measures of one text; see ``RESULT``."""
     text = text or ""
@@ -198,7 +192,7 @@ def judged(docs: DataFrame, piece_path: str, byte_path: str, bands: Bands = BAND
         schema = schema.add(name, kind)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools = _load(*raw.value)
+        tools = held(("rules", piece_path, byte_path), lambda: Tokenisers(*raw.value))
         for batch in slices(batches):
             texts, langs = (batch.column(len(keep) + k).to_pylist() for k in (0, 1))
             rows = [judge(t, x, tools, bands) for t, x in zip(texts, langs)]
