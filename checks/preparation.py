@@ -12,7 +12,7 @@ from checks.inputs import (
     calendar_sql, event_line, hourly, rounded, split_ctes, sql_round, supplier_lines, table,
 )
 from tideline.operators.clean import clean, drop_duplicates, impute_mean
-from tideline.operators.encode import OneHot
+from tideline.operators.encode import OneHot, category_places, with_place
 from tideline.operators.features import FeatureModel, feature_pipeline
 from tideline.operators.order import chronological_split, with_position
 from tideline.operators.scale import Scaler, scaler_table
@@ -236,6 +236,45 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return OneHot.fit(lines, ["l_returnflag", "l_linestatus", "l_absent"]).transform(lines)
 
 
+@check("select o_custkey, o_orderkey, rank() over (order by o_orderkey) - 1 as place from orders")
+def one_hot_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order key is a category: the place of the one flag that is set."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    return with_place(orders, "o_orderkey", category_places(orders, "o_orderkey"))
+
+
+@check(
+    """select l_orderkey, l_linenumber, l_partkey, coalesce(l_returnflag = 'N' and l_linestatus = 'F', false)::int::double
+       as "l_returnflag_N", (l_returnflag = 'R')::int::double as "l_returnflag_R" from lineitem"""
+)
+def one_hot_unseen_ignored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on finished lines; what stands only in open lines sets no flag."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), "O").otherwise(F.col("l_returnflag")).alias("l_returnflag"),
+    )
+    return OneHot.fit(lines.where("l_returnflag != 'O'"), ["l_returnflag"], unseen="ignore").transform(lines)
+
+
+_TIED = SeriesSpec(
+    order_by=("l_shipdate",), target=L.target, sensors=L.sensors, series_keys=L.series_keys, time_col=L.time_col
+)
+
+
+@check(
+    f"""with i as (select *, row_number() over (partition by l_suppkey order by l_shipdate, l_orderkey, l_linenumber, l_partkey,
+        l_quantity, l_discount, l_tax, l_extendedprice) - 1 as idx, count(*) over (partition by l_suppkey) as n from ({L_SQL}))
+    select l_suppkey, l_orderkey, l_linenumber, l_partkey, idx,
+      case when idx < floor(n * 0.7::double) then 'train' when idx < floor(n * (0.7::double + 0.15::double)) then 'val' else 'test' end
+        as split from i"""
+)
+def chronological_split_tied_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many lines of a supplier share a date; the other columns settle their order, whatever the partitions."""
+    lines = supplier_lines(spark, sf_dir).repartition(7)
+    split = chronological_split(with_position(lines, _TIED, "ranged"))
+    return split.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "idx", "split")
+
+
 _FULL = SeriesSpec(
     order_by=L.order_by, target=L.target, sensors=L.sensors, series_keys=L.series_keys, time_col=L.time_col,
     categoricals=("l_returnflag",),

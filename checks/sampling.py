@@ -100,20 +100,21 @@ _FLAT_SIZE = 4
 _FLAT_COLUMNS = ("l_quantity", "l_discount", "l_tax")
 
 
+_FLAT_CELLS = [(c, _FLAT_SIZE - 1 - i) for i in range(_FLAT_SIZE) for c in _FLAT_COLUMNS]
+
+
 @check(
-    f"""with {split_ctes(L_SQL, L)},
-    wins as (select l_suppkey, split, idx, pos from q {_valid(_FLAT_SIZE)}),
-    cells as (
-      select l_suppkey, split, idx, unnest([{', '.join(str(i) for i in range(len(_FLAT_COLUMNS)))}]) as f,
-             unnest([{', '.join(_FLAT_COLUMNS)}]) as v from q)
-    select w.l_suppkey, w.split, w.idx, ((c.idx - w.idx + {_FLAT_SIZE - 1}) * {len(_FLAT_COLUMNS)} + c.f)::int as k, c.v
-    from wins w join cells c on c.l_suppkey = w.l_suppkey and c.split = w.split
-         and c.idx between w.idx - {_FLAT_SIZE - 1} and w.idx"""
+    f"""with {split_ctes(L_SQL, L)}
+    select * exclude (pos, split_rows) from (
+      select l_suppkey, split, idx, pos, split_rows,
+             {', '.join(f'lag({c}, {back}) over w as x_{k}' for k, (c, back) in enumerate(_FLAT_CELLS))}
+      from q {window_clause(L, _FLAT_SIZE)}) {_valid(_FLAT_SIZE)}"""
 )
 def windows_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     window = WindowSpec(size=_FLAT_SIZE, feature_mode="flat")
     windows = _line_windows(spark, sf_dir, window)
-    return windows.select("l_suppkey", "split", "idx", F.posexplode("x").alias("k", "v"))
+    cells = [F.col("x")[k].alias(f"x_{k}") for k in range(len(_FLAT_CELLS))]
+    return windows.select("l_suppkey", "split", "idx", *cells)
 
 
 @check(

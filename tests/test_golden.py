@@ -332,3 +332,41 @@ def test_correlations(spark):
     assert r["x", "c"] is None
     ranked = [(p["column"], p["abs_r"]) for p in corr_with_target(df, "x").collect()]
     assert ranked == [("y", pytest.approx(abs(want))), ("c", None)]
+
+
+def test_missing_flat_readings_are_nan_for_the_trees(spark):
+    from tideline.operators.models import FEATURES, as_vectors
+
+    frame = spark.createDataFrame([([1.0, None, 3.0],), ([None, None, None],)], "x array<double>")
+    first, second = (r[FEATURES].toArray() for r in as_vectors(frame, None).collect())
+    assert first[0] == 1.0 and math.isnan(first[1]) and all(map(math.isnan, second))
+
+
+def test_unknown_model_parameters_are_an_error():
+    from tideline.operators.models import DEFAULTS, merged_params
+
+    assert merged_params("xgboost", {"max_depth": 3})["max_depth"] == 3
+    assert DEFAULTS["gbt_absolute"]["colsample_bylevel"] == 0.8
+    with pytest.raises(ValueError, match="learning_rat"):
+        merged_params("xgboost", {"learning_rat": 0.5})
+
+
+def test_text_cells_keep_their_blanks(spark, tmp_path):
+    from tideline.sources.tables import read_csv
+
+    (tmp_path / "a.csv").write_text('name,k\n" a", 1\n  ,2\n"NA ",3\nb ,4\n')
+    rows = {r["k"]: r["name"] for r in read_csv(spark, str(tmp_path)).collect()}
+    assert rows[1] == " a" and rows[2] is None and rows[3] is None
+
+
+def test_many_categories_have_places_without_a_cap(spark):
+    from tideline.operators.encode import OneHot, category_places, with_place
+
+    frame = spark.range(6_000).selectExpr("case when id = 5999 then null else concat('c', lpad(id, 5, '0')) end as c")
+    assert len(OneHot.fit(frame, ["c"]).output_columns) == 5_999
+    places = {r["c"]: r["place"] for r in with_place(frame, "c", category_places(frame, "c")).collect()}
+    assert places["c00000"] == 0 and places["c05998"] == 5_998 and places[None] == 5_999
+    other = spark.createDataFrame([("new",)], "c string")
+    assert with_place(other, "c", category_places(frame, "c"), unseen="ignore").first()["place"] is None
+    with pytest.raises(Exception, match="unseen category"):
+        with_place(other, "c", category_places(frame, "c")).collect()

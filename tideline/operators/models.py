@@ -25,6 +25,7 @@ DEFAULTS: dict[str, dict[str, Any]] = {
         "min_child_weight": 5,
         "subsample": 0.7,
         "colsample_bytree": 0.8,
+        "colsample_bylevel": 0.8,
     },
     "gbt_squared": {
         "learning_rate": 0.01,
@@ -44,7 +45,11 @@ ALIASES = {"xgboost": "gbt_absolute", "lightgbm": "gbt_squared"}
 _EVAL_LOSS = "absolute"
 
 _LOSS = {"gbt_absolute": "absolute", "gbt_squared": "squared"}
-_WITHOUT_COUNTERPART = ("reg_alpha", "reg_lambda")
+_WITHOUT_COUNTERPART = ("reg_alpha", "reg_lambda", "objective", "eval_metric", "n_jobs", "verbosity", "verbose")
+_KNOWN = {
+    *(name for params in DEFAULTS.values() for name in params), *_WITHOUT_COUNTERPART,
+    "max_bins", "max_memory_mb", "random_state",
+}
 
 LABEL, FEATURES, PREDICTION = "_label", "_features", "_predicted"
 
@@ -59,6 +64,9 @@ def model_kind(kind: str) -> str:
 
 def merged_params(kind: str, params: dict[str, Any] | None = None) -> dict[str, Any]:
     """L3: defaults overridden by the given parameters."""
+    unknown = sorted(set(params or {}) - _KNOWN)
+    if unknown:
+        raise ValueError(f"unknown model parameters: {', '.join(unknown)}")
     return {**DEFAULTS[model_kind(kind)], **(params or {})}
 
 
@@ -100,8 +108,14 @@ def with_label(windows: DataFrame, step: int) -> DataFrame:
 
 
 def as_vectors(windows: DataFrame, names: Sequence[str] | None) -> DataFrame:
-    """Flat samples (``x``) become vectors by a built-in function; named columns by an assembler stage."""
-    return windows if names else windows.withColumn(FEATURES, array_to_vector("x"))
+    """Flat samples (``x``) become vectors by a built-in function; named columns by an assembler stage.
+
+    A missing reading is NaN for the trees in both modes.
+    """
+    if names:
+        return windows
+    readings = F.transform("x", lambda v: F.coalesce(v, F.lit(float("nan"))))
+    return windows.withColumn(FEATURES, array_to_vector(readings))
 
 
 def best_round(history: Sequence[float], patience: int | None) -> tuple[int, int]:

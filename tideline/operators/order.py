@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions.missing import join_by_keys
 from tideline.session import stage
@@ -60,9 +61,16 @@ def with_position(df: DataFrame, spec: SeriesSpec, strategy: str = "auto") -> Da
     return _number_by_range(df, spec)
 
 
+def total_order(df: DataFrame, spec: SeriesSpec) -> list[Column]:
+    """The series order, then all other sortable columns: rows that still tie are equal, so any of them may come first."""
+    given = {*spec.series_keys, *spec.order_by}
+    rest = [f.name for f in df.schema if f.name not in given and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return [*[F.col(c) for c in spec.order_by], *[F.col(f"`{c}`") for c in rest]]
+
+
 def _number_in_one_group(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     # Both in one window operator: same groups, same order.
-    series = Window.partitionBy(*spec.series_keys).orderBy(*spec.order_by)
+    series = Window.partitionBy(*spec.series_keys).orderBy(*total_order(df, spec))
     whole = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.withColumns(
         {"idx": F.row_number().over(series).cast("long") - 1, "n_rows": F.count(F.lit(1)).over(whole)}
@@ -71,7 +79,7 @@ def _number_in_one_group(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 def _number_by_range(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     keys = list(spec.series_keys)
-    sort_cols = [*keys, *spec.order_by]
+    sort_cols = [*[F.col(f"`{c}`") for c in keys], *total_order(df, spec)]
     ordered = stage(
         df.repartitionByRange(*sort_cols)
         .sortWithinPartitions(*sort_cols)

@@ -126,10 +126,8 @@ def build_windows(
     carried = [*labels, "idx"]
     if spec.time_col and spec.time_col in df.columns:
         carried.append(spec.time_col)
-    # Ordering by the series order keeps the sort of with_position usable, unless
-    # scaling has replaced an order column.
-    kept_order = set(spec.order_by) <= set(df.columns) and not set(spec.order_by) & {*spec.sensors, spec.target}
-    ordering = list(spec.order_by) if kept_order else ["idx"]
+    # The position is the order: ties of the series order are settled there, once.
+    ordering = ["idx"]
     needed = list(dict.fromkeys([*carried, *inputs, spec.target, *(ordering if strategy == "single" else [])]))
     rows_df = df.select(*[_col(c) for c in needed], *[e.alias(n) for n, e in place.items()])
 

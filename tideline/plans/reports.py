@@ -51,19 +51,15 @@ def param_points(
     metric: str = "RMSE",
     split: str = "test",
     params: Sequence[str] | None = None,
-    first: int = 4,
 ) -> DataFrame:
-    """R2: (run_name, param, setting, value) for the given or the first few parameters."""
+    """R2: (run_name, param, setting, value) for every parameter of every run, or for the given ones (NULL where a run has none)."""
+    value = F.col("metrics")[split][metric].alias("value")
     if params is None:
-        head = runs.where(F.col("params").isNotNull()).orderBy("run_idx", "run_name")
-        keys = head.select(F.map_keys("params").alias("k")).first()
-        params = list(keys["k"])[:first] if keys else []
+        return runs.select("run_name", F.explode("params").alias("param", "setting"), value)
     pairs = F.array(
         *[F.struct(F.lit(p).alias("param"), F.col("params")[p].alias("setting")) for p in params]
     )
-    return runs.select("run_name", F.explode(pairs).alias("p"), F.col("metrics")[split][metric].alias("value")).select(
-        "run_name", "p.param", "p.setting", "value"
-    )
+    return runs.select("run_name", F.explode(pairs).alias("p"), value).select("run_name", "p.param", "p.setting", "value")
 
 
 def best_rounds(history: DataFrame) -> DataFrame:

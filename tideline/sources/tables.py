@@ -44,7 +44,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     absent = [c for c in types if c not in texts.columns]
     if absent:
         raise KeyError(f"columns not in the file: {absent}")
-    return texts.select(*[_present(c).cast(t).alias(c) for c, t in types.items()])
+    text = T.StringType()
+    return texts.select(*[(_untouched(c) if t == text else _present(c).cast(t)).alias(c) for c, t in types.items()])
+
+
+def _untouched(name: str) -> Column:
+    """The cell as it stands in the file, NULL where it means "missing"."""
+    return F.when(_present(name).isNotNull(), F.col(f"`{name}`"))
 
 
 def _present(name: str) -> Column:
