@@ -8,12 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.missing import nan_to_null, numeric_columns
+from tideline.session import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
 
-# Rows up to which one task's exact percentile buffer is used.
-SINGLE_TASK_VALUES = 1_000_000
-
 # Bins per interval and pass when quantiles are narrowed down.
 NARROWING_BINS = 1_000
 
@@ -48,22 +46,24 @@ def head(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, method: str = "auto") -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str] | None = None, method: str = "narrowing") -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles, maximum per column.
 
-    Quartiles are exact with linear interpolation.  ``single`` takes them from
-    one aggregation buffer per column; ``narrowing`` from counting passes that
-    hold no values, for tables of any size; ``auto`` decides by the row count.
+    Quartiles are exact with linear interpolation, from counting passes over the
+    numbers, written once, that hold no values, whatever the size of the table.
+    ``method="single"`` takes them from one aggregation buffer per column, for
+    tables known to be small.
     """
     names = _numeric(df, columns)
     df = nan_to_null(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in names]))
-    if method == "auto":
-        method = "single" if df.count() <= SINGLE_TASK_VALUES else "narrowing"
+    if method not in ("narrowing", "single"):
+        raise ValueError(f"method must be narrowing or single, got {method!r}")
     labels = [f"q{round(100 * p)}" for p in QUARTILES]
     if method == "single":
         def quartile(c: str, k: int) -> Column:
             return F.percentile(f"`{c}`", list(QUARTILES))[k]
     else:
+        df = stage(df, "numbers")
         found = exact_quantiles(df, names, QUARTILES)
 
         def quartile(c: str, k: int) -> Column:
