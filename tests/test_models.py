@@ -238,6 +238,23 @@ def test_trials_comparison_and_reports(spark, seasonal, config, tmp_path):
     assert len(top) == 3 and top[0]["importance"] >= top[1]["importance"]
 
 
+def test_trials_of_equal_effect_are_fitted_once_and_the_best_one_predicts(spark, seasonal, config, tmp_path, monkeypatch):
+    fits = []
+    monkeypatch.setattr(tuning, "train_samples", lambda *a: fits.append(a) or train_samples(*a))
+    samples = prepare_samples(seasonal, config)
+    trials = tuning.grid_table(spark, {"n_estimators": [2, 3], "reg_lambda": [0.0, 1.0]})
+    runs_path, models_dir = str(tmp_path / "runs"), str(tmp_path / "models")
+    rows = tuning.run_trials(spark, samples, trials, runs_path=runs_path, models_dir=models_dir).collect()
+    assert len(fits) == 2 and [r["run_idx"] for r in rows] == [0, 1, 2, 3]
+    assert sorted((r["params"]["n_estimators"], r["params"]["reg_lambda"]) for r in rows) == [
+        ("2", "0.0"), ("2", "1.0"), ("3", "0.0"), ("3", "1.0")
+    ]
+    stored_runs = read_runs(spark, runs_path)
+    assert stored_runs.count() == 4
+    best = load_run(spark, f"{models_dir}/{tuning.best_run(stored_runs).first()['run_name']}")
+    assert predict(seasonal, best).where("prediction is not null").count() > 0
+
+
 def test_comparison_without_a_usable_run(spark):
     runs = run_frame(spark, [{"run_name": "grid_000", "run_idx": 0, "status": "failed", "error": "x"}])
     row = tuning.compare(runs).first()

@@ -45,9 +45,9 @@ ALIASES = {"xgboost": "gbt_absolute", "lightgbm": "gbt_squared"}
 _EVAL_LOSS = "absolute"
 
 _LOSS = {"gbt_absolute": "absolute", "gbt_squared": "squared"}
-_WITHOUT_COUNTERPART = ("reg_alpha", "reg_lambda", "objective", "eval_metric", "n_jobs", "verbosity", "verbose")
+WITHOUT_COUNTERPART = ("reg_alpha", "reg_lambda", "objective", "eval_metric", "n_jobs", "verbosity", "verbose")
 _KNOWN = {
-    *(name for params in DEFAULTS.values() for name in params), *_WITHOUT_COUNTERPART,
+    *(name for params in DEFAULTS.values() for name in params), *WITHOUT_COUNTERPART,
     "max_bins", "max_memory_mb", "random_state",
 }
 
@@ -77,7 +77,7 @@ def make_estimator(kind: str, params: dict[str, Any] | None = None, seed: int =
     """
     kind = model_kind(kind)
     p = merged_params(kind, params)
-    lost = [n for n in _WITHOUT_COUNTERPART if p.get(n)]
+    lost = [n for n in WITHOUT_COUNTERPART if p.get(n)]
     if lost:
         warnings.warn(f"no counterpart in Spark ML, ignored: {', '.join(lost)}", stacklevel=2)
     depth = int(p["max_depth"])

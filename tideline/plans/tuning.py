@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.plans.training import Samples, train_samples
+from tideline.operators.models import WITHOUT_COUNTERPART
+from tideline.plans.training import Samples, TrainedRun, save_run, train_samples
 from tideline.sources.runs import append_runs, run_frame
 
 # Short parameter names used in the names of grid trials.
@@ -130,33 +132,55 @@ def run_trials(
     trials: DataFrame,
     parallelism: int = 4,
     runs_path: str | None = None,
+    models_dir: str | None = None,
 ) -> DataFrame:
     """Train every trial on the same windows; a failing trial is recorded, not raised.
 
+    A trial's record is appended to ``runs_path``, and its run stored as ``models_dir/run_name``, as soon as
+    it ends.  Trials that differ only in parameters without effect are fitted once; each gets a record (and
+    a stored run) under its own name and parameters.
+
     The trial table is small control data; training, scoring and metrics are
     Spark jobs.  Returns the run table of these trials.
     """
     rows = [r.asDict() for r in trials.orderBy("run_idx").collect()]
+    alike: dict[tuple, list[dict[str, Any]]] = {}
+    for row in rows:
+        given = {k: v for k, v in row.items() if k not in ("run_idx", "run_name")}
+        effective = tuple(sorted((k, str(v)) for k, v in given.items() if k not in WITHOUT_COUNTERPART))
+        alike.setdefault(effective, []).append(row)
+    appending = Lock()
 
     @inheritable_thread_target(spark)
-    def run(row: dict[str, Any]) -> dict[str, Any]:
-        labels = {"run_idx": row["run_idx"], "run_name": row["run_name"]}
-        params = {k: v for k, v in row.items() if k not in labels}
-        try:
-            _, record = train_samples(samples, params)
-        except Exception as failure:  # recorded with the trial
-            record = {"status": "failed", "error": str(failure), "params": {k: str(v) for k, v in params.items()}}
-        return {**labels, **record}
-
-    pool = ThreadPool(max(1, min(parallelism, len(rows))))
+    def run(same: list[dict[str, Any]]) -> list[dict[str, Any]]:
+        fitted: tuple | None = None
+        records = []
+        for row in same:
+            labels = {"run_idx": row["run_idx"], "run_name": row["run_name"]}
+            params = {k: v for k, v in row.items() if k not in labels}
+            settings = {k: str(v) for k, v in params.items()}
+            try:
+                fitted = fitted or train_samples(samples, params)
+                models, record = fitted
+                record = {**labels, **record, "params": {**record["params"], **settings}}
+                if models_dir:
+                    done = TrainedRun(samples.config, samples.features, models, samples.names, record)
+                    save_run(spark, done, f"{models_dir}/{row['run_name']}")
+            except Exception as failure:  # recorded with the trial
+                record = {**labels, "status": "failed", "error": str(failure), "params": settings}
+            if runs_path:
+                with appending:
+                    append_runs(spark, runs_path, [record])
+            records.append(record)
+        return records
+
+    pool = ThreadPool(max(1, min(parallelism, len(alike))))
     try:
-        records = pool.map(run, rows, chunksize=1)
+        records = [r for group in pool.map(run, list(alike.values()), chunksize=1) for r in group]
     finally:
         pool.close()
         pool.join()
-    if runs_path:
-        append_runs(spark, runs_path, records)
-    return run_frame(spark, records)
+    return run_frame(spark, sorted(records, key=lambda r: r["run_idx"]))
 
 
 def eligible(runs: DataFrame, metric: str = "RMSE", split: str = "val") -> DataFrame:
