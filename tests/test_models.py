@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from tideline.operators import models
 from tideline.operators.models import (
     best_round, feature_importance, fit_step, make_estimator, merged_params, model_kind, with_label,
 )
@@ -97,6 +98,41 @@ def test_early_stopping_keeps_the_best_prefix(spark, seasonal, config):
     assert texts[0][: fitted.best_round] == texts[1]
 
 
+def test_early_stopping_stops(spark, seasonal, config, monkeypatch):
+    """Blocks of rounds are fitted until the stop lies inside, far from the limit, with the result of one long fit."""
+    samples = prepare_samples(seasonal, config)
+    train = with_label(samples.windows.where("split = 'train'"), 1)
+    val = with_label(samples.windows.where("split = 'val'"), 1)
+    params = {**SMALL, "learning_rate": 1.0, "n_estimators": 40, "early_stopping_rounds": 2}
+    whole = fit_step(train, val, samples.names, "gbt_squared", params)
+    fits = []
+    make = models.make_estimator
+
+    def counted(*args):
+        estimator = make(*args)
+        copy = estimator.copy
+        estimator.copy = lambda extra: fits.append(extra[estimator.maxIter]) or copy(extra)
+        return estimator
+
+    monkeypatch.setattr(models, "make_estimator", counted)
+    monkeypatch.setattr(models, "FIRST_ROUNDS", 2)
+    fitted = fit_step(train, val, samples.names, "gbt_squared", params)
+    assert (fitted.best_round, fitted.history) == (whole.best_round, whole.history)
+    assert fits[0] == 2 and all(b == 2 * a for a, b in zip(fits[:-2], fits[1:-1]))
+    assert sum(fits) <= 4 * (fitted.best_round + 2) + fitted.best_round < 40
+
+
+def test_rounds_are_compared_by_the_named_error(spark, seasonal, config):
+    samples = prepare_samples(seasonal, config)
+    train = with_label(samples.windows.where("split = 'train'"), 1)
+    val = with_label(samples.windows.where("split = 'val'"), 1)
+    params = {**SMALL, "n_estimators": 3, "early_stopping_rounds": 0}
+    mse, rmse = (fit_step(train, val, samples.names, "gbt_squared", {**params, "eval_metric": m}).history for m in ("mse", "rmse"))
+    assert [x**0.5 for x in mse] == pytest.approx(rmse) and len(mse) == 3
+    with pytest.raises(ValueError, match="eval_metric"):
+        merged_params("lightgbm", {"eval_metric": "auc"})
+
+
 def test_stored_run_predicts_the_same(spark, seasonal, stored):
     run, path, _ = stored
     again = load_run(spark, path)

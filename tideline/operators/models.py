@@ -41,14 +41,18 @@ DEFAULTS: dict[str, dict[str, Any]] = {
 # Other names under which users know the two regressors.
 ALIASES = {"xgboost": "gbt_absolute", "lightgbm": "gbt_squared"}
 
-# Fixed value: rounds are compared by absolute error, whatever the training loss.
-_EVAL_LOSS = "absolute"
+# Names of the error by which rounds are compared, and the loss of ``pyspark.ml`` that measures it.
+EVAL_METRICS = {"mae": "absolute", "l1": "absolute", "mse": "squared", "l2": "squared", "rmse": "squared"}
+EVAL_METRIC = "mae"
+
+#: Rounds of the first fit under early stopping; each further fit has twice as many.
+FIRST_ROUNDS = 64
 
 _LOSS = {"gbt_absolute": "absolute", "gbt_squared": "squared"}
-WITHOUT_COUNTERPART = ("reg_alpha", "reg_lambda", "objective", "eval_metric", "n_jobs", "verbosity", "verbose")
+WITHOUT_COUNTERPART = ("reg_alpha", "reg_lambda", "objective", "n_jobs", "verbosity", "verbose")
 _KNOWN = {
     *(name for params in DEFAULTS.values() for name in params), *WITHOUT_COUNTERPART,
-    "max_bins", "max_memory_mb", "random_state",
+    "eval_metric", "max_bins", "max_memory_mb", "random_state",
 }
 
 LABEL, FEATURES, PREDICTION = "_label", "_features", "_predicted"
@@ -67,7 +71,10 @@ def merged_params(kind: str, params: dict[str, Any] | None = None) -> dict[str,
     unknown = sorted(set(params or {}) - _KNOWN)
     if unknown:
         raise ValueError(f"unknown model parameters: {', '.join(unknown)}")
-    return {**DEFAULTS[model_kind(kind)], **(params or {})}
+    merged = {**DEFAULTS[model_kind(kind)], **(params or {})}
+    if merged.get("eval_metric", EVAL_METRIC) not in EVAL_METRICS:
+        raise ValueError(f"unknown eval_metric {merged['eval_metric']!r}; known: {sorted(EVAL_METRICS)}")
+    return merged
 
 
 def make_estimator(kind: str, params: dict[str, Any] | None = None, seed: int = 42) -> GBTRegressor:
@@ -152,25 +159,42 @@ def fit_step(
 ) -> Fitted:
     """Fit one forecast step, with early stopping when there are validation rows.
 
-    ``train`` and ``val`` carry the label.  Boosting is sequential, so a fit
-    with fewer rounds and the same seed is a prefix of the longer one: the best
-    prefix is refitted instead of cutting a fitted model apart.
+    ``train`` and ``val`` carry the label.  Boosting is sequential, so a fit with fewer rounds and the same
+    seed is a prefix of the longer one.  Under early stopping the number of rounds starts at
+    ``FIRST_ROUNDS`` and doubles until the stop lies inside, so a long limit costs nothing beyond it; the
+    best prefix is refitted.  Rounds are compared by ``eval_metric`` on the validation rows.
     """
     merged = merged_params(kind, params)
     assembler = [VectorAssembler(inputCols=list(names), outputCol=FEATURES, handleInvalid="keep")] if names else []
     estimator = make_estimator(kind, params, seed)
-    model = Pipeline(stages=[*assembler, estimator]).fit(train)
+
+    def fitted(rounds: int) -> PipelineModel:
+        return Pipeline(stages=[*assembler, estimator.copy({estimator.maxIter: rounds})]).fit(train)
+
+    limit = estimator.getMaxIter()
     if val is None:
-        return Fitted(model, (), None)
-    assembled = model.stages[0].transform(val) if names else val
-    scores = model.stages[-1].evaluateEachIteration(assembled, _EVAL_LOSS)
+        return Fitted(fitted(limit), (), None)
     patience = merged.get("early_stopping_rounds")
-    best, seen = best_round(scores, patience)
-    if patience and best < len(scores):
-        model = Pipeline(stages=[*assembler, estimator.copy({estimator.maxIter: best})]).fit(train)
+    rounds = min(FIRST_ROUNDS, limit) if patience else limit
+    while True:
+        model = fitted(rounds)
+        scores = _scores(model, val, names, merged.get("eval_metric", EVAL_METRIC))
+        best, seen = best_round(scores, patience)
+        if rounds == limit or seen - best >= patience:
+            break
+        rounds = min(2 * rounds, limit)
+    if patience and best < rounds:
+        model = fitted(best)
     return Fitted(model, tuple(scores[:seen]), best)
 
 
+def _scores(model: PipelineModel, val: DataFrame, names: Sequence[str] | None, metric: str) -> list[float]:
+    """The error on the validation rows after every round."""
+    assembled = model.stages[0].transform(val) if names else val
+    scores = model.stages[-1].evaluateEachIteration(assembled, EVAL_METRICS[metric])
+    return [math.sqrt(s) for s in scores] if metric == "rmse" else list(scores)
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel | None, names: Sequence[str]) -> DataFrame:
     """(feature, importance), largest first."""
     if model is None:

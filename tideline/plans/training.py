@@ -14,6 +14,7 @@ from tideline.functions.missing import nan_to_null
 from tideline.operators.clean import clean, drop_duplicates, impute_mean
 from tideline.operators.features import FeatureModel
 from tideline.operators.models import (
+    EVAL_METRIC,
     FEATURES,
     PREDICTION,
     as_vectors,
@@ -29,9 +30,6 @@ from tideline.sources import artifacts
 from tideline.sources.runs import append_runs
 from tideline.spec import RunConfig, SeriesSpec
 
-# Fixed value: what the validation history measures, for both regressors.
-HISTORY_METRIC = "mae"
-
 
 @dataclass(frozen=True)
 class Samples:
@@ -155,7 +153,7 @@ def train_samples(samples: Samples, params: dict[str, Any] | None = None) -> tup
         "rows": samples.rows,
         "samples": {r["split"]: r["n_samples"] for r in rows},
         "metrics": {r["split"]: {m: r[m] for m in METRICS} for r in rows},
-        "eval_metric": HISTORY_METRIC if use_val else None,
+        "eval_metric": merged.get("eval_metric", EVAL_METRIC) if use_val else None,
         "eval_history": [list(f.history) for f in fitted] if use_val else None,
         "best_rounds": [f.best_round for f in fitted] if use_val else None,
         "importances": dict(zip(samples.names, importances)),
