@@ -319,6 +319,20 @@ def test_profiles(spark, raw):
     assert [r["B"] for r in head(raw, ["date"], 2).collect()] == [10.0, 20.0]
 
 
+def test_correlation_of_many_columns(spark):
+    def made(n):
+        return spark.range(40).select(*[((F.col("id") * (k + 3) % 17) + F.rand(k)).alias(f"c{k}") for k in range(n)])
+
+    wide = made(60)
+    assert corr_matrix(made(150)).count() == 22_500
+    frame = wide.toPandas().corr()
+    found = corr_matrix(wide).collect()
+    assert len(found) == 3600
+    assert all(p["r"] == pytest.approx(frame.loc[p["a"], p["b"]], abs=1e-9) for p in found)
+    by_target = {p["column"]: p["abs_r"] for p in corr_with_target(wide, "c9").collect()}
+    assert by_target == {c: pytest.approx(abs(frame.loc[c, "c9"]), abs=1e-9) for c in frame.columns if c != "c9"}
+
+
 def test_correlations(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=50)

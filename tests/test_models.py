@@ -15,7 +15,7 @@ from tideline.plans.training import load_run, prepare_samples, prepare_split, ru
 from tideline.sources.artifacts import save_models
 from tideline.sources.runs import history_table, importance_table, metrics_table, read_runs, run_frame, trials_only
 from tideline.sources.tables import read_csv, series_schema, write_csv
-from tideline.functions.metrics import regression_metrics
+from tideline.functions.metrics import METRICS, regression_metrics
 from tideline.spec import RunConfig, SeriesSpec, WindowSpec
 
 SPEC = SeriesSpec(order_by=("date",), target="OT", sensors=("A", "B"), time_col="date")
@@ -263,7 +263,8 @@ def test_trials_comparison_and_reports(spark, seasonal, config, tmp_path):
     ranked = reports.with_rank(reports.rank_trials(metrics_table(stored_runs), "RMSE", "val"), "RMSE").orderBy("rank")
     assert [r["run_name"] for r in ranked.collect()][0] == rows[best]["run_name"]
     matrix = reports.comparison_matrix(metrics_table(stored_runs))
-    assert matrix.columns == ["run_name", *reports.COMPARED] and matrix.count() == 2
+    assert matrix.columns == ["run_name", *METRICS] and matrix.count() == 2
+    assert reports.comparison_matrix(metrics_table(stored_runs), names=reports.COMPARED).columns[1:] == list(reports.COMPARED)
     points = reports.param_points(trials_only(stored_runs), params=["n_estimators"]).collect()
     assert sorted(p["setting"] for p in points) == ["2", "6"]
     history = history_table(stored_runs)
@@ -291,6 +292,13 @@ def test_trials_of_equal_effect_are_fitted_once_and_the_best_one_predicts(spark,
     assert predict(seasonal, best).where("prediction is not null").count() > 0
 
 
+def test_validation_stands_in_for_a_missing_test_metric(spark):
+    given = [("a", "test", "RMSE", 2.0), ("a", "val", "RMSE", 1.0), ("b", "val", "RMSE", 1.5), ("c", "train", "RMSE", 0.1)]
+    long = spark.createDataFrame(given, "run_name string, split string, metric string, value double")
+    ranked = reports.rank_trials(reports.test_or_val(long), "RMSE").collect()
+    assert [tuple(r) for r in ranked] == [("b", 1.5), ("a", 2.0)]
+
+
 def test_comparison_without_a_usable_run(spark):
     runs = run_frame(spark, [{"run_name": "grid_000", "run_idx": 0, "status": "failed", "error": "x"}])
     row = tuning.compare(runs).first()

@@ -15,6 +15,9 @@ QUARTILES = (0.25, 0.5, 0.75)
 # Bins per interval and pass when quantiles are narrowed down.
 NARROWING_BINS = 1_000
 
+# Columns per block when columns are correlated pair by pair.
+CORR_BLOCK = 8
+
 
 def _numeric(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
     return list(columns) if columns is not None else numeric_columns(df)
@@ -237,34 +240,57 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
     )
 
 
+def _in_blocks(df: DataFrame, names: Sequence[str], others: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """``others`` and ``_blocks``: the columns as doubles in arrays of equal length, the last one filled up with NULL."""
+    df = nan_to_null(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in dict.fromkeys([*names, *others])]))
+    width = min(CORR_BLOCK, len(names))
+    cells = [F.col(f"`{c}`") for c in names] + [F.lit(None).cast("double")] * (-len(names) % width)
+    blocks = F.array(*[F.array(*cells[k : k + width]) for k in range(0, len(cells), width)])
+    return df.select(*[F.col(f"`{c}`") for c in others], blocks.alias("_blocks")), width
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of all column pairs over their common rows.
 
-    (a, b, r) for every ordered pair; one pass computes each pair once.
+    (a, b, r) for every ordered pair.  Pairs of blocks of columns are the groups of one aggregation, so the
+    plan is the same size for any number of columns.
     """
     names = _numeric(df, columns)
-    df = nan_to_null(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in names]))
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    stats = df.agg(*[_corr(names[i], names[j]).alias(f"r_{i}_{j}") for i, j in pairs])
-    entries = [
-        F.struct(F.lit(names[i]).alias("a"), F.lit(names[j]).alias("b"), F.col(f"r_{min(i, j)}_{max(i, j)}").alias("r"))
-        for i in range(len(names))
-        for j in range(len(names))
-    ]
-    return stats.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    if not names:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    blocks, width = _in_blocks(df, names)
+    last = (len(names) - 1) // width
+    pairs = blocks.select("_blocks", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("_i"))
+    pairs = pairs.select("_blocks", "_i", F.explode(F.sequence("_i", F.lit(last))).alias("_j"))
+    cells = [F.get(F.col("_blocks")[F.col(side)], F.lit(k)).alias(f"{side}{k}") for side in ("_i", "_j") for k in range(width)]
+    every = [(i, j) for i in range(width) for j in range(width)]
+    stats = pairs.select("_i", "_j", *cells).groupBy("_i", "_j").agg(*[_corr(f"_i{i}", f"_j{j}").alias(f"r_{i}_{j}") for i, j in every])
+    entries = F.array(
+        *[
+            F.struct((F.col("_i") * width + i).alias("a"), (F.col("_j") * width + j).alias("b"), F.col(f"r_{i}_{j}").alias("r"))
+            for i, j in every
+        ]
+    )
+    swapped = F.transform(entries, lambda e: F.struct(e.b.alias("a"), e.a.alias("b"), e.r.alias("r")))
+    both = F.when(F.col("_i") < F.col("_j"), F.concat(entries, swapped)).otherwise(entries)
+    found = stats.select(F.explode(both).alias("e")).select("e.*").where((F.col("a") < len(names)) & (F.col("b") < len(names)))
+    label = F.array(*[F.lit(n) for n in names])
+    return found.select(label[F.col("a")].alias("a"), label[F.col("b")].alias("b"), "r")
 
 
 def corr_with_target(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Absolute correlation of each column with the target, strongest first."""
     names = [c for c in _numeric(df, columns) if c != target]
-    df = nan_to_null(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in [*names, target]]))
-    stats = df.agg(*[_corr(c, target).alias(f"r_{i}") for i, c in enumerate(names)])
-    entries = [F.struct(F.lit(c).alias("column"), F.abs(F.col(f"r_{i}")).alias("abs_r")) for i, c in enumerate(names)]
-    return (
-        stats.select(F.explode(F.array(*entries)).alias("e"))
-        .select("e.*")
-        .orderBy(F.desc_nulls_last("abs_r"), "column")
-    )
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, abs_r double")
+    blocks, width = _in_blocks(df, names, (target,))
+    rows = blocks.select(F.col(f"`{target}`").alias("_y"), F.posexplode("_blocks").alias("_i", "_x"))
+    rows = rows.select("_y", "_i", *[F.col("_x")[k].alias(f"_x{k}") for k in range(width)])
+    stats = rows.groupBy("_i").agg(*[_corr(f"_x{k}", "_y").alias(f"r_{k}") for k in range(width)])
+    entries = [F.struct((F.col("_i") * width + k).alias("at"), F.abs(F.col(f"r_{k}")).alias("abs_r")) for k in range(width)]
+    found = stats.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where(F.col("at") < len(names))
+    label = F.array(*[F.lit(n) for n in names])
+    return found.select(label[F.col("at")].alias("column"), "abs_r").orderBy(F.desc_nulls_last("abs_r"), "column")
 
 
 def _corr(a: str, b: str) -> Column:

@@ -11,7 +11,7 @@ from tideline.functions.metrics import METRICS
 from tideline.operators.order import with_position
 from tideline.spec import SeriesSpec
 
-# The metrics of a side-by-side comparison.
+# The metrics of a side-by-side chart of runs; the comparison table has all.
 COMPARED = ("RMSE", "MAE", "R2", "SMAPE")
 
 
@@ -26,6 +26,16 @@ def rank_trials(metrics: DataFrame, metric: str = "RMSE", split: str = "test", r
     return metrics.groupBy(run).agg(value.alias(metric)).orderBy(F.asc_nulls_last(metric), run)
 
 
+def test_or_val(metrics: DataFrame, run: str = "run_name") -> DataFrame:
+    """The test metrics of every run under split ``test``; those of ``val`` stand in where there are none.
+
+    The numbers of a run are few, so they meet in one group.
+    """
+    known = metrics.where(F.col("split").isin("test", "val") & F.col("value").isNotNull() & ~F.isnan("value"))
+    value = F.coalesce(F.max(F.when(F.col("split") == "test", F.col("value"))), F.max("value"))
+    return known.groupBy(run, "metric").agg(value.alias("value")).select(run, F.lit("test").alias("split"), "metric", "value")
+
+
 def with_rank(ranked: DataFrame, metric: str, run: str = "run_name") -> DataFrame:
     """Number the runs of a ranking from 1; a missing metric counts as infinite."""
     order = SeriesSpec(order_by=("_metric", run), target=metric, sensors=())
@@ -34,7 +44,7 @@ def with_rank(ranked: DataFrame, metric: str, run: str = "run_name") -> DataFram
 
 
 def comparison_matrix(
-    metrics: DataFrame, split: str = "test", names: Sequence[str] = COMPARED, run: str = "run_name"
+    metrics: DataFrame, split: str = "test", names: Sequence[str] = METRICS, run: str = "run_name"
 ) -> DataFrame:
     """One row per run, one column per metric."""
     return metrics.where(F.col("split") == split).groupBy(run).pivot("metric", list(names)).agg(F.first("value"))
