@@ -16,7 +16,7 @@ QUARTILES = (0.25, 0.5, 0.75)
 NARROWING_BINS = 1_000
 
 # Columns per block when columns are correlated pair by pair.
-CORR_BLOCK = 8
+CORR_BLOCK = 4
 
 
 def _numeric(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
