@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from conftest_llm import SF
 from tideline.llm import bpe, chat, embeddings, html, language, mixing, queries, rules, simhash, warc
-from tideline.llm.common import fold, table
+from tideline.llm.common import fold, join_hot, table
 from tideline.llm.components import connected_components, forest
 from tideline.session import new_path
 
@@ -79,6 +79,16 @@ def test_simhash_groups_equal_brute_force(request, spark, which):
     assert Counter(got) == Counter(slow_groups(source.collect()))
 
 
+def test_hot_keys_join_like_the_others(spark):
+    rows = spark.createDataFrame([(k, k % 7 if k % 3 else 0) for k in range(100)] + [(100, None)], "id long, fp long")
+    small = rows.where("fp is not null").groupBy("fp").agg(F.min("id").alias("low"), F.count("*").alias("n"))
+    want = Counter(tuple(r) for r in rows.join(small, "fp").select("id", "fp", "low").collect())
+    for share in (1, 3, 1000):
+        joined = join_hot(rows, small, "fp", "n", share).select("id", "fp", "low")
+        assert Counter(tuple(r) for r in joined.collect()) == want and sum(want.values()) == 100
+    assert join_hot(rows.limit(0), small.limit(0), "fp", "n").count() == 0
+
+
 @pytest.mark.parametrize("distance", [1, 3, 4, 6])
 def test_fingerprint_links_lose_none(spark, distance):
     rng = random.Random(distance)

@@ -46,6 +46,18 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 2_000) -> Iterator[pa.
             yield batch.slice(start, rows)
 
 
+def join_hot(rows: DataFrame, small: DataFrame, key: str, count_col: str, share: int = 1_000) -> DataFrame:
+    """Inner join of ``rows`` with ``small``, which has each key once and the number of its ``rows`` in ``count_col``.
+
+    Keys that hold more than one in ``share`` of all rows are fewer than ``share``: they are broadcast, so that
+    their rows stay where they are. All other rows are joined by a shuffle. ``count_col`` is not in the result.
+    """
+    total = small.agg(F.sum(count_col)).first()[0] or 0
+    hot = small.where(F.col(count_col) * share > total).drop(count_col)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(small.drop(count_col), key))
+
+
 def crc_fold(doc_id: int | None) -> int:
     """``fold`` of one id, for tests."""
     return 0 if doc_id is None else zlib.crc32(str(doc_id).encode()) % 5

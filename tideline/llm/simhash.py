@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import slices
+from tideline.llm.common import join_hot, slices
 from tideline.llm.components import connected_components
 from tideline.session import stage
 
@@ -120,17 +120,20 @@ def near_duplicates(
     Rows of equal fingerprint are one class (its smallest id stands for it), so copies never make pairs.
     Null and empty texts have fingerprint zero and link like any other; a null id stays a row, never names
     a component unless all its members are null; repeated ids give one row each. Other columns are ignored.
+    Fingerprints and components that hold much of the table are joined by broadcast, see ``join_hot``.
     """
     marks = stage(with_fingerprint(docs, size, id_col, text_col), "fingerprints")
-    classes = stage(marks.groupBy("fp").agg(F.min(id_col).alias("rep")), "classes")
+    n_rows = F.count(F.lit(1))
+    classes = stage(marks.groupBy("fp").agg(F.min(id_col).alias("rep"), n_rows.alias("n")), "classes")
     links = fingerprint_links(classes.select("fp"), distance)
     groups = connected_components(links, "a", "b")
     named = classes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "rep", F.coalesce("component", "fp").alias("component")
+        "fp", "rep", "n", F.coalesce("component", "fp").alias("component")
     )
-    lowest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    roots = stage(named.join(lowest, "component").select("fp", "component_id"), "roots")
-    return marks.join(roots, "fp").select(
+    named = stage(named, "named")
+    lowest = stage(named.groupBy("component").agg(F.min("rep").alias("component_id"), n_rows.alias("n_fps")), "lowest")
+    roots = stage(join_hot(named, lowest, "component", "n_fps").select("fp", "component_id", "n"), "roots")
+    return join_hot(marks, roots, "fp", "n").select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
