@@ -77,7 +77,8 @@ def fingerprint_links(fps: DataFrame, distance: int = 4) -> DataFrame:
     ``fps`` has one row per fingerprint in column ``fp``. Two linked fingerprints have a segment in which
     they differ by nothing (they meet under that segment's exact key) or in one bit (they meet under the
     key of the segment with this bit as wildcard, one with the bit unset, one with it set). Both joins are
-    equality joins; a met pair is verified on all 64 bits and kept by its first such segment only.
+    equality joins; a met pair is verified on all 64 bits and kept by its first such segment only. They are
+    merge joins at any size: the planner takes the exploded index for as small as ``fps`` and would broadcast it.
     """
     cut = segments(distance)
     fp = F.col("fp")
@@ -101,7 +102,7 @@ def fingerprint_links(fps: DataFrame, distance: int = 4) -> DataFrame:
     return (
         a.alias("l")
         .join(
-            b.alias("r"),
+            b.alias("r").hint("merge"),
             (F.col("l.kind") == F.col("r.kind"))
             & (F.col("l.rest") == F.col("r.rest"))
             & (F.bit_count(apart) <= distance)
