@@ -18,7 +18,7 @@ from tideline.operators.order import chronological_split, with_position
 from tideline.operators.scale import Scaler, scaler_table
 from tideline.operators.select import add_time_features, select_existing, split_xy
 from tideline.session import new_path, stage
-from tideline.sources.tables import read_csv, read_json, read_table, write_csv, write_json, write_table
+from tideline.sources.tables import MISSING_TEXTS, read_csv, read_json, read_table, write_csv, write_json, write_table
 from tideline.spec import SeriesSpec
 
 EVENTS_SQL = "select event_id, ts, user_id, event_type, value, props from events"
@@ -49,6 +49,28 @@ def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("ts").cast("timestamp_ntz").alias("ts"), *[rounded(c) for c in H_NUMBERS])
 
 
+_MISSING = ", ".join(f"'{text}'" for text in MISSING_TEXTS)
+
+
+@check(
+    "select doc_id, source, case when trim(text) not in (" + _MISSING + ") then text end as text from documents"
+)
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "documents-csv")
+    write_csv(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), path)
+    schema = T.StructType().add("doc_id", "long").add("source", "string").add("text", "string")
+    return read_csv(spark, path, schema, multiline=True)
+
+
+@check(f"select event_id, row_number() over (order by ts, event_id) - 1 as idx, count(*) over () as n_rows from ({EVENTS_SQL})")
+def csv_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "ordered-csv")
+    write_csv(table(spark, sf_dir, "events").orderBy("ts", "event_id"), path)
+    events = read_csv(spark, path, EVENTS_SCHEMA, file_order="place")
+    as_in_files = SeriesSpec(order_by=("place",), target="value", sensors=("value",))
+    return with_position(events, as_in_files, "ranged").select("event_id", "idx", "n_rows")
+
+
 @check(EVENTS_SQL)
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "events-json")

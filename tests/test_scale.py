@@ -1,5 +1,7 @@
 """What must hold for large and skewed input: equal paths, whole results, sound plans."""
 
+from pathlib import Path
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -12,6 +14,8 @@ from tideline.operators.order import choose_strategy, chronological_split, serie
 from tideline.operators.scale import Scaler
 from tideline.operators.windows import build_windows
 from tideline.plans.training import clean_series, prepare_split
+from tideline.session import new_path, staging
+from tideline.sources.tables import read_csv
 from tideline.spec import RunConfig, SeriesSpec, WindowSpec
 
 SPEC = SeriesSpec(order_by=("t", "k"), target="y", sensors=("a", "y"), series_keys=("s",))
@@ -159,3 +163,46 @@ def test_row_steps_work_on_a_stream(spark, skewed, tmp_path):
     query.awaitTermination(60)
     columns = ("a", "y", "hour_sin", "day_of_week")
     assert rows(spark.table("scaled"), *columns) == rows(model.transform(with_ts), *columns)
+
+
+def test_long_series_alone_are_sorted_by_range(skewed):
+    """One series of half the rows takes the ranged path, the others (one of them without a key) one shuffle."""
+    placed = with_position(skewed, SPEC, "ranged", long_rows=1000)
+    columns = ("s", "t", "k", "idx", "n_rows")
+    assert rows(placed, *columns) == rows(with_position(skewed, SPEC, "single"), *columns)
+    text = plan(placed)
+    assert "hashpartitioning" not in text and "Window" not in text  # both parts are written
+
+
+def test_building_a_plan_starts_no_job(spark, skewed):
+    placed = chronological_split(with_position(skewed, SPEC, "single"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "")
+    try:
+        build_windows(placed, SPEC, WindowSpec(5))
+        assert len(tracker.getJobIdsForGroup("plan-only")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_staged_tables_are_removed(spark, skewed):
+    with staging(spark) as folder:
+        n = with_position(skewed, SPEC, "ranged", long_rows=1000).count()
+        assert n == 3000 and Path(folder.removeprefix("file:")).is_dir()
+    assert not Path(folder.removeprefix("file:")).exists()
+    assert folder not in new_path(spark, "next")
+
+
+def test_csv_as_it_stands(spark, tmp_path):
+    path = tmp_path / "in"
+    path.mkdir()
+    (path / "a.csv").write_text('k,note,ok\n2,"one\ntwo",True\n1," x ",false\n')
+    (path / "b.csv").write_text("k,note,ok\n0,z,TRUE\n")
+    found = read_csv(spark, str(path), multiline=True, file_order="place").orderBy("place")
+    assert [tuple(r)[:3] for r in found.collect()] == [(2, "one\ntwo", True), (1, " x ", False), (0, "z", True)]
+    (path / "b.csv").write_text("note,k,ok\nz,0,TRUE\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(path), found.drop("place").schema, multiline=True).collect()
+    (path / "b.csv").write_text("k,note,ok\n0,z\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, str(path), found.drop("place").schema, multiline=True).collect()

@@ -2,9 +2,10 @@
 
 Two ways lead to the same positions.  ``single`` numbers the rows of a series
 in one window group; it needs one shuffle, but a whole series must fit one
-task.  ``ranged`` sorts the table by range over all tasks, writes it, and adds
-up the row counts of the ranges; no task holds more than a range, whatever the
-length of a series.  ``auto`` counts the rows per series and decides.
+task.  ``ranged`` does so for short series only: it sorts the rows of the long
+ones by range over all tasks, writes them, and adds up the row counts of the
+ranges; no task holds more than a range, whatever the length of a series.
+``auto`` counts the rows per series and decides.
 """
 
 from __future__ import annotations
@@ -54,11 +55,18 @@ def choose_strategy(df: DataFrame, spec: SeriesSpec, strategy: str = "auto") ->
     return "single" if longest <= SMALL_SERIES_ROWS or fits else "ranged"
 
 
-def with_position(df: DataFrame, spec: SeriesSpec, strategy: str = "auto") -> DataFrame:
-    """Add ``idx`` (0-based position in the series) and ``n_rows`` (its length)."""
+def with_position(
+    df: DataFrame, spec: SeriesSpec, strategy: str = "auto", long_rows: int | None = None
+) -> DataFrame:
+    """Add ``idx`` (0-based position in the series) and ``n_rows`` (its length).
+
+    On the ranged path only series of more than ``long_rows`` rows (``SMALL_SERIES_ROWS``) are sorted by range.
+    """
     if choose_strategy(df, spec, strategy) == "single":
         return _number_in_one_group(df, spec)
-    return _number_by_range(df, spec)
+    if not spec.series_keys:
+        return _number_by_range(df, spec)
+    return _number_by_length(df, spec, SMALL_SERIES_ROWS if long_rows is None else long_rows)
 
 
 def total_order(df: DataFrame, spec: SeriesSpec) -> list[Column]:
@@ -77,6 +85,20 @@ def _number_in_one_group(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     )
 
 
+def _number_by_length(df: DataFrame, spec: SeriesSpec, long_rows: int) -> DataFrame:
+    # A long series has more than long_rows rows, so their list is short. It is written, so that the planner
+    # knows its size; each row is written once to the part it belongs to.
+    keys = list(spec.series_keys)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    long = stage(sizes.where(F.col("_size") > long_rows).select(*keys, F.lit(True).alias("_long")), "long-series")
+    if long.isEmpty():
+        return stage(_number_in_one_group(df, spec), "numbered")
+    marked = join_by_keys(df, long, keys, ["_long"]).withColumn("_long", F.coalesce("_long", F.lit(False)))
+    marked = stage(marked, "by-length", ("_long",))
+    short = stage(_number_in_one_group(marked.where("not _long").drop("_long"), spec), "numbered")
+    return short.unionByName(_number_by_range(marked.where("_long").drop("_long"), spec))
+
+
 def _number_by_range(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     keys = list(spec.series_keys)
     sort_cols = [*[F.col(f"`{c}`") for c in keys], *total_order(df, spec)]

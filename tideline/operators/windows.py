@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec as Frame
 from pyspark.sql import functions as F
 
-from tideline.operators.order import choose_strategy
+from tideline.operators.order import STRATEGIES
 from tideline.spec import SeriesSpec, WindowSpec
 
 CHUNK_ROWS = 65_536
@@ -105,10 +105,12 @@ def build_windows(
     the features (named columns, or ``x`` for flat windows), ``y`` (array), the
     timestamps ``y_time`` of ``y`` (array) and ``baseline`` (the last known target).
     ``include_future`` also keeps the windows whose targets are not known yet.
+    Building the plan starts no job: ``auto`` frames in chunks, which suits any length.
     """
     keys = list(spec.series_keys)
     is_split = "split" in df.columns
-    strategy = choose_strategy(df, spec, strategy)
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     time_columns = present_time_columns(df.columns, spec)
     flat = flat_columns(df, spec) if window.feature_mode == "flat" else []
     if window.feature_mode == "industrial":

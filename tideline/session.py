@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Session setting that names the folder of the current ``staging`` block.
+_STAGING = "tideline.staging"
+
 
 def local_session(app: str = "tideline", cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the bench."""
@@ -25,20 +30,39 @@ def local_session(app: str = "tideline", cores: int | str = "*", partitions: int
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only on a local master without that setting.
+    A temporary folder stands in only where driver and executors are one process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tideline-"))
     return spark.sparkContext.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, or in that of the ``staging`` block around."""
+    folder = spark.conf.get(_STAGING, None) or shared_folder(spark).rstrip("/")
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """Collects the tables written inside in one folder and removes it at the end.
+
+    Frames made inside read those tables, so write or collect results before the block ends.
+    """
+    outer = spark.conf.get(_STAGING, None)
+    folder = new_path(spark, "run")
+    spark.conf.set(_STAGING, folder)
+    try:
+        yield folder
+    finally:
+        spark.conf.set(_STAGING, outer) if outer else spark.conf.unset(_STAGING)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
