@@ -158,10 +158,25 @@ def chronological_split_per_series(spark: SparkSession, sf_dir: str) -> DataFram
 
 @check(_L_SPLIT)
 def chronological_split_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = chronological_split(with_position(supplier_lines(spark, sf_dir), L, "ranged"))
+    split = chronological_split(with_position(supplier_lines(spark, sf_dir), L, "ranged", long_rows=0))
     return split.select("l_suppkey", *L_ORDER, *_POSITIONS)
 
 
+_MIXED = SeriesSpec(order_by=("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"), target="l_extendedprice", sensors=(), series_keys=("series",))
+
+
+@check(
+    f"""with {split_ctes(f"select *, case when l_orderkey % 2 = 0 then 0 else l_orderkey end as series from ({L_SQL})", _MIXED)}
+    select series, l_orderkey, l_linenumber, l_partkey, l_extendedprice, idx, n_rows, split from q"""
+)
+def chronological_split_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One series of half of all rows, the others of a few rows each."""
+    even = F.col("l_orderkey") % 2 == 0
+    lines = supplier_lines(spark, sf_dir).withColumn("series", F.when(even, 0).otherwise(F.col("l_orderkey")))
+    split = chronological_split(with_position(lines, _MIXED, "ranged", long_rows=1_000))
+    return split.select("series", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "idx", "n_rows", "split")
+
+
 @check(f"with {split_ctes(E_SQL, E)} select event_id, idx, n_rows, split, pos, split_rows from q")
 def chronological_split_one_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = chronological_split(with_position(event_line(spark, sf_dir), E, "ranged"))
