@@ -38,8 +38,8 @@ def predict(df: DataFrame, run: TrainedRun, include_future: bool = False) -> Dat
 def evaluate(
     spark: SparkSession, df: DataFrame, run: TrainedRun, run_name: str | None = None, runs_path: str | None = None
 ) -> DataFrame:
-    """The six metrics over the whole given table; optionally appended to the run table."""
-    metrics = regression_metrics(predict(df, run), "actual", "prediction")
+    """The six metrics over all windows of the given table that have an actual value; optionally appended to the run table."""
+    metrics = regression_metrics(predict(df, run).where(F.col("actual").isNotNull()), "actual", "prediction")
     if runs_path:
         row = metrics.first()
         append_runs(
@@ -50,6 +50,7 @@ def evaluate(
                     "run_name": run_name or "evaluation",
                     "status": "evaluation",
                     "model_kind": run.config.model_kind,
+                    "sample_definition": {k: str(v) for k, v in vars(run.config.window).items()},
                     "feature_count": len(run.names),
                     "samples": {"all": row["n_samples"]},
                     "metrics": {"all": {m: row[m] for m in METRICS}},
