@@ -23,6 +23,8 @@ WINDOW = 8
 MOST_WORDS = 200_000
 LONGEST_WORD = 64
 WORDS_AT_ONCE = 1 << 20
+#: Tokens of a window of entropy; a shorter text is one window, the last of a longer one takes the rest in.
+ENTROPY_WINDOW = 1_024
 
 # First code point of stretches of Unicode blocks, and the script of their letters.
 SCRIPT_STARTS = [
@@ -39,14 +41,16 @@ class Band:
 
     Characters per token of either vocabulary lie between two bounds, the lower one less ``slack`` over the
     root of ``n``, since short texts scatter; the share of byte tokens is at most, and the entropy of the
-    tokens, in parts of the logarithm of their number, at least so much.
+    tokens at least so much. It is taken in windows of ``ENTROPY_WINDOW`` tokens that cover the whole text, in
+    parts of the logarithm of their number, and averaged: over a whole text the logarithm grows with length
+    while the entropy of a language does not.
     """
 
     chars_per_piece: tuple[float, float]
     chars_per_byte_token: tuple[float, float]
     slack: float
     fallback_share: float
-    relative_entropy: float
+    window_entropy: float
 
 
 @dataclass(frozen=True)
@@ -114,6 +118,20 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+def row_entropies(ids: np.ndarray) -> np.ndarray:
+    """Entropy of each row in parts of the logarithm of its length; 1 for rows of less than two."""
+    rows, n = ids.shape
+    if n < 2:
+        return np.ones(rows)
+    flat = np.sort(ids, axis=1)
+    starts = np.ones(ids.shape, bool)
+    starts[:, 1:] = flat[:, 1:] != flat[:, :-1]
+    at = np.flatnonzero(starts)
+    runs = np.diff(np.append(at, rows * n))
+    weight = np.bincount(at // n, runs * np.log2(runs), minlength=rows)
+    return 1 - weight / (n * np.log2(n))
+
+
 class Tokenisers:
     """Both vocabularies over words; a word is encoded as it stands after a blank."""
 
@@ -132,20 +150,31 @@ class Tokenisers:
         ids = self.pieces.encode(text) + [self.size] * len(self.bytes.encode_ordinary(" " + text))
         return array("I", ids).tobytes()
 
-    def measure(self, words: list[bytes], word_chars: int) -> tuple[float, float, float, float]:
-        """Characters per piece and per byte-level token, share of byte pieces, relative entropy of the pieces."""
+    def measure(self, words: list[bytes], word_chars: int) -> tuple[float, float, float, float, float]:
+        """Characters per piece and per byte-level token, share of byte pieces, relative entropy of the pieces.
+
+        The entropy is that of the whole text and, last, the mean of its windows weighted by their pieces.
+        """
         if not words:
-            return 0.0, 0.0, 0.0, 0.0
+            return 0.0, 0.0, 0.0, 0.0, 0.0
         counts = np.zeros(self.size + 1, np.int64)
+        open_part, windowed = np.zeros(0, np.uint32), 0.0
         for at in range(0, len(words), WORDS_AT_ONCE):
             raw = b"".join(map(self.of_word.__getitem__, words[at : at + WORDS_AT_ONCE]))
-            counts += np.bincount(np.frombuffer(raw, np.uint32), minlength=self.size + 1)
+            ids = np.frombuffer(raw, np.uint32)
+            counts += np.bincount(ids, minlength=self.size + 1)
+            open_part = np.concatenate([open_part, ids[ids < self.size]])
+            full = max(len(open_part) // ENTROPY_WINDOW - 1, 0) * ENTROPY_WINDOW
+            if full:
+                windowed += ENTROPY_WINDOW * float(row_entropies(open_part[:full].reshape(-1, ENTROPY_WINDOW)).sum())
+                open_part = open_part[full:]
         byte_tokens, counts = int(counts[-1]), counts[:-1]
         n = int(counts.sum())
         seen = counts[counts > 0] / max(n, 1)
         entropy = float(-(seen * np.log2(seen)).sum()) / np.log2(n) if n > 1 else 1.0
         fallback = float(counts[self.is_byte].sum() / max(n, 1))
-        return word_chars / max(n, 1), word_chars / max(byte_tokens, 1), fallback, entropy
+        windowed += len(open_part) * float(row_entropies(open_part.reshape(1, -1))[0])
+        return word_chars / max(n, 1), word_chars / max(byte_tokens, 1), fallback, entropy, windowed / max(n, 1)
 
 
 def judge(text: str | None, lang: str | None, tools: Tokenisers, bands: Bands) -> tuple:
@@ -155,7 +184,7 @@ def judge(text: str | None, lang: str | None, tools: Tokenisers, bands: Bands) -
     word_chars = len(text) - sum(map(text.count, BLANKS))
     repeats = repeated_words(words)
     failed = len(words) < 20 or 100 * repeats > 30 * len(words)
-    per_piece, per_token, fallback, entropy = tools.measure(words, word_chars)
+    per_piece, per_token, fallback, entropy, flatness = tools.measure(words, word_chars)
     band = bands.by_lang.get(lang or "")
     band = band or bands.by_script.get(script(text), bands.other)
     slack = band.slack / max(len(words), 1) ** 0.5
@@ -163,18 +192,18 @@ def judge(text: str | None, lang: str | None, tools: Tokenisers, bands: Bands) -
         band.chars_per_piece[0] - slack <= per_piece <= band.chars_per_piece[1]
         and band.chars_per_byte_token[0] - slack <= per_token <= band.chars_per_byte_token[1]
         and fallback <= band.fallback_share
-        and entropy >= band.relative_entropy
+        and flatness >= band.window_entropy
     )
     return (
         len(words), word_chars, sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeats,
-        failed, not failed and inside, *(round(x, 6) for x in (per_piece, per_token, fallback, entropy)),
+        failed, not failed and inside, *(round(x, 6) for x in (per_piece, per_token, fallback, entropy, flatness)),
     )
 
 
 RESULT = [
     *((n, "long", pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
     *((n, "boolean", pa.bool_()) for n in ("base_failed", "kept")),
-    *((n, "double", pa.float64()) for n in ("chars_per_piece", "chars_per_token", "fallback_share", "relative_entropy")),
+    *((n, "double", pa.float64()) for n in ("chars_per_piece", "chars_per_token", "fallback_share", "relative_entropy", "window_entropy")),
 ]
 
 
