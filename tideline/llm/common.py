@@ -10,6 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.session import stage
+
+BROADCAST_ROWS = 1_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,6 +62,29 @@ def join_hot(rows: DataFrame, small: DataFrame, key: str, count_col: str, share:
     return rows.join(F.broadcast(hot), key).unionByName(rest.join(small.drop(count_col), key))
 
 
+def text_class(text_col: str) -> Column:
+    """A class of equal texts, as 64 bits; a null is an empty text."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+
+
+def one_of_each(docs: DataFrame, node: Column, named: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` that stay; ``named`` has the component of linked nodes."""
+    marks = docs.select(F.col(f"`{id_col}`").alias("id"), node.alias("node"))
+    marks = stage(marks.where("id is not null").groupBy("id", "node").agg(F.count(F.lit(1)).alias("n")), "marks")
+    lowest = marks.groupBy("node").agg(F.min("id").alias("id")).join(named, "node", "left")
+    lowest = lowest.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min(F.struct("id", "node")).alias("first"))
+    first = stage(lowest.select("first.*"), "first")
+    repeated = stage(marks.where("n > 1").join(first, ["id", "node"], "left_semi").select("id", "node"), "repeated")
+    gone = stage(marks.join(first, ["id", "node"], "left_anti").select("id", "node").unionByName(repeated), "gone")
+    small = gone.count() <= BROADCAST_ROWS
+    side = F.broadcast(gone) if small else gone
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("__row"), F.col(f"`{id_col}`").alias("id"), node.alias("node"))
+    one = rows.join(F.broadcast(repeated) if small else repeated, ["id", "node"], "left_semi")
+    one = one.groupBy("id", "node").agg(F.min("__row").alias("__row")).select("__row.*")
+    return rows.join(side, ["id", "node"], "left_anti").select("__row.*").unionByName(one)
+
+
 def crc_fold(doc_id: int | None) -> int:
     """``fold`` of one id, for tests."""
     return 0 if doc_id is None else zlib.crc32(str(doc_id).encode()) % 5

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import join_hot, slices
+from tideline.llm.common import join_hot, one_of_each, slices, text_class
 from tideline.llm.components import connected_components
 from tideline.session import stage
 
@@ -139,18 +139,16 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, distance: int = 4, size: int = 4, id_col: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, distance: int = 4, size: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, that of the smallest id, with all columns of ``docs``.
 
-    Of rows under one id the smallest (by its columns in order) stays. A row without an id stays.
+    The row is chosen by its id and text, so that two texts under one id do not stand for each other. Of rows
+    of one id and one text the smallest (by its columns in order) stays. A row without an id stays.
     """
-    groups = stage(near_duplicates(docs, distance, size, id_col), "groups").select(id_col, "component_id")
-    known = groups.where(F.col(id_col).isNotNull())
-    gone = known.where(F.col(id_col) != F.col("component_id")).select(id_col)
-    repeated = known.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_col)
-    repeated = stage(repeated.join(gone, id_col, "left_anti"), "repeated")
-    out = stage(gone.unionByName(repeated).distinct(), "gone")
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != id_col])
-    one = docs.join(repeated, id_col, "left_semi").groupBy(id_col).agg(F.min(rest).alias("_row"))
-    one = one.select(id_col, "_row.*").select(*[f"`{c}`" for c in docs.columns])
-    return docs.join(out, id_col, "left_anti").select(*[f"`{c}`" for c in docs.columns]).unionByName(one)
+    node = text_class(text_col)
+    texts = docs.select(node.alias("node"), F.col(f"`{text_col}`").alias("text"))
+    marks = stage(with_fingerprint(texts, size, "node", "text").distinct(), "fingerprints")
+    fps = stage(marks.select("fp").distinct(), "classes")
+    groups = connected_components(fingerprint_links(fps, distance), "a", "b")
+    roots = stage(fps.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component")), "roots")
+    return one_of_each(docs, node, marks.join(roots, "fp").select("node", "component"), id_col)
