@@ -65,6 +65,14 @@ def staging(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_staged(df: DataFrame) -> None:
+    """Remove the written table that ``stage`` returned; no frame that reads it may be used afterwards."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the written table.
 
