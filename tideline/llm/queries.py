@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
-from tideline.llm import bpe, chat, embeddings, html, language, mixing, quality_model, rules, simhash, warc
+from tideline.llm import bpe, chat, codes, embeddings, html, language, mixing, phrases, quality_model, rules, simhash, toxicity, warc
 from tideline.llm.common import fold, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -146,6 +146,75 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.encoded(table(spark, sf_dir, "embeddings"))
+
+
+def _lloyd_sql(rounds: int = codes.ROUNDS, entries: int = codes.ENTRIES, parts: int = codes.PARTS) -> str:
+    """One block of common tables per round; ``c0`` has the first codebooks, ``cK`` those after round K."""
+    out = [f"""with recursive v as materialized (
+  select row_number() over () as id, vec_id, label, list_transform(embedding, lambda x: floor({codes.SCALE} * x::double)::bigint) as e
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as materialized (select id, k as part, e[k * len(e) // {parts} + 1 : (k + 1) * len(e) // {parts}] as x from v, range({parts}) as r(k)),
+s as (select id, row_number() over (order by vec_id nulls last, e) - 1 as entry from v),
+c0 as materialized (select part, entry, x as c from p join s using (id) where entry < {entries})"""]
+    for k in range(rounds + 1):
+        out.append(f"""a{k} as materialized (select id, p.part, min(struct_pack(
+    d := list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint, entry := entry)) as best
+  from p join c{k} using (part) group by id, p.part)""")
+        if k < rounds:
+            out.append(f"""m{k} as (select part, best.entry as entry, place,
+    sum(x[place])::hugeint as total, count(*) as n
+  from a{k} join p using (id, part), range(1, 1000) as r(place) where place <= len(x) group by all),
+c{k + 1} as materialized (select part, entry, coalesce(list(((total - ((total % n) + n) % n) // n)::bigint order by place) filter (where n is not null), any_value(c)) as c
+  from c{k} left join m{k} using (part, entry) group by part, entry)""")
+    out.append(f"""h as (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) as codebooks_sha256 from c{rounds}),
+r as (select id, string_agg(lpad(to_hex(best.entry), 2, '0'), '' order by part) as code, sum(best.d)::bigint as error from a{rounds} group by id)""")
+    tail = """select vec_id, lower(code) as code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256
+from r join v using (id), h"""
+    return ",\n".join(out) + "\n" + tail
+
+
+OP11_SQL = _lloyd_sql()
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = f"""
+with d as (select coalesce(lang, '{phrases.NO_LANG}') as lang, row_number() over () as id,
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as pieces
+  from documents),
+p as (select lang, row_number() over () as id, piece from (select lang, unnest(pieces) as piece from d)),
+w as (select lang, id, unnest(l) as w1, generate_subscripts(l, 1) as pos
+  from (select lang, id, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') as l from p)),
+x as materialized (select lang, w1, lead(w1) over o as w2, lead(w1, 2) over o as w3 from w window o as (partition by id order by pos)),
+g as (select lang, 1 as words, w1 as phrase from x union all select lang, 2, w1 || ' ' || w2 from x where w2 is not null
+  union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 from x where w3 is not null),
+f as materialized (select lang, words, phrase, count(*) as n from g group by all),
+t as (select lang, sum(n)::bigint as n from f where words = 1 group by lang),
+q as materialized (select lang, words, phrase, n as a from f where words > 1 and n >= {phrases.SUPPORT}),
+c as materialized (select q.*, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') as head,
+    array_to_string(string_split(phrase, ' ')[k + 1 : words], ' ') as tail
+  from q, range(1, {phrases.LONGEST}) as r(k) where k < words),
+b as (select c.lang, c.phrase, c.words, a, arg_min(struct_pack(l := l.n, r := r.n, score := (1000000::hugeint * a * a // (l.n::hugeint * r.n))::bigint),
+      struct_pack(s := (1000000::hugeint * a * a // (l.n::hugeint * r.n)), k := k)) as cut
+  from c join f l on l.lang = c.lang and l.phrase = c.head join f r on r.lang = c.lang and r.phrase = c.tail
+  group by all),
+i as (select lang, array_to_string(string_split(phrase, ' ')[s : s + 1], ' ') as phrase, max(a) as around
+  from q, range(1, 3) as r(s) where words = 3 group by all),
+k as (select b.* from b left join i using (lang, phrase) where around is null or 100 * around < 50 * b.a),
+o as (select lang, row_number() over (partition by lang order by cut.score desc, a desc, phrase) as rank, phrase, a, cut.l as l, cut.r as r, cut.score as score
+  from k)
+select lang, rank, phrase, a, l, r, t.n as n, score from o join t using (lang) where rank <= {phrases.TOP}"""
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -154,7 +223,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_html_extraction, op2_quality_classifier, op3_chat_formatting, op4_mixing, op5_bpe, op6_simhash,
-        op7_embeddings, op8_quality_rules, op9_warc, op10_language_id, pipeline,
+        op7_embeddings, op8_quality_rules, op9_warc, op10_language_id, op11_vector_codes, op12_phrases, op13_toxicity,
+        pipeline,
     )
 }
 
@@ -163,4 +233,6 @@ ORACLES: dict[str, str] = {
     "op4_mixing": OP4_SQL,
     "op7_embeddings": OP7_SQL,
     "op9_warc": OP9_SQL,
+    "op11_vector_codes": OP11_SQL,
+    "op12_phrases": OP12_SQL,
 }
