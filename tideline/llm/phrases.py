@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Memory, held, join_hot, slices
+from tideline.llm.common import join_hot, slices
 from tideline.session import stage
 
 SUPPORT = 10
@@ -30,20 +30,52 @@ SALTS = 64
 
 # Characters that end a piece.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
-_PLAIN = bytes.maketrans(bytes(range(65, 91)) + BREAKS, bytes(range(97, 123)) + b"." * len(BREAKS))
+BLANK, BREAK = 32, 46
+_PLAIN = bytes.maketrans(bytes(range(65, 91)) + b"\t" + BREAKS, bytes(range(97, 123)) + b" " + b"." * len(BREAKS))
 _TURNS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
-
-
-def tokens(texts: Iterable[str | None]) -> list[bytes]:
-    """Lower-cased words of all texts in order; a ``.`` stands between pieces and between texts."""
-    joined = ".".join([t for t in texts if t]).encode()
-    return joined.translate(_PLAIN).replace(b".", b" . ").split()
-
-
-def _marks(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash of every word, 0 for what ends a piece."""
-    memory = held("phrases", lambda: Memory(lambda w: 0 if w == b"." else xxhash.xxh64_intdigest(w) | 1, 400_000, 64))
-    return np.fromiter(map(memory.__getitem__, words), np.uint64, len(words))
+_BYTES = np.random.default_rng(12).integers(0, 1 << 64, (2, 256), np.uint64)
+_BASES = (0x2545F4914F6CDD1D, 0x369DEA0F31A53F85)
+CHARS_AT_ONCE = 1 << 20
+_powers: dict[int, np.ndarray] = {}
+
+
+def _power(base: int, n: int) -> np.ndarray:
+    """``base ** k`` for k up to ``n`` at least, in 64 bits."""
+    held = _powers.get(base)
+    if held is None or len(held) <= n:
+        factors = np.full(max(n + 1, 1 << 20), base, np.uint64)
+        factors[0] = 1
+        held = _powers[base] = np.multiply.accumulate(factors)
+    return held
+
+
+class Words:
+    """The words of some texts: their bytes, lower-cased, where each begins and ends, and the piece it lies in."""
+
+    def __init__(self, texts: Iterable[str | None]):
+        self.data = "\n".join([t for t in texts if t]).encode().translate(_PLAIN)
+        self.bytes = np.frombuffer(self.data, np.uint8)
+        inside = np.concatenate([[False], (self.bytes != BLANK) & (self.bytes != BREAK), [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.starts, self.ends = edges[::2], edges[1::2]
+        self.piece = np.cumsum(self.bytes == BREAK)[self.starts] if len(self.starts) else self.starts
+
+        self._marks: dict[int, np.ndarray] = {}
+
+    def marks(self, which: int = 0) -> np.ndarray:
+        """A 64-bit hash of every word: a polynomial of its bytes, by differences of sums over all bytes."""
+        if which in self._marks:
+            return self._marks[which]
+        base, n = _BASES[which], len(self.bytes)
+        upto = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTES[which][self.bytes] * _power(base, n)[:n], out=upto[1:])
+        back = _power(pow(base, -1, 1 << 64), n)
+        self._marks[which] = _mixed((upto[self.ends] - upto[self.starts]) * back[self.starts])
+        return self._marks[which]
+
+    def phrase(self, first: int, size: int) -> bytes:
+        """The words from number ``first`` on, joined by single blanks."""
+        return b" ".join(self.data[a:b] for a, b in zip(self.starts[first : first + size], self.ends[first : first + size]))
 
 
 def _mixed(value: np.ndarray) -> np.ndarray:
@@ -51,18 +83,18 @@ def _mixed(value: np.ndarray) -> np.ndarray:
     return value ^ (value >> np.uint64(29))
 
 
-def phrase_marks(marks: np.ndarray, size: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of the phrase of ``size`` words at every place that has one, and those places."""
-    n = len(marks) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    within = marks[:n] != 0
-    value = np.full(n, salt & 0xFFFFFFFFFFFFFFFF, np.uint64) + np.uint64(size)
+def phrase_places(words: Words, size: int) -> np.ndarray:
+    """Numbers of the words at which a phrase of ``size`` words begins, all in one piece."""
+    n = max(len(words.starts) - size + 1, 0)
+    return np.flatnonzero(words.piece[:n] == words.piece[size - 1 : size - 1 + n])
+
+
+def phrase_marks(marks: np.ndarray, places: np.ndarray, size: int, salt: int) -> np.ndarray:
+    """A 64-bit hash of the phrases of ``size`` words at these places, from the hashes of all words."""
+    value = np.full(len(places), (salt + size) & 0xFFFFFFFFFFFFFFFF, np.uint64)
     for k in range(size):
-        within &= marks[k : k + n] != 0
-        value = _mixed(value * _TURNS[0] + marks[k : k + n])
-    places = np.flatnonzero(within)
-    return value[places], places
+        value = _mixed(value * _TURNS[0] + marks[places + k])
+    return value
 
 
 def _salt(name: str) -> int:
@@ -100,31 +132,36 @@ def _sources(docs: DataFrame, shards: int, text_col: str, lang_col: str) -> Data
     return docs.select(text.alias("text"), lang.alias("lang"), F.pmod(F.xxhash64(F.lit(0), *keys), F.lit(shards)).cast("int").alias("shard"))
 
 
-def _groups(batch: pa.RecordBatch, by_shard: bool) -> Iterator[tuple[str, int | None, list[str]]]:
-    """Texts of a batch by language, and by shard if asked for."""
+def _groups(batch: pa.RecordBatch, by_shard: bool) -> Iterator[tuple[str, int | None, Words]]:
+    """Words of a batch by language, and by shard if asked for, in stretches of whole texts of bounded size."""
     out: dict = {}
     shards = batch.column(2).to_pylist() if by_shard else [None] * batch.num_rows
     for text, lang, shard in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shards):
-        out.setdefault((lang, shard), []).append(text)
-    for (lang, shard), texts in out.items():
-        yield lang, shard, texts
+        texts, size = out.get((lang, shard), ([], 0))
+        texts.append(text)
+        out[lang, shard] = texts, size + len(text)
+        if size + len(text) >= CHARS_AT_ONCE:
+            yield lang, shard, Words(texts)
+            del out[lang, shard]
+    for (lang, shard), (texts, _) in out.items():
+        yield lang, shard, Words(texts)
 
 
 def _counted(cells: list[np.ndarray], shards: list[np.ndarray]) -> pa.RecordBatch:
-    """Occurrences of each phrase in each shard, from the hashes at all places and their shards."""
+    """Occurrences of each phrase in each cell, from the hashes at all places and their cells."""
     every, of, out = np.concatenate(cells), np.concatenate(shards), []
-    for shard in np.unique(of):
-        marks, counts = np.unique(every[of == shard], return_counts=True)
-        out.append((marks.view(np.int64), np.full(len(marks), shard, np.int32), counts))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["mark", "shard", "n"])
+    for cell in np.unique(of):
+        marks, counts = np.unique(every[of == cell], return_counts=True)
+        out.append((marks.view(np.int64), np.full(len(marks), cell, np.int32), counts))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["mark", "cell", "n"])
 
 
 def _shard_salts(shards: int) -> list[int]:
     return [_salt(f"shard {k}") for k in range(shards)]
 
 
-def mined(sources: DataFrame, size: int, least: dict[int, int], shorter: Filter | None, salts: list[int]) -> DataFrame:
-    """``(mark, shard)`` of every phrase of ``size`` words that is frequent within a shard, by that shard's support ``least``.
+def mined(sources: DataFrame, sizes: tuple[int, ...], least: dict[int, int], shorter: Filter | None, salts: list[int]) -> DataFrame:
+    """``(words, mark, shard)`` of every phrase of such ``sizes`` that is frequent within a shard, by its support ``least``.
 
     ``shorter`` holds the phrases of one word less that are frequent in their shard: a phrase whose first or last
     words are not among them cannot be frequent there. Tasks count what they hold before anything is shuffled.
@@ -134,28 +171,31 @@ def mined(sources: DataFrame, size: int, least: dict[int, int], shorter: Filter
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, cells, of, n_held = shared.value, [], [], 0
         for batch in slices(batches):
-            for lang, shard, texts in _groups(batch, True):
-                words, salt = _marks(tokens(texts)), _salt(lang)
-                value, places = phrase_marks(words, size, salt)
-                if known is not None and len(value):
-                    part, starts = phrase_marks(words, size - 1, salt)
-                    good = np.zeros(len(words) + 1, bool)
-                    good[starts] = known.has(part ^ np.uint64(salts[shard]))
-                    value = value[good[places] & good[places + 1]]
-                cells.append(value)
-                of.append(np.full(len(value), shard, np.int32))
-                n_held += len(value)
+            for lang, shard, words in _groups(batch, True):
+                marks, salt = words.marks(), _salt(lang)
+                for size in sizes:
+                    places = phrase_places(words, size)
+                    if known is not None:
+                        starts = phrase_places(words, size - 1)
+                        good = np.zeros(len(marks) + 1, bool)
+                        good[starts] = known.has(phrase_marks(marks, starts, size - 1, salt) ^ np.uint64(salts[shard]))
+                        places = places[good[places] & good[places + 1]]
+                    value = phrase_marks(marks, places, size, salt)
+                    cells.append(value)
+                    of.append(np.full(len(value), size * len(salts) + shard, np.int32))
+                    n_held += len(value)
             if n_held >= CELLS_AT_ONCE:
                 yield _counted(cells, of)
                 cells, of, n_held = [], [], 0
         if n_held:
             yield _counted(cells, of)
 
-    counts = sources.mapInArrow(run, "mark long, shard int, n long").groupBy("mark", "shard").agg(F.sum("n").alias("n"))
-    enough = F.lit(1)
-    for shard, support in least.items():
-        enough = F.when(F.col("shard") == shard, support).otherwise(enough)
-    return counts.where(F.col("n") >= enough).select("mark", "shard")
+    counts = sources.mapInArrow(run, "mark long, cell int, n long").groupBy("mark", "cell").agg(F.sum("n").alias("n"))
+    enough, shard = F.lit(1), F.col("cell") % len(salts)
+    for own, support in least.items():
+        enough = F.when(shard == own, support).otherwise(enough)
+    words = F.expr(f"cast(cell div {len(salts)} as int)").alias("words")
+    return counts.where(F.col("n") >= enough).select(words, "mark", shard.alias("shard"))
 
 
 def _sized(sources: DataFrame) -> DataFrame:
@@ -170,30 +210,39 @@ def local_supports(words: dict[int, int], support: int) -> dict[int, int]:
     return {shard: max(1, -(-support * n // total)) if total else 1 for shard, n in words.items()}
 
 
+def _tallied(words: Words, size: int, value: np.ndarray, places: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct phrases at these places and how often each stands there.
+
+    Places of one hash are compared by a second one; should they differ, their phrases are told apart by their words.
+    """
+    _, first, of, n = np.unique(value, return_index=True, return_inverse=True, return_counts=True)
+    second = phrase_marks(words.marks(1), places, size, 0)
+    odd = np.flatnonzero(second != second[first][of])
+    found = [words.phrase(k, size) for k in places[first].tolist()]
+    for k in odd.tolist():
+        n[of[k]] -= 1
+        found.append(words.phrase(int(places[k]), size))
+    return found, np.concatenate([n, np.ones(len(odd), n.dtype)])
+
+
 def counted(sources: DataFrame, candidates: list[Filter], support: int) -> DataFrame:
     """``(lang, phrase, words, n)``: exact counts, by their words, of all phrases the filters may hold; those of ``support``."""
     shared = sources.sparkSession.sparkContext.broadcast(candidates)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            langs, phrases, sizes, counts = [], [], [], []
-            for lang, _, texts in _groups(batch, False):
-                words = tokens(texts)
-                marks, salt = _marks(words), _salt(lang)
+            for lang, _, words in _groups(batch, False):
+                marks, salt = words.marks(), _salt(lang)
                 for size, known in enumerate(shared.value, 1):
-                    value, places = phrase_marks(marks, size, salt)
+                    places = phrase_places(words, size)
+                    value = phrase_marks(marks, places, size, salt)
                     keep = known.has(value)
-                    _, first, of, n = np.unique(value[keep], return_index=True, return_inverse=True, return_counts=True)
-                    at = places[keep]
-                    langs.append(np.full(len(first), lang, object))
-                    phrases += [b" ".join(words[k : k + size]).decode() for k in at[first].tolist()]
-                    sizes.append(np.full(len(first), size, np.int32))
-                    counts.append(n)
-            if phrases:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(langs), pa.string()), pa.array(phrases, pa.string()), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(counts))],
-                    names=["lang", "phrase", "words", "n"],
-                )
+                    phrases, n = _tallied(words, size, value[keep], places[keep])
+                    text = pa.array(phrases, pa.binary()).cast(pa.string())
+                    same = pa.array(np.full(len(phrases), size, np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(phrases), pa.string()), text, same, pa.array(n.astype(np.int64))], names=["lang", "phrase", "words", "n"]
+                    )
 
     rows = sources.mapInArrow(run, "lang string, phrase string, words int, n long")
     return rows.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
@@ -209,10 +258,11 @@ def frequent(sources: DataFrame, by_shard: dict[int, int], longest: int, support
     for shard, salt in enumerate(salts):
         own = F.when(F.col("shard") == shard, F.lit(int(np.uint64(salt).astype(np.int64)))).otherwise(own)
     local, union = None, []
-    for size in range(1, longest + 1):
-        found = stage(mined(sources, size, least, local, salts), "mined")
-        local = filter_of(found, F.col("mark").bitwiseXOR(own), bits)
-        union.append(filter_of(found, F.col("mark"), bits))
+    for sizes in [(1, 2), *((n,) for n in range(3, longest + 1))]:
+        found = stage(mined(sources, sizes, least, local, salts), "mined")
+        union += [filter_of(found.where(F.col("words") == n), F.col("mark"), bits) for n in sizes]
+        if sizes[-1] < longest:
+            local = filter_of(found.where(F.col("words") == sizes[-1]), F.col("mark").bitwiseXOR(own), bits)
     return counted(sources, union, support)
 
 
