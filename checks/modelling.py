@@ -111,7 +111,7 @@ _LINES = f"with {_samples_ctes(L_SQL, LINES_WEEKEND, 24)}"
 )
 def gbt_many_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One model with squared loss over the line items of all suppliers."""
-    config = RunConfig(LINES_WEEKEND, model_kind="lightgbm", model_params={**EXACT, "n_estimators": 2})
+    config = RunConfig(LINES_WEEKEND, model_kind="gbt_squared", model_params={**EXACT, "n_estimators": 2})
     run = run_training(spark, supplier_lines(spark, sf_dir), config, "suppliers")
     return metrics_table(run_frame(spark, [run.record])).select("run_name", "split", "metric", rounded("value"))
 

@@ -1,4 +1,4 @@
-"""Boosted-tree forecasters on ``pyspark.ml``."""
+"""Boosted-tree forecasters: on ``pyspark.ml`` (``gbt_*``) and grown round by round (``boosted_*``, see ``boosting``)."""
 
 from __future__ import annotations
 
@@ -15,7 +15,9 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Default parameters of the two regressors.
+from tideline.operators.boosting import Binned, BoostedModel, Booster
+
+# Default parameters of the regressors.
 DEFAULTS: dict[str, dict[str, Any]] = {
     "gbt_absolute": {
         "learning_rate": 0.01,
@@ -38,8 +40,13 @@ DEFAULTS: dict[str, dict[str, Any]] = {
     },
 }
 
-# Other names under which users know the two regressors.
-ALIASES = {"xgboost": "gbt_absolute", "lightgbm": "gbt_squared"}
+# Default leaf penalties of the regressors that know them.
+PENALTIES = {"reg_alpha": 0.5, "reg_lambda": 2.0}
+DEFAULTS["boosted_absolute"] = {**DEFAULTS["gbt_absolute"], **PENALTIES}
+DEFAULTS["boosted_squared"] = {**DEFAULTS["gbt_squared"], **PENALTIES}
+
+# Other names under which users know the regressors.
+ALIASES = {"xgboost": "boosted_absolute", "lightgbm": "boosted_squared"}
 
 # Names of the error by which rounds are compared, and the loss of ``pyspark.ml`` that measures it.
 EVAL_METRICS = {"mae": "absolute", "l1": "absolute", "mse": "squared", "l2": "squared", "rmse": "squared"}
@@ -48,11 +55,12 @@ EVAL_METRIC = "mae"
 #: Rounds of the first fit under early stopping; each further fit has twice as many.
 FIRST_ROUNDS = 64
 
-_LOSS = {"gbt_absolute": "absolute", "gbt_squared": "squared"}
+_LOSS = {"gbt_absolute": "absolute", "gbt_squared": "squared", "boosted_absolute": "absolute", "boosted_squared": "squared"}
 WITHOUT_COUNTERPART = ("reg_alpha", "reg_lambda", "objective", "n_jobs", "verbosity", "verbose")
+_NO_EFFECT = ("objective", "n_jobs", "verbosity", "verbose", "max_memory_mb", "tree_method", "metric")
 _KNOWN = {
     *(name for params in DEFAULTS.values() for name in params), *WITHOUT_COUNTERPART,
-    "eval_metric", "max_bins", "max_memory_mb", "random_state",
+    "eval_metric", "max_bins", "max_memory_mb", "random_state", "tree_method", "metric",
 }
 
 LABEL, FEATURES, PREDICTION = "_label", "_features", "_predicted"
@@ -66,6 +74,16 @@ def model_kind(kind: str) -> str:
     return kind
 
 
+def is_boosted(kind: str) -> bool:
+    """Whether a kind is grown round by round."""
+    return model_kind(kind).startswith("boosted_")
+
+
+def without_effect(kind: str) -> tuple[str, ...]:
+    """Known parameters that change nothing in a fit of this kind."""
+    return _NO_EFFECT if is_boosted(kind) else WITHOUT_COUNTERPART
+
+
 def merged_params(kind: str, params: dict[str, Any] | None = None) -> dict[str, Any]:
     """L3: defaults overridden by the given parameters."""
     unknown = sorted(set(params or {}) - _KNOWN)
@@ -78,7 +96,7 @@ def merged_params(kind: str, params: dict[str, Any] | None = None) -> dict[str,
 
 
 def make_estimator(kind: str, params: dict[str, Any] | None = None, seed: int = 42) -> GBTRegressor:
-    """L1/L2: a gradient-boosted regressor with absolute or squared loss.
+    """L1/L2: a gradient-boosted regressor of ``pyspark.ml`` with absolute or squared loss.
 
     The absolute loss moves by residual signs, so train it on scaled targets.
     """
@@ -138,9 +156,9 @@ def best_round(history: Sequence[float], patience: int | None) -> tuple[int, int
 
 @dataclass(frozen=True)
 class Fitted:
-    """One fitted pipeline with its validation history."""
+    """One fitted model with its validation history."""
 
-    model: PipelineModel
+    model: PipelineModel | BoostedModel
     history: tuple[float, ...]
     best_round: int | None
 
@@ -188,6 +206,35 @@ def fit_step(
     return Fitted(model, tuple(scores[:seen]), best)
 
 
+def fit_boosted(
+    binned: Binned,
+    step: int,
+    kind: str,
+    params: dict[str, Any] | None = None,
+    seed: int = 42,
+    use_val: bool = True,
+    start: BoostedModel | None = None,
+) -> Fitted:
+    """Fit one forecast step round by round on binned windows; see ``boosting``.
+
+    With validation rows and ``early_stopping_rounds`` exactly the best round and the patience are fitted, each
+    round once. ``start`` continues a fitted model on the same bins with up to ``n_estimators`` further rounds.
+    """
+    p = merged_params(kind, params)
+    metric = p.get("eval_metric", EVAL_METRIC)
+    own = {**p, "num_leaves": p.get("num_leaves") if model_kind(kind) == "boosted_squared" else None}
+    booster = Booster(binned, step, _LOSS[model_kind(kind)], own, int(p.get("random_state", seed)), use_val, start)
+    model, history, best = booster.fit(EVAL_METRICS[metric], metric == "rmse")
+    return Fitted(model, tuple(history), best)
+
+
+def importances_of(model: PipelineModel | BoostedModel) -> list[float]:
+    """The share of every input in what the splits gain."""
+    if isinstance(model, BoostedModel):
+        return model.importances()
+    return model.stages[-1].featureImportances.toArray().tolist()
+
+
 def _scores(model: PipelineModel, val: DataFrame, names: Sequence[str] | None, metric: str) -> list[float]:
     """The error on the validation rows after every round."""
     assembled = model.stages[0].transform(val) if names else val
@@ -195,10 +242,9 @@ def _scores(model: PipelineModel, val: DataFrame, names: Sequence[str] | None, m
     return [math.sqrt(s) for s in scores] if metric == "rmse" else list(scores)
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel | None, names: Sequence[str]) -> DataFrame:
+def feature_importance(spark: SparkSession, model: PipelineModel | BoostedModel | None, names: Sequence[str]) -> DataFrame:
     """(feature, importance), largest first."""
     if model is None:
         raise RuntimeError("the model is not fitted")
-    values = model.stages[-1].featureImportances.toArray().tolist()
-    frame = spark.createDataFrame(list(zip(names, values)), "feature string, importance double")
+    frame = spark.createDataFrame(list(zip(names, importances_of(model))), "feature string, importance double")
     return frame.orderBy(F.desc("importance"), "feature")

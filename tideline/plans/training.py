@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from threading import Lock
 from typing import Any
 
 from pyspark.ml import PipelineModel
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.metrics import METRICS, regression_metrics
 from tideline.functions.missing import nan_to_null
+from tideline.operators.boosting import Binned, BoostedModel, bin_windows
 from tideline.operators.clean import clean, drop_duplicates, impute_mean
 from tideline.operators.features import FeatureModel
 from tideline.operators.models import (
@@ -18,7 +20,10 @@ from tideline.operators.models import (
     FEATURES,
     PREDICTION,
     as_vectors,
+    fit_boosted,
     fit_step,
+    importances_of,
+    is_boosted,
     merged_params,
     model_kind,
     with_label,
@@ -40,6 +45,15 @@ class Samples:
     names: tuple[str, ...]
     config: RunConfig
     rows: dict[str, int]
+    _bins: dict[int, Binned] = field(default_factory=dict)
+    _lock: Lock = field(default_factory=Lock)
+
+    def binned(self, max_bins: int) -> Binned:
+        """The windows in bins, written once for all steps and trials."""
+        with self._lock:
+            if max_bins not in self._bins:
+                self._bins[max_bins] = bin_windows(self.windows, self.names, max_bins, self.assembled is None)
+            return self._bins[max_bins]
 
     @property
     def assembled(self) -> tuple[str, ...] | None:
@@ -53,7 +67,7 @@ class TrainedRun:
 
     config: RunConfig
     features: FeatureModel
-    models: list[PipelineModel]
+    models: list[PipelineModel | BoostedModel]
     names: tuple[str, ...]
     record: dict[str, Any]
 
@@ -119,31 +133,37 @@ def feature_names(transformed: DataFrame, config: RunConfig) -> tuple[str, ...]:
     return tuple(f"t{t}_{c}" for t in range(config.window.size) for c in columns)
 
 
-def train_samples(samples: Samples, params: dict[str, Any] | None = None) -> tuple[list[PipelineModel], dict[str, Any]]:
+def train_samples(samples: Samples, params: dict[str, Any] | None = None) -> tuple[list[PipelineModel | BoostedModel], dict[str, Any]]:
     """Fit every forecast step, score all splits in one pass, return models and record."""
     config = samples.config
     kind = model_kind(config.model_kind)
     merged = {**config.model_params, **(params or {})}
-    windows = as_vectors(samples.windows, samples.assembled)
+    own = is_boosted(kind)
+    windows = samples.windows if own else as_vectors(samples.windows, samples.assembled)
     train, val = windows.where(F.col("split") == "train"), windows.where(F.col("split") == "val")
     if train.isEmpty():
         raise ValueError("no training windows: every series is shorter than window + horizon")
     use_val = config.use_validation and not val.isEmpty()
-    fitted = [
-        fit_step(
-            with_label(train, step),
-            with_label(val, step) if use_val else None,
-            samples.assembled,
-            kind,
-            merged,
-            config.seed,
-        )
-        for step in range(1, config.window.horizon + 1)
-    ]
+    steps = range(1, config.window.horizon + 1)
+    if own:
+        binned = samples.binned(int(merged_params(kind, merged).get("max_bins", 64)))
+        fitted = [fit_boosted(binned, step, kind, merged, config.seed, use_val) for step in steps]
+    else:
+        fitted = [
+            fit_step(
+                with_label(train, step),
+                with_label(val, step) if use_val else None,
+                samples.assembled,
+                kind,
+                merged,
+                config.seed,
+            )
+            for step in steps
+        ]
     models = [f.model for f in fitted]
     scored = score_windows(windows, models, samples.features, config)
     rows = regression_metrics(scored.where(F.col("actual").isNotNull()), "actual", "prediction", ["split"]).collect()
-    importances = fitted[0].trees.featureImportances.toArray().tolist()
+    importances = [dict(zip(samples.names, importances_of(m))) for m in models]
     record = {
         "status": "success",
         "model_kind": kind,
@@ -156,13 +176,14 @@ def train_samples(samples: Samples, params: dict[str, Any] | None = None) -> tup
         "eval_metric": merged.get("eval_metric", EVAL_METRIC) if use_val else None,
         "eval_history": [list(f.history) for f in fitted] if use_val else None,
         "best_rounds": [f.best_round for f in fitted] if use_val else None,
-        "importances": dict(zip(samples.names, importances)),
+        "importances": importances[0],
+        "step_importances": importances,
     }
     return models, record
 
 
 def score_windows(
-    windows: DataFrame, models: list[PipelineModel], features: FeatureModel, config: RunConfig
+    windows: DataFrame, models: list[PipelineModel | BoostedModel], features: FeatureModel, config: RunConfig
 ) -> DataFrame:
     """Predictions and actuals in the original scale, one row per window and step.
 
@@ -218,7 +239,7 @@ def run_training(
 def save_run(spark: SparkSession, run: TrainedRun, run_dir: str) -> None:
     """S5/S7/S8."""
     artifacts.save_features(spark, run.features, f"{run_dir}/features")
-    artifacts.save_models(run.models, f"{run_dir}/model")
+    artifacts.save_models(run.models, f"{run_dir}/model", spark)
     artifacts.save_config(spark, run.config, f"{run_dir}/config")
     artifacts.save_settings(spark, {"names": list(run.names), "record": run.record}, f"{run_dir}/record")
 
@@ -230,7 +251,7 @@ def load_run(spark: SparkSession, run_dir: str) -> TrainedRun:
     return TrainedRun(
         config,
         artifacts.load_features(spark, f"{run_dir}/features"),
-        artifacts.load_models(f"{run_dir}/model", config.window.horizon),
+        artifacts.load_models(f"{run_dir}/model", config.window.horizon, spark if is_boosted(config.model_kind) else None),
         tuple(saved["names"]),
         saved["record"],
     )

@@ -16,7 +16,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.operators.models import WITHOUT_COUNTERPART
+from tideline.operators.models import without_effect
 from tideline.plans.training import Samples, TrainedRun, save_run, train_samples
 from tideline.sources.runs import append_runs, run_frame
 
@@ -75,6 +75,9 @@ RANGES: dict[str, dict[str, dict[str, Any]]] = {
     },
 }
 
+for _loss in ("absolute", "squared"):
+    GRIDS[f"boosted_{_loss}"], RANGES[f"boosted_{_loss}"] = GRIDS[f"gbt_{_loss}"], RANGES[f"gbt_{_loss}"]
+
 
 def grid_table(spark: SparkSession, space: dict[str, Sequence[Any]], max_trials: int | None = None) -> DataFrame:
     """G1: every combination of the listed values, the last key varying fastest.
@@ -144,10 +147,11 @@ def run_trials(
     Spark jobs.  Returns the run table of these trials.
     """
     rows = [r.asDict() for r in trials.orderBy("run_idx").collect()]
+    ignored = without_effect(samples.config.model_kind)
     alike: dict[tuple, list[dict[str, Any]]] = {}
     for row in rows:
         given = {k: v for k, v in row.items() if k not in ("run_idx", "run_name")}
-        effective = tuple(sorted((k, str(v)) for k, v in given.items() if k not in WITHOUT_COUNTERPART))
+        effective = tuple(sorted((k, str(v)) for k, v in given.items() if k not in ignored))
         alike.setdefault(effective, []).append(row)
     appending = Lock()
 

@@ -1,7 +1,7 @@
 """Fitted artefacts on shared storage: feature parameters, models, run settings.
 
 Layout of a run folder: ``scaler`` and ``categories`` (Parquet), ``config``
-(JSON), ``model/step=k`` (one pipeline per forecast step).
+(JSON), ``model/step=k`` (one model per forecast step).
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import json
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
+from tideline.operators.boosting import BoostedModel
 from tideline.operators.encode import OneHot
 from tideline.operators.features import FeatureModel
 from tideline.operators.scale import PARAM_COLUMNS, Scaler
@@ -55,17 +56,21 @@ def load_features(spark: SparkSession, path: str) -> FeatureModel:
     return FeatureModel(spec, scaler, OneHot(ordered, settings["unseen"]), settings["scale_target"])
 
 
-def save_models(models: list[PipelineModel], path: str) -> None:
-    """One fitted pipeline per forecast step."""
+def save_models(models: list[PipelineModel | BoostedModel], path: str, spark: SparkSession | None = None) -> None:
+    """One fitted model per forecast step."""
     if not models:
         raise RuntimeError("no fitted model to save")
     for step, model in enumerate(models, start=1):
-        model.write().overwrite().save(f"{path}/step={step}")
+        if isinstance(model, BoostedModel):
+            model.save(spark or SparkSession.active(), f"{path}/step={step}")
+        else:
+            model.write().overwrite().save(f"{path}/step={step}")
 
 
-def load_models(path: str, horizon: int) -> list[PipelineModel]:
-    """S7."""
-    return [PipelineModel.load(f"{path}/step={step}") for step in range(1, horizon + 1)]
+def load_models(path: str, horizon: int, boosted_by: SparkSession | None = None) -> list[PipelineModel | BoostedModel]:
+    """Pipelines, or boosted models if a session for them is given."""
+    paths = [f"{path}/step={step}" for step in range(1, horizon + 1)]
+    return [BoostedModel.load(boosted_by, p) if boosted_by else PipelineModel.load(p) for p in paths]
 
 
 def save_settings(spark: SparkSession, settings: dict, path: str) -> None:

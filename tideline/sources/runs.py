@@ -27,6 +27,7 @@ RUN_SCHEMA = T.StructType(
         T.StructField("eval_history", T.ArrayType(T.ArrayType(T.DoubleType()))),
         T.StructField("best_rounds", T.ArrayType(T.IntegerType())),
         T.StructField("importances", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("step_importances", T.ArrayType(T.MapType(T.StringType(), T.DoubleType()))),
         T.StructField("created_at", T.TimestampNTZType()),
     ]
 )
@@ -76,5 +77,11 @@ def history_table(runs: DataFrame) -> DataFrame:
 
 
 def importance_table(runs: DataFrame) -> DataFrame:
-    """(run_name, feature, importance)."""
+    """(run_name, feature, importance) of the first forecast step."""
     return runs.select("run_name", F.explode("importances").alias("feature", "importance"))
+
+
+def step_importance_table(runs: DataFrame) -> DataFrame:
+    """(run_name, step, feature, importance) of the models of all forecast steps."""
+    steps = runs.select("run_name", F.posexplode("step_importances").alias("_step", "_m"))
+    return steps.select("run_name", (F.col("_step") + 1).alias("step"), F.explode("_m").alias("feature", "importance"))
