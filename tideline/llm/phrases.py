@@ -25,7 +25,7 @@ TOP = 2_000
 NO_LANG = "und"
 #: Bits of the fixed-size filter that tells which phrases are worth counting; what it lets through wrongly is counted in vain.
 FILTER_BITS = 27
-CELLS_AT_ONCE = 1 << 21
+CELLS_AT_ONCE = 1 << 22
 SALTS = 64
 
 # Characters that end a piece.
@@ -210,42 +210,74 @@ def local_supports(words: dict[int, int], support: int) -> dict[int, int]:
     return {shard: max(1, -(-support * n // total)) if total else 1 for shard, n in words.items()}
 
 
-def _tallied(words: Words, size: int, value: np.ndarray, places: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """The distinct phrases at these places and how often each stands there.
-
-    Places of one hash are compared by a second one; should they differ, their phrases are told apart by their words.
-    """
-    _, first, of, n = np.unique(value, return_index=True, return_inverse=True, return_counts=True)
-    second = phrase_marks(words.marks(1), places, size, 0)
-    odd = np.flatnonzero(second != second[first][of])
-    found = [words.phrase(k, size) for k in places[first].tolist()]
-    for k in odd.tolist():
-        n[of[k]] -= 1
-        found.append(words.phrase(int(places[k]), size))
-    return found, np.concatenate([n, np.ones(len(odd), n.dtype)])
+def _kept(words: Words, size: int, salt: int, known: Filter) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, first and second hashes of the phrases of ``size`` words that the filter may hold."""
+    places = phrase_places(words, size)
+    value = phrase_marks(words.marks(), places, size, salt)
+    keep = known.has(value)
+    return places[keep], value[keep], phrase_marks(words.marks(1), places[keep], size, 0)
 
 
 def counted(sources: DataFrame, candidates: list[Filter], support: int) -> DataFrame:
-    """``(lang, phrase, words, n)``: exact counts, by their words, of all phrases the filters may hold; those of ``support``."""
+    """``(lang, words, mark, other, n)``: exact counts of all phrases the filters may hold; those of ``support``.
+
+    A phrase is known by two hashes of 64 bits that have nothing in common, so two phrases are never taken for one.
+    """
     shared = sources.sparkSession.sparkContext.broadcast(candidates)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], list] = {}
+        n_held = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for (lang, size), parts in held.items():
+                value, second = (np.concatenate(p) for p in zip(*parts))
+                _, first, of, n = np.unique(value, return_index=True, return_inverse=True, return_counts=True)
+                odd = np.flatnonzero(second != second[first][of])  # other phrases of one first hash
+                np.subtract.at(n, of[odd], 1)
+                rows, n = np.concatenate([first, odd]), np.concatenate([n, np.ones(len(odd), n.dtype)])
+                columns = [value[rows].view(np.int64), second[rows].view(np.int64), n.astype(np.int64)]
+                same = [pa.array([lang] * len(rows), pa.string()), pa.array(np.full(len(rows), size, np.int32))]
+                yield pa.RecordBatch.from_arrays([*same, *map(pa.array, columns)], names=["lang", "words", "mark", "other", "n"])
+            held.clear()
+
         for batch in slices(batches):
             for lang, _, words in _groups(batch, False):
-                marks, salt = words.marks(), _salt(lang)
                 for size, known in enumerate(shared.value, 1):
-                    places = phrase_places(words, size)
-                    value = phrase_marks(marks, places, size, salt)
-                    keep = known.has(value)
-                    phrases, n = _tallied(words, size, value[keep], places[keep])
+                    _, value, second = _kept(words, size, _salt(lang), known)
+                    held.setdefault((lang, size), []).append((value, second))
+                    n_held += len(value)
+            if n_held >= CELLS_AT_ONCE:
+                yield from flush()
+                n_held = 0
+        yield from flush()
+
+    rows = sources.mapInArrow(run, "lang string, words int, mark long, other long, n long")
+    return rows.groupBy("lang", "words", "mark", "other").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+
+
+def named(sources: DataFrame, found: DataFrame, longest: int, bits: int) -> DataFrame:
+    """``(lang, phrase, words, n)`` of counted phrases: their words, from one place in each task that has them."""
+    filters = [filter_of(found.where(F.col("words") == n), F.col("mark"), bits) for n in range(1, longest + 1)]
+    shared = sources.sparkSession.sparkContext.broadcast(filters)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = [np.zeros(0, np.uint64) for _ in shared.value]
+        for batch in slices(batches):
+            for lang, _, words in _groups(batch, False):
+                for size, known in enumerate(shared.value, 1):
+                    places, value, second = _kept(words, size, _salt(lang), known)
+                    own, first = np.unique(value ^ second, return_index=True)
+                    new = ~np.isin(own, seen[size - 1], assume_unique=True)
+                    seen[size - 1] = np.concatenate([seen[size - 1], own[new]])
+                    first = first[new]
+                    phrases = [words.phrase(k, size) for k in places[first].tolist()]
+                    columns = [value[first].view(np.int64), second[first].view(np.int64)]
                     text = pa.array(phrases, pa.binary()).cast(pa.string())
-                    same = pa.array(np.full(len(phrases), size, np.int32))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(phrases), pa.string()), text, same, pa.array(n.astype(np.int64))], names=["lang", "phrase", "words", "n"]
-                    )
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), text], names=["mark", "other", "phrase"])
 
-    rows = sources.mapInArrow(run, "lang string, phrase string, words int, n long")
-    return rows.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+    names = sources.mapInArrow(run, "mark long, other long, phrase string").groupBy("mark", "other").agg(F.min("phrase").alias("phrase"))
+    return found.join(names, ["mark", "other"]).select("lang", "phrase", "words", "n")
 
 
 def frequent(sources: DataFrame, by_shard: dict[int, int], longest: int, support: int, bits: int) -> DataFrame:
@@ -263,7 +295,7 @@ def frequent(sources: DataFrame, by_shard: dict[int, int], longest: int, support
         union += [filter_of(found.where(F.col("words") == n), F.col("mark"), bits) for n in sizes]
         if sizes[-1] < longest:
             local = filter_of(found.where(F.col("words") == sizes[-1]), F.col("mark").bitwiseXOR(own), bits)
-    return counted(sources, union, support)
+    return named(sources, stage(counted(sources, union, support), "counted"), longest, bits)
 
 
 def _by_cut(found: DataFrame, longest: int) -> DataFrame:
