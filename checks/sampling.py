@@ -96,7 +96,7 @@ def windows_industrial_absolute(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_FLAT_SIZE = 4
+_FLAT_SIZE = 24
 _FLAT_COLUMNS = ("l_quantity", "l_discount", "l_tax")
 
 

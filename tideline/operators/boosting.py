@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from tideline.session import drop_staged, stage
 
 MOST_BINS = 254
+#: Rows that one task reads in a pass; fewer rows are dealt to fewer tasks.
+ROWS_PER_TASK = 100_000
 #: Rounds after which the predictions so far are written with the rows.
 ROUNDS_PER_STAGE = 20
 #: Bits of a residual that one counting pass of a median tells apart, and values below which they are fetched.
@@ -186,7 +188,8 @@ def bin_windows(windows: DataFrame, names: Sequence[str], max_bins: int = 64, fl
     values = F.array(*_inputs(windows, names, flat)).cast("array<double>") if names else F.array().cast("array<double>")
     chosen = windows.where(F.col("split").isin("train", "val"))
     part = (F.col("split") == "val").cast("int").alias("part")
-    rows = chosen.select(part, F.monotonically_increasing_id().alias("row"), F.col("y").cast("array<double>").alias("y"), values.alias("v"))
+    tasks = max(1, -(-chosen.count() // ROWS_PER_TASK))
+    rows = chosen.coalesce(tasks).select(part, F.monotonically_increasing_id().alias("row"), F.col("y").cast("array<double>").alias("y"), values.alias("v"))
     table = stage(rows.mapInArrow(run, "part int, row long, y array<double>, bins binary"), "binned")
     return Binned(table, tuple(names), cuts, flat)
 
@@ -335,6 +338,7 @@ class Booster:
 
     def __init__(self, binned: Binned, step: int, loss: str, params: dict[str, Any], seed: int, use_val: bool = True, start: BoostedModel | None = None):
         self.binned, self.loss, self.seed = binned, loss, seed
+        self.n_tasks = binned.table.rdd.getNumPartitions()
         self.p = {"reg_alpha": 0.0, "reg_lambda": 0.0, "min_child_weight": 1, "subsample": 1.0, "colsample_bytree": 1.0, "colsample_bylevel": 1.0, **params}
         self.n_features = len(binned.names)
         self.width = max((len(c) for c in binned.cuts), default=0) + 2
@@ -450,7 +454,10 @@ class Booster:
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(g), pa.array(n)], names=["cell", "g", "n"])
 
         self.binned.passes.append("sums")
-        added = self.state.mapInArrow(run, schema).groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n")).toPandas()
+        added = self.state.mapInArrow(run, schema)
+        if self.n_tasks > 1:
+            added = added.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
+        added = added.toPandas()
         cells = max(self.n_features, 1) * self.width
         grad, count = np.zeros(len(nodes) * cells, np.int64), np.zeros(len(nodes) * cells, np.int64)
         cell, g, n = (added[c].to_numpy(np.int64) for c in ("cell", "g", "n"))
@@ -503,7 +510,10 @@ class Booster:
                 )
 
             self.binned.passes.append("median")
-            rows = self.state.where("part = 0").mapInArrow(run, "k int, v long, n long").groupBy("k", "v").agg(F.sum("n").alias("n")).toPandas()
+            rows = self.state.where("part = 0").mapInArrow(run, "k int, v long, n long")
+            if self.n_tasks > 1:
+                rows = rows.groupBy("k", "v").agg(F.sum("n").alias("n"))
+            rows = rows.toPandas()
             rows["v"] = rows["v"].to_numpy(np.int64).view(np.uint64)
             for k, group in enumerate(groups):
                 mine = rows[rows["k"] == k].sort_values("v")
@@ -630,6 +640,7 @@ class Booster:
         if self.own_state:
             drop_staged(self.state)
         self.state, self.own_state, self.staged = following, True, len(self.trees)
+        self.n_tasks = following.rdd.getNumPartitions()
 
     def fit(self, metric: str = "absolute", root_metric: bool = False) -> tuple[BoostedModel, list[float], int | None]:
         """Rounds up to the limit, or until ``early_stopping_rounds`` bring no better validation error.

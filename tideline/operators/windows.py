@@ -8,6 +8,9 @@ With the ``ranged`` strategy the rows of a split are cut into chunks of equal
 length; rows near a border are copied into the neighbouring chunk as context
 (a share of about ``(size + horizon) / chunk_rows``).  Each chunk is framed on
 its own, so a series of any length is spread over all tasks.
+
+Spark evaluates a sliding frame anew for each row, so its cost grows with the size of the window.  Statistics of
+long windows are put together from running ones instead, see ``block_frames``.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from tideline.operators.order import STRATEGIES
 from tideline.spec import SeriesSpec, WindowSpec
 
 CHUNK_ROWS = 65_536
+#: Window size from which rolling statistics are put together from blocks.
+BLOCKS_FROM = 48
 
 
 def _col(name: str) -> Column:
@@ -60,6 +65,44 @@ def sensor_frames(sensors: Sequence[str], size: int, rows: Frame) -> dict[str, C
     return frames
 
 
+_RUNNING = {"n": F.count, "mean": F.avg, "var": F.var_pop, "max": F.max, "min": F.min}
+
+
+def with_blocks(df: DataFrame, sensors: Sequence[str], size: int, group: Sequence[str]) -> DataFrame:
+    """Running statistics from the start of each block of ``size`` positions (``_up``) and from its end (``_down``).
+
+    Both are growing frames, which cost the same for each row whatever the size.
+    """
+    block = Window.partitionBy(*group, "_block")
+    out = df.withColumn("_block", F.floor(F.col("_pos") / size))
+    for side, order in (("down", F.desc("_pos")), ("up", F.asc("_pos"))):
+        frame = block.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        out = out.withColumns(
+            {f"_{side}_{kind}{i}": f(_col(name)).over(frame) for i, name in enumerate(sensors) for kind, f in _RUNNING.items()}
+        )
+    return out
+
+
+def block_frames(sensors: Sequence[str], size: int, rows: Frame) -> dict[str, Column]:
+    """W7-W9 at any size: a window is the end of one block, seen from its first row, and the start of the next."""
+    frames: dict[str, Column] = {}
+    whole = F.col("_pos") % size == size - 1
+    for i, name in enumerate(sensors):
+        up = {kind: F.col(f"_up_{kind}{i}") for kind in _RUNNING}
+        down = {kind: F.when(~whole, F.lag(f"_down_{kind}{i}", size - 1).over(rows)) for kind in _RUNNING}
+        n, m = up["n"], F.coalesce(down["n"], F.lit(0))
+        apart = F.coalesce(up["mean"] - down["mean"], F.lit(0.0))
+        part = lambda stat, count: F.coalesce(stat * count, F.lit(0.0))
+        squares = part(up["var"], n) + part(down["var"], m) + apart * apart * n * m / F.nullif(n + m, F.lit(0))
+        frames[f"_n{i}"] = n + m
+        frames[f"_mean{i}"] = (part(up["mean"], n) + part(down["mean"], m)) / F.nullif(n + m, F.lit(0))
+        frames[f"_std{i}"] = F.sqrt(squares / F.nullif(n + m, F.lit(0)))
+        frames[f"_max{i}"] = F.greatest(up["max"], down["max"])
+        frames[f"_min{i}"] = F.least(up["min"], down["min"])
+        frames[f"_before{i}"] = F.lag(_col(name), 1).over(rows)
+    return frames
+
+
 def industrial_features(sensors: Sequence[str], time_columns: Sequence[str], size: int) -> dict[str, Column]:
     """The features by name, from the raw window columns.
 
@@ -137,18 +180,22 @@ def build_windows(
         # One group per series, not per split: frames that would reach over a split
         # border belong to windows that are dropped below.
         rows = Window.partitionBy(*(labels if include_future else keys)).orderBy(*ordering)
-        own = F.lit(True)
+        own, group = F.lit(True), labels
     else:
         chunk = chunk_rows or max(CHUNK_ROWS, 16 * (window.size + window.horizon))
         rows_df = _spread_over_chunks(rows_df, window, chunk)
         rows = Window.partitionBy(*labels, "_chunk").orderBy("_pos")
-        own = F.floor(F.col("_pos") / chunk) == F.col("_chunk")
+        own, group = F.floor(F.col("_pos") / chunk) == F.col("_chunk"), [*labels, "_chunk"]
 
     if window.feature_mode == "flat":
         frames = {"x": flat_features(flat, window.size, rows)}
         features = {"x": F.col("x")}
     else:
-        frames = sensor_frames(spec.sensors, window.size, rows)
+        if window.size >= BLOCKS_FROM and spec.sensors:
+            rows_df = with_blocks(rows_df, spec.sensors, window.size, group)
+            frames = block_frames(spec.sensors, window.size, rows)
+        else:
+            frames = sensor_frames(spec.sensors, window.size, rows)
         features = industrial_features(spec.sensors, time_columns, window.size)
     # Every frame is named once here and only referred to afterwards, so that no
     # aggregate is computed twice.

@@ -192,6 +192,9 @@ def score_windows(
     """
     predicted = windows
     for step, model in enumerate(models, start=1):
+        if isinstance(model, BoostedModel):
+            predicted = model.transform(predicted, f"_p{step}")
+            continue
         predicted = model.transform(predicted).withColumnRenamed(PREDICTION, f"_p{step}")
         if config.window.feature_mode == "industrial":
             predicted = predicted.drop(FEATURES)

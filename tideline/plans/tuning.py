@@ -110,16 +110,21 @@ def _short(name: str, whole: bool) -> Column:
 def random_table(spark: SparkSession, ranges: dict[str, dict[str, Any]], n_trials: int, seed: int = 42) -> DataFrame:
     """Seeded draws from integer, decimal and logarithmic ranges.
 
-    One partition, because the draws of ``rand(seed)`` depend on the partition.
+    A draw is hashed from seed, parameter and number of the trial, so it depends on nothing else.
     """
-    drawn = [_draw(spec, seed + i).alias(name) for i, (name, spec) in enumerate(ranges.items())]
-    trials = spark.range(0, n_trials, 1, 1).select(F.col("id").cast("int").alias("run_idx"), *drawn)
+    drawn = [_draw(spec, _unit(seed, name)).alias(name) for name, spec in ranges.items()]
+    trials = spark.range(n_trials).select(F.col("id").cast("int").alias("run_idx"), *drawn)
     return trials.select("run_idx", F.format_string("random_%03d", "run_idx").alias("run_name"), *ranges)
 
 
-def _draw(spec: dict[str, Any], seed: int) -> Column:
+def _unit(seed: int, name: str) -> Column:
+    """A number in [0, 1) of 52 hashed bits."""
+    text = F.concat(F.lit(f"{seed}|{name}|"), F.col("id").cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+
+
+def _draw(spec: dict[str, Any], unit: Column) -> Column:
     low, high = spec["low"], spec["high"]
-    unit = F.rand(seed)
     if spec["type"] == "int":
         return (F.lit(low) + F.floor(unit * (high - low + 1))).cast("int")
     if spec["type"] != "float":
