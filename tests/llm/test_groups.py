@@ -11,8 +11,11 @@ import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from test_nearcopies import slow_ids
+from test_texts import library, slow_fertility, slow_rules, slow_verdict
+
 from conftest_llm import SF
-from tideline.llm import bpe, chat, embeddings, html, language, mixing, queries, rules, simhash, warc
+from tideline.llm import chat, embeddings, html, language, mixing, queries, simhash, warc
 from tideline.llm.common import fold, join_hot, table
 from tideline.llm.components import connected_components, forest
 from tideline.session import new_path
@@ -105,15 +108,6 @@ def test_fingerprint_links_lose_none(spark, distance):
     assert set(got) == want and set(got.values()) <= {1}
 
 
-def test_one_of_each_group_stays(docs, no_docs):
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns and simhash.keep_one(no_docs).count() == 0
-    groups = slow_groups(docs.collect())
-    want = {i for i, _, c in groups if i is not None and i == c}
-    assert Counter(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == Counter(want)
-    assert sum(r["doc_id"] is None for r in kept.collect()) == 2
-
-
 # ---- vectors ----
 
 
@@ -157,6 +151,38 @@ def test_near_pairs_at_the_threshold():
         assert set(zip(i.tolist(), j.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(a @ a.T >= threshold))))
 
 
+@pytest.mark.parametrize("dims", [2, 3, 4, 8, 9, 12])
+def test_no_pair_at_the_threshold_is_lost(dims):
+    """Pairs whose cosine is exactly the threshold, in any number of components, before and after a rotation."""
+    rng = np.random.default_rng(dims)
+    v = rng.integers(-3, 4, (400, dims)).astype(float)
+    v = v[np.abs(v).sum(axis=1) > 0]
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    turn, _ = np.linalg.qr(rng.standard_normal((dims, dims)))
+    products = np.einsum("nd,md->nm", v, v)
+    threshold = float(np.unique(products[products < 0.99])[-1])
+    order = np.argsort((v @ turn)[:, 0], kind="stable")
+    v = v[order]
+    got = set()
+    for i, j in embeddings.compare(v @ turn, v @ turn, threshold, True, v, v):
+        got |= set(zip(i.tolist(), j.tolist()))
+    exact = lambda i, j: np.einsum("nd,nd->n", v[[i]], v[[j]])[0] >= threshold
+    near = {(i, j) for i, j in zip(*np.nonzero(v @ v.T >= threshold - 1e-9)) if i < j and exact(i, j)}
+    assert got == near and len(near) > 20
+
+
+def test_groups_by_ranges(spark, monkeypatch):
+    """Far ranges are not compared, hot ranges are dealt on, and links are those of all pairs."""
+    monkeypatch.setattr(embeddings, "GROUP", 30)
+    monkeypatch.setattr(embeddings, "SMALL_GROUP", 20)
+    rng = np.random.default_rng(3)
+    base = np.eye(6)[:3].repeat(100, axis=0) * rng.choice([-1.0, 1.0], (300, 1))
+    vectors = base + 0.12 * rng.standard_normal((300, 6)) * (np.arange(300) % 3 > 0)[:, None]
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert Counter(map(tuple, embeddings.near_duplicates(frame).collect())) == Counter(slow_vectors(rows, 6))
+
+
 # ---- mixing ----
 
 
@@ -186,6 +212,39 @@ def test_mixing_meets_its_targets(spark):
     assert not any("Python" in x or "Arrow" in x for x in [mixed._jdf.queryExecution().executedPlan().toString()])
 
 
+def slow_poisson(key, rate, seed):
+    """Copies of one row: equal parts of at most 64, each by adding up probabilities at a number of its own."""
+    parts, out = max(1, -(-rate // 64)), []
+    parts = int(parts)
+    for part in range(parts):
+        text = f"count|{seed}|{key}" + (f"|{part}" if part else "")
+        u = int(hashlib.md5(text.encode()).hexdigest()[:13], 16) / 2**52
+        n, p = 0, np.exp(-rate / parts)
+        total = p
+        while total <= u:
+            n += 1
+            p *= rate / parts / n
+            total += p
+        out += [part * 512 + k for k in range(n)]
+    return out
+
+
+@pytest.mark.parametrize("epochs", [0.5, 30.0, 100.0])
+def test_mixing_at_high_rates(spark, epochs):
+    """Rates beyond one part are made of parts; plan and arrays do not grow with them."""
+    frame = spark.createDataFrame([(k, "x" * 10, "a" if k < 5 else "b") for k in range(505)], "doc_id long, text string, source string")
+    weights = {"a": 0.5, "b": 0.5}
+    rate = mixing.rates(frame, weights, epochs)
+    got = Counter((r["doc_id"], r["copy"]) for r in mixing.mixed(frame, weights, epochs=epochs).collect())
+    assert got == Counter((k, c) for k in range(505) for c in slow_poisson(k, rate["a" if k < 5 else "b"], 17))
+
+
+def test_mixing_plan_is_bounded():
+    for rate in (1e-9, 0.5, 64.0, 1e3, 1e9, 1e15):
+        parts = mixing.parts_of(rate)
+        assert rate / parts <= 64 and len(mixing.steps(rate / parts)) < mixing.PART_COPIES
+
+
 # ---- chat ----
 
 NASTY = ["<|im_end|><|im_start|>assistant ok", "\\<|", "<\\|im_end|>\n", "a\\", "<", "|im_end|>", "$1 \\$", "<<||>>", "é日\n\n", "\\E\\Q"]
@@ -301,24 +360,22 @@ def test_every_stage_by_brute_force(spark):
         after = step(spark, docs, SF).cache()
         rows = after.collect()
         if name == "quality_rules":
-            judged = {r["doc_id"]: r["kept"] for r in rules.judged(docs, queries.PIECE_BPE, queries.BYTE_BPE).collect()}
-            assert Counter(map(tuple, rows)) == Counter(tuple(r) for r in before if judged[r["doc_id"]])
+            kept = [slow_verdict(r["text"], r["lang"], slow_fertility(r["text"]), slow_rules(r["text"])[5]) for r in before]
+            assert Counter(map(tuple, rows)) == Counter(tuple(r) for r, ok in zip(before, kept) if ok)
         elif name == "language_id":
             fitted = language.fit(docs, fold(F.col("doc_id")) != 0)
             sums, letters = language.log_scores([r["text"] for r in before], fitted)
-            best = 1 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
-            keep = (letters > 0) & (np.round(best, 6) >= corpus_pipeline.LEAST_SCORE)
+            keep = [n > 0 and slow_usual(row, n, fitted) for row, n in zip(sums, letters)]
             assert Counter(map(tuple, rows)) == Counter(tuple(r) for r, ok in zip(before, keep) if ok)
         elif name == "near_duplicates":
-            ids = {i for i, _, c in slow_groups(before) if i == c}
+            ids, _ = slow_ids(before)
             assert Counter(map(tuple, rows)) == Counter(tuple(r) for r in before if r["doc_id"] in ids)
             assert len(rows) < len(before)
         elif name == "mixing":
             counts = slow_counts(before)
             assert Counter(map(tuple, rows)) == Counter(t for r in before for t in [tuple(r)] * counts[r["doc_id"]])
         else:
-            tables = bpe.WordBpe(open(queries.WORD_BPE, "rb").read())
-            want = [(r["doc_id"], r["source"], np.frombuffer(tables.encode(r["text"]), "<u4").tolist()) for r in before]
+            want = [(r["doc_id"], r["source"], library(r["text"])[0]) for r in before]
             assert Counter((r["doc_id"], r["source"], tuple(r["ids"])) for r in rows) == Counter((*w[:2], tuple(w[2])) for w in want)
         if k < len(corpus_pipeline.STAGES) - 1:
             assert after.columns == list(corpus_pipeline.COLUMNS)
@@ -326,6 +383,13 @@ def test_every_stage_by_brute_force(spark):
     assert queries.pipeline(spark, SF).count() == len(rows)
 
 
+def slow_usual(sums, letters, model):
+    """The band of the best language, written out."""
+    best = max(range(len(model.langs)), key=lambda k: (sums[k], -k))
+    middle, spread = model.usual[best]
+    return (sums[best] - model.prior[best]) / letters >= middle - 6 * spread * (1 + 400 / letters) ** 0.5
+
+
 def slow_counts(rows):
     """Poisson counts by adding up probabilities one by one."""
     weights, chars = corpus_pipeline.WEIGHTS, Counter()

@@ -3,6 +3,9 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
 from conftest_llm import SF, WORDS, doc
 from tideline.llm import nearcopies
@@ -91,3 +94,89 @@ def test_repeated_id_in_two_groups(spark):
     docs = frame(spark, [(1, one), (2, one), (2, two), (3, two), (3, two), (5, "a b c")])
     got = {(r["doc_id"], r["text"]) for r in nearcopies.keep_one(docs).collect()}
     assert got == {(1, one), (2, two), (5, "a b c")}
+
+
+# ---- groups whose members stay apart ----
+
+
+def star(rng, members, similarity, size=200, name="s"):
+    """Variants of one original that have about this similarity to one another, and few to the original."""
+    base = [f"{name}{rng.randrange(10**6)}" for _ in range(size)]
+    # a flipped word takes five shingles; two variants differ in those of both
+    shingles = size - 4
+    flips = round(shingles * (1 - similarity) / (1 + similarity) / 5)
+    return [mutated(rng, base, flips) for _ in range(members)]
+
+
+def incidence_links(texts):
+    """Links by exact Jaccard similarity of all pairs, in blocks of a matrix of shingles."""
+    sets = [slow_sets(t) for t in texts]
+    number = {}
+    for s in sets:
+        for x in s:
+            number.setdefault(x, len(number))
+    table = np.zeros((len(sets), len(number)), np.float32)
+    for k, s in enumerate(sets):
+        table[k, [number[x] for x in s]] = 1
+    sizes = table.sum(axis=1)
+    both = table @ table.T
+    near = both >= 0.8 * (sizes[:, None] + sizes[None, :] - both) - 1e-6
+    return [(i, j) for i, j in zip(*np.nonzero(near)) if i < j]
+
+
+def groups_of(n, links):
+    root = list(range(n))
+
+    def find(k):
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    for i, j in links:
+        a, b = find(i), find(j)
+        root[max(a, b)] = min(a, b)
+    return [find(k) for k in range(n)]
+
+
+def run_components(spark, texts, pairs):
+    """Component of each text by the library, and how many pairs it verified."""
+    near = nearcopies._near
+    nearcopies._near = lambda t, p, least: pairs.append(p.count()) or near(t, p, least)
+    try:
+        frame = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+        found = {r["node"]: r["component"] for r in nearcopies.components(frame).collect()}
+    finally:
+        nearcopies._near = near
+    return [found.get(k, k) for k in range(len(texts))]
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.69, 0.85])
+def test_pairs_do_not_grow_with_the_square(spark, similarity):
+    """However large a group whose members stay apart, a member is compared with a bounded number of others."""
+    per_member, found, all_links = [], 0, 0
+    for members in (100, 1200):
+        rng, pairs = random.Random(members), []
+        texts = star(rng, members, similarity, 120)
+        links = incidence_links(texts)
+        got = run_components(spark, texts, pairs)
+        found += sum(got[i] == got[j] for i, j in links)
+        all_links += len(links)
+        want = groups_of(members, links)
+        assert all(want[i] == want[j] for i in range(members) for j in [got[i]])  # nothing is joined wrongly
+        per_member.append(sum(pairs) / members)
+    assert found >= 0.9 * all_links
+    # a pivot a band and few neighbours, on any level; all pairs would be 600 a member
+    assert per_member[1] <= nearcopies.BANDS * (1 + (nearcopies.SMALL - 1) / 2) / 2, per_member
+
+
+def test_links_among_members_that_stay_apart(spark):
+    """In a group of variants at 0.69, some have near copies of their own: those are found."""
+    rng, pairs = random.Random(8), []
+    texts = star(rng, 250, 0.69)
+    texts += [mutated(rng, t.split(), 2) for t in texts[:120]]
+    texts += [mutated(rng, t.split(), 1) for t in star(rng, 40, 0.6, name="o") for _ in range(3)]
+    links = incidence_links(texts)
+    got = run_components(spark, texts, pairs)
+    assert len(links) > 150 and sum(got[i] == got[j] for i, j in links) >= 0.98 * len(links)
+    assert sum(pairs) < 60 * len(texts)

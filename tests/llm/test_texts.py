@@ -1,9 +1,11 @@
 """Encoding, language, quality and rules against brute force, libraries and held-out rows."""
 
+import base64
 import hashlib
 import math
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -11,6 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -102,7 +105,7 @@ def slow_log_score(text, model):
 def test_language_scores_equal_brute_force(monkeypatch):
     rng = np.random.default_rng(2)
     logs = np.vstack([rng.standard_normal((language.BUCKETS, 3)), np.zeros(3)]).astype(np.float32)
-    model = language.LanguageModel(("a", "b", "c"), np.log([0.2, 0.3, 0.5]), logs)
+    model = language.LanguageModel(("a", "b", "c"), np.log([0.2, 0.3, 0.5]), logs, np.zeros((3, 2)))
     texts = ["Ein Haus", "", None, "x", "12", "çà et là, déjà vu", "long " * 300]
     whole, letters = language.log_scores(texts, model)
     monkeypatch.setattr(language, "CHARS_AT_ONCE", 64)
@@ -134,6 +137,26 @@ def test_language_edge_cases(docs, no_docs):
     assert language.predict(no_docs, model, ["doc_id"]).count() == 0
 
 
+def test_gibberish_is_not_usual(spark):
+    """Random letters and prose in other languages are not usual, however long; the given documents are."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = language.fit(docs, fold(F.col("doc_id")) != 0)
+    rng = random.Random(4)
+    odd = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n)) for n in (300, 3_000, 300_000)]
+    odd += ["Вчера вечером мы долго гуляли по старому городу и смотрели на реку. " * k for k in (2, 200)] + ["昨天晚上我们在老城里走了很久" * 20]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(odd)], "doc_id long, text string")
+    assert [r["usual"] for r in language.predict(frame, model, ["doc_id"]).orderBy("doc_id").collect()] == [False] * len(odd)
+    held = language.predict(docs.where(fold(F.col("doc_id")) == 0), model, ["doc_id", "text"]).collect()
+    assert np.mean([r["usual"] for r in held if len(r["text"].split()) >= 20]) == 1.0
+
+
+def test_languages_are_bounded(spark):
+    """A column of very many languages: the commonest are learned, and all rows are scored."""
+    rows = spark.range(2_000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"), F.when(F.col("id") < 500, "en").when(F.col("id") < 900, "de").otherwise(F.concat(F.lit("x"), F.col("id").cast("string"))).alias("lang"))
+    model = language.fit(rows, F.lit(True), most_langs=3)
+    assert model.langs == ("de", "en", "x1000") and language.predict(rows, model, ["doc_id"]).count() == 2_000
+
+
 # ---- quality network ----
 
 
@@ -216,10 +239,36 @@ def slow_fertility(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     ids = [i for w in words for i in model.encode(w)]
     if not ids:
-        return 0.0, 0.0, 0.0
-    bits = -sum(n / len(ids) * math.log2(n / len(ids)) for n in Counter(ids).values())
+        return 0.0, 0.0, 0.0, 0.0
+    tokens = sum(len(SLOW_BYTES.encode_ordinary(" " + w)) for w in words)
     share = sum(model.is_byte(i) for i in ids) / len(ids)
-    return sum(map(len, words)) / len(ids), share, bits / math.log2(len(ids)) if len(ids) > 1 else 1.0
+    edges = [*range(0, max(len(ids) // 1024, 1) * 1024, 1024), len(ids)]
+    flat = 0.0
+    for a, b in zip(edges, edges[1:]):
+        bits = -sum(n / (b - a) * math.log2(n / (b - a)) for n in Counter(ids[a:b]).values())
+        flat += (b - a) * (bits / math.log2(b - a) if b - a > 1 else 1.0)
+    return sum(map(len, words)) / len(ids), sum(map(len, words)) / tokens, share, flat / len(ids)
+
+
+def _byte_ranks():
+    lines = open(queries.BYTE_BPE, "rb").read().splitlines()
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
+SLOW_BYTES = tiktoken.Encoding("slow", pat_str=r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+", mergeable_ranks=_byte_ranks(), special_tokens={})
+
+
+def slow_verdict(text, lang, measured, failed):
+    """The bands written out: per language, else per script of most letters."""
+    per_piece, per_token, share, flat = measured
+    n = len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    scripts = Counter(unicodedata.name(c).split()[0] for c in text or "" if c.isalpha())
+    script = {"LATIN": "Latn", "GREEK": "Grek", "CJK": "Hani", "HIRAGANA": "Kana"}.get(scripts.most_common(1)[0][0] if scripts else "")
+    band = rules.BANDS.by_lang.get(lang) or rules.BANDS.by_script.get(script, rules.BANDS.other)
+    slack = band.slack / math.sqrt(max(n, 1))
+    inside = band.chars_per_piece[0] - slack <= per_piece <= band.chars_per_piece[1]
+    inside &= band.chars_per_byte_token[0] - slack <= per_token <= band.chars_per_byte_token[1]
+    return not failed and inside and share <= band.fallback_share and flat >= band.window_entropy
 
 
 @pytest.mark.parametrize("which", ["docs", "given"])
@@ -228,13 +277,14 @@ def test_rules_equal_brute_force(spark, docs, which):
     texts = {}
     for r in source.collect():
         texts.setdefault(r["doc_id"], set()).add(r["text"])
-    rows = rules.judged(source, queries.PIECE_BPE, queries.BYTE_BPE, keep=("doc_id", "text")).collect()
+    rows = rules.judged(source, queries.PIECE_BPE, queries.BYTE_BPE, keep=("doc_id", "text", "lang")).collect()
     assert len(rows) == source.count()
     for r in rows:
         assert r["text"] in texts[r["doc_id"]]
-        assert tuple(r)[2:8] == slow_rules(r["text"])
-        assert (r["chars_per_piece"], r["fallback_share"], r["relative_entropy"]) == pytest.approx(slow_fertility(r["text"]), abs=2e-6)
-        assert not (r["kept"] and r["base_failed"])
+        assert tuple(r)[3:9] == slow_rules(r["text"])
+        measured = slow_fertility(r["text"])
+        assert (r["chars_per_piece"], r["chars_per_token"], r["fallback_share"], r["window_entropy"]) == pytest.approx(measured, abs=2e-6)
+        assert r["kept"] == slow_verdict(r["text"], r["lang"], measured, r["base_failed"])
 
 
 def test_rules_keep_clean_and_reject_foreign_text(spark, docs, no_docs):

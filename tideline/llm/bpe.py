@@ -232,10 +232,10 @@ def encode(
 
 
 def decode(df: DataFrame, vocab_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``df`` with the token strings of each id array joined by blanks; a null array gives an empty text."""
+    """``df`` with the text of each id array; a null array gives an empty text, a null or unknown id in one nothing."""
 
     def fill(tables: WordBpe, column: pa.Array):
-        arrays = (np.array([] if v is None else v, np.int64) for v in column.to_pylist())
+        arrays = (np.array([i for i in v or () if i is not None and 0 <= i < len(tables.offsets) - 1], np.int64) for v in column.to_pylist())
         return [[b"".join(tables.decoded(ids)).decode() for ids in arrays]]
 
     return _mapped(df, vocab_path, ids_col, [(text_col, "string", pa.string())], fill)

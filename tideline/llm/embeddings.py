@@ -10,12 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import slices
+from tideline.llm.common import join_hot, slices
 from tideline.llm.components import connected_components, forest
 from tideline.session import stage
 
 TILE = 1_024
 GROUP = 8_192
+#: So many groups at least, of a few tiles each, so that small tables are compared side by side, too.
+LEAST_GROUPS, SMALL_GROUP = 6, 1_024
 STAGES = (8, 16, 32)
 MARGIN = 1e-9
 
@@ -77,7 +79,9 @@ def _cuts(dims: int) -> list[int]:
 
 
 def near_pairs(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i, j) of two tiles of rotated unit vectors with a product of at least ``threshold``.
+    """Rows (i, j) of two tiles of rotated unit vectors with a product of ``threshold``, or less by rounding at most.
+
+    Rotation rounds, so what is met has to be verified on the unrotated vectors.
 
     The leading components of all pairs are multiplied first; what the others can add is at most the product
     of the norms of the two rests, so a pair is dropped as soon as that is too little. Few pairs are left after
@@ -86,7 +90,7 @@ def near_pairs(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarr
     dims, least = a.shape[1], threshold - MARGIN
     cuts = _cuts(dims)
     if not cuts:
-        return np.nonzero(a @ b.T >= threshold)
+        return np.nonzero(a @ b.T >= least)
     rests = [(np.sqrt((a[:, c:] ** 2).sum(axis=1)), np.sqrt((b[:, c:] ** 2).sum(axis=1))) for c in cuts]
     first = cuts[0]
     lead = np.column_stack([a[:, :first], rests[0][0]]) @ np.column_stack([b[:, :first], rests[0][1]]).T
@@ -97,7 +101,7 @@ def near_pairs(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarr
         for c, (ra, rb) in zip([*cuts, dims], [*rests, (None, None)]):
             product = product + np.einsum("nd,nd->n", a[p, done:c], b[q, done:c])
             reach = product + (ra[p] * rb[q] if ra is not None else 0.0)
-            alive = reach >= (least if ra is not None else threshold - 1e-12)
+            alive = reach >= least
             p, q, product, done = p[alive], q[alive], product[alive], c
         yield_p, yield_q = p, q
         i[at : at + len(p)], j[at : at + len(q)] = yield_p, yield_q
@@ -129,13 +133,63 @@ def compare(x: np.ndarray, y: np.ndarray, threshold: float, same: bool, plain_x:
             yield i[exact], j[exact]
 
 
+def _dealt(classes: DataFrame, directions: np.ndarray, threshold: float, n_classes: int) -> DataFrame:
+    """``(node, n, unit, own, pair)``: every class once for each group that its own group has to be compared with."""
+    wanted = max(-(-n_classes // GROUP), min(LEAST_GROUPS, -(-n_classes // SMALL_GROUP)))
+    lead = classes.select("node", "unit").mapInArrow(_leads(directions), "node long, lead double")
+    levels = [k / wanted for k in range(1, wanted)]
+    found = lead.agg(F.percentile_approx("lead", levels, 10 * wanted + 100).alias("q")).first()["q"] if levels else []
+    bounds = np.unique(np.array(found, float))
+
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _leads(directions)(batches):
+            at = np.searchsorted(bounds, batch.column(1).to_numpy(), side="left")
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), batch.column(1)], names=["range", "lead"])
+
+    spans = classes.select("node", "unit").mapInArrow(place, "range long, lead double")
+    spans = spans.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("lead").alias("lo"), F.max("lead").alias("hi"))
+    spans = spans.orderBy("range").toPandas()
+    salts = np.ceil(spans["n"].to_numpy() / (2 * GROUP)).astype(np.int64)
+    offset = np.concatenate([[0], np.cumsum(salts)])
+    gap = np.sqrt(2 - 2 * threshold) + MARGIN
+    first = np.searchsorted(spans["hi"].to_numpy(), spans["lo"].to_numpy() - gap, side="left")
+    last = np.searchsorted(spans["lo"].to_numpy(), spans["hi"].to_numpy() + gap, side="right")
+    order = {int(r): k for k, r in enumerate(spans["range"])}
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            matrix = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float64).reshape(batch.num_rows, -1)
+            at = np.array([order[int(r)] for r in np.searchsorted(bounds, matrix @ directions[:, 0], side="left")], np.int64)
+            node = batch.column(0).to_numpy().view(np.uint64)
+            own = offset[at] + (node % salts[at].astype(np.uint64)).astype(np.int64)
+            made = [pa.array(own), pa.array(offset[first[at]]), pa.array(offset[last[at]] - 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=["node", "n", "unit", "own", "first", "last"])
+
+    rows = classes.select("node", "n", "unit").mapInArrow(deal, "node long, n long, unit binary, own long, first long, last long")
+    partner = F.explode(F.sequence("first", "last")).alias("other")
+    pair = F.struct(F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).alias("pair")
+    return rows.select("node", "n", "unit", "own", partner).select("node", "n", "unit", "own", pair)
+
+
+def _leads(directions: np.ndarray):
+    """A function from batches (node, unit) to (node, first component)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            matrix = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float64).reshape(batch.num_rows, -1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(matrix @ directions[:, 0])], names=["node", "lead"])
+
+    return run
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` of every row of ``vectors``.
 
-    Equal unit vectors are one class, counted by size, so copies make no pairs. Classes are dealt by hash
-    into groups of about ``GROUP``; every two groups are compared in one task of bounded memory, which gives
-    back the number of links per class and few links that connect the same classes, never all pairs. Vectors
-    that are null, empty, zero, not finite, of a null component or of another length than most
+    Equal unit vectors are one class, counted by size, so copies make no pairs. Classes are dealt into groups of
+    about ``GROUP`` by ranges of their first principal component (a range that holds more is dealt on by hash);
+    two groups are compared, in one task of bounded memory, only if their ranges are near enough to hold a pair. A
+    task gives back the number of links per class and few links that connect the same classes, never all pairs.
+    Vectors that are null, empty, zero, not finite, of a null component or of another length than most
     link with nothing. Repeated rows are copies of each other; a null vec_id links like any other.
     """
     sizes = vectors.where("embedding is not null").groupBy(F.size("embedding").alias("dims")).agg(F.count(F.lit(1)).alias("n"))
@@ -148,10 +202,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     classes = stage(classes.withColumn("node", F.xxhash64("same")), "classes")
     n_classes = classes.count()
     directions = components_of(classes, dims) if n_classes and dims else np.zeros((dims, dims))
-    n_groups = max(1, -(-n_classes // GROUP))
-    group = F.pmod(F.xxhash64("same", F.lit("group")), F.lit(n_groups))
-    partners = F.transform(F.sequence(F.lit(0), F.lit(n_groups - 1)), lambda k: F.struct(F.least(group, k).alias("low"), F.greatest(group, k).alias("high")))
-    dealt = classes.select("node", "n", "unit", group.alias("own"), F.explode(partners).alias("pair"))
+    dealt = _dealt(classes, directions, threshold, n_classes) if n_classes and dims else classes.where("false").select(
+        "node", "n", "unit", F.lit(0).cast("long").alias("own"), F.struct(F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high")).alias("pair")
+    )
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         plain = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(-1, dims)
@@ -185,9 +238,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     groups = connected_components(found.where("other is not null"), "node", "other")
     named = classes.select("same", "node", "rep", "n").join(counts, "node", "left").join(groups, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
-    lowest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = stage(named, "named")
+    lowest = stage(named.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("n_classes")), "lowest")
     links = (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
-    roots = stage(named.join(lowest, "component").select("same", links, "component_id"), "roots")
-    component = F.coalesce("component_id", "vec_id").alias("component_id")
-    out = units.join(roots, "same", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component)
+    roots = stage(join_hot(named, lowest, "component", "n_classes").select("same", links, "component_id", "n"), "roots")
+    linked = join_hot(usable.select("vec_id", "same"), roots, "same", "n").select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id")
+    alone = units.where("unit is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = linked.unionByName(alone)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -14,6 +14,11 @@ from tideline.llm.common import below_share, slices
 
 BUCKETS = 1 << 15
 CHARS_AT_ONCE = 1 << 18
+#: Languages that are learned at most, the commonest; so many rows of counts come to the driver.
+MOST_LANGS = 256
+#: Letters from which a text tells how usual its n-grams are, and how far below the usual a text may lie: so many
+#: spreads, and more for a text that is short beside ``USUAL_LETTERS``.
+LEAST_LETTERS, SPREADS, USUAL_LETTERS = 40, 6.0, 400
 UNKNOWN = "und"
 
 
@@ -24,6 +29,7 @@ class LanguageModel:
     langs: tuple[str, ...]
     prior: np.ndarray
     logs: np.ndarray
+    usual: np.ndarray  # per language: mean and spread, over its texts, of the log likelihood a letter
 
 
 _letters: list[np.ndarray] = []
@@ -91,23 +97,25 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     key_col: str = "doc_id",
+    most_langs: int = MOST_LANGS,
 ) -> LanguageModel:
     """Counts of hashed n-grams by language, from about ``per_lang`` texts of each.
 
-    Rows without text or language, and those for which ``trainable`` is not true, are left out. The bound
-    is a parameter: every language keeps its rows by a hash of their key, all of them if it has fewer than
-    ``per_lang``. Only one count per language and bucket comes to the driver. Without rows there is no language.
+    Rows without text or language, and those for which ``trainable`` is not true, are left out. The bounds
+    are parameters: every language keeps its rows by a hash of their key, all of them if it has fewer than
+    ``per_lang``, and the ``most_langs`` commonest languages are learned (by name at equal numbers). Only one count per
+    language and bucket comes to the driver. A second pass over the same texts learns what log likelihood a letter
+    is usual in each language. Without rows there is no language.
     """
     rows = docs.where(trainable & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(key_col).alias("key"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    common = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs)
+    sizes = {r["lang"]: r["n"] for r in common.collect()}
     langs = tuple(sorted(sizes))
     if not langs:
-        return LanguageModel((), np.zeros(0), np.zeros((BUCKETS + 1, 0), np.float32))
-    shares = F.lit(1.0)
-    for lang in langs:
-        shares = F.when(F.col("lang") == lang, min(1.0, per_lang / sizes[lang])).otherwise(shares)
+        return LanguageModel((), np.zeros(0), np.zeros((BUCKETS + 1, 0), np.float32), np.zeros((0, 2)))
+    known = docs.sparkSession.createDataFrame([(x, min(1.0, per_lang / sizes[x])) for x in langs], "lang string, share double")
     number = {lang: k for k, lang in enumerate(langs)}
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,31 +126,50 @@ def fit(
                 sizes_here = np.diff([*places, buckets.shape[1]])
                 rows_here = np.repeat(of_text[numbers], sizes_here) * (BUCKETS + 1)
                 for row in buckets:
-                    total += np.bincount(rows_here + row, minlength=len(total))
+                    met, n = np.unique(rows_here + row, return_counts=True)
+                    total[met] += n
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "n"])
 
-    chosen = rows.where(below_share(F.col("key"), "language", shares)).select("lang", "text")
+    chosen = rows.join(F.broadcast(known), "lang").where(below_share(F.col("key"), "language", F.col("share"))).select("lang", "text")
     counted = chosen.repartition(8).mapInArrow(count, "cell long, n long")
     cells = counted.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(langs), BUCKETS + 1))
     counts.ravel()[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy()
     counts = counts[:, :BUCKETS] + smoothing
     logs = np.log(counts / counts.sum(axis=1, keepdims=True))
-    known = np.array([sizes[lang] for lang in langs], float)
+    shares = np.array([sizes[lang] for lang in langs], float)
     table = np.vstack([logs.T, np.zeros(len(langs))]).astype(np.float32)
-    return LanguageModel(langs, np.log(known / known.sum()), table)
+    flat = LanguageModel(langs, np.zeros(len(langs)), table, np.zeros((len(langs), 2)))
+
+    def usual(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            own = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
+            sums, letters = log_scores(batch.column(1).to_pylist(), flat)
+            some = letters >= LEAST_LETTERS
+            each = sums[np.arange(len(own)), own][some] / letters[some]
+            yield pa.RecordBatch.from_arrays([pa.array(own[some]), pa.array(each), pa.array(each * each)], names=["lang", "x", "xx"])
+
+    measured = chosen.mapInArrow(usual, "lang long, x double, xx double").groupBy("lang").agg(F.avg("x").alias("x"), F.avg("xx").alias("xx"))
+    bands = np.full((len(langs), 2), [-np.inf, 0.0])
+    for r in measured.collect():
+        bands[r["lang"]] = r["x"], max(r["xx"] - r["x"] ** 2, 0.0) ** 0.5
+    return LanguageModel(langs, np.log(shares / shares.sum()), table, bands)
 
 
 def predict(docs: DataFrame, model: LanguageModel, keep: list[str], text_col: str = "text") -> DataFrame:
-    """Columns ``keep`` with ``lang_pred`` and ``score``, the posterior probability of that language.
+    """Columns ``keep`` with ``lang_pred``, ``score``, the posterior probability of that language, and ``usual``.
+
+    ``usual`` tells whether the n-grams of the text are as likely, a letter, as in other texts of that language: the
+    mean log likelihood is at most ``SPREADS`` spreads below the usual, wider for short texts. Unlike the score it does
+    not grow with the length of a text, so gibberish is not usual, however long. It is false where there is no language.
 
     Null texts, texts without a letter, and all texts if no language was learned, are ``und`` with score 0.
     Every character of a text counts. Equal probabilities go to the first language by name.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.select(*[f"`{c}`" for c in keep])
-    schema = kept.schema.add("lang_pred", "string").add("score", "double")
+    schema = kept.schema.add("lang_pred", "string").add("score", "double").add("usual", "boolean")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -150,14 +177,17 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str], text_col: st
         for batch in slices(batches):
             sums, letters = log_scores(batch.column(len(keep)).to_pylist(), known)
             best = np.full(len(sums), len(known.langs))
-            score = np.zeros(len(sums))
+            score, usual = np.zeros(len(sums)), np.zeros(len(sums), bool)
             if known.langs:
                 some = letters > 0
                 best[some] = sums[some].argmax(axis=1)
                 score[some] = 1 / np.exp(sums[some] - sums[some].max(axis=1, keepdims=True)).sum(axis=1)
+                each = (sums[some, best[some]] - known.prior[best[some]]) / letters[some]
+                middle, spread = known.usual[best[some]].T
+                usual[some] = each >= middle - SPREADS * spread * np.sqrt(1 + USUAL_LETTERS / letters[some])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names[best], pa.string()), pa.array(np.round(score, 6))],
-                names=[*keep, "lang_pred", "score"],
+                [*batch.columns[:-1], pa.array(names[best], pa.string()), pa.array(np.round(score, 6)), pa.array(usual)],
+                names=[*keep, "lang_pred", "score", "usual"],
             )
 
     text = docs[f"`{text_col}`"].alias("__text")

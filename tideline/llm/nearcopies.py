@@ -1,18 +1,26 @@
-"""Near copies by exact Jaccard similarity of word shingles; candidates from bands of MinHash values."""
+"""Near copies by exact Jaccard similarity of word shingles.
+
+Candidates come from SimHash fingerprints in the index of deletion variants and from bands of MinHash values; every
+candidate is verified. A bucket of a band never makes all its pairs: its members are compared with one of them, the
+pivot, and where they stay apart, with a centre, the shingles most of them have. What tells two variants of one
+original apart is their difference to the centre, so they meet again only where these differences have a MinHash
+value in common: variants that have nothing in common but the original never meet.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import BROADCAST_ROWS, Memory, held, one_of_each, slices, text_class
+from tideline.llm.common import BROADCAST_ROWS, Memory, held, join_hot, one_of_each, slices, text_class
 from tideline.llm.components import connected_components
-from tideline.llm.simhash import TO_LOWER
+from tideline.llm.simhash import TO_LOWER, fingerprint_links
 from tideline.session import stage
 
 SIZE = 5
@@ -20,6 +28,16 @@ LEAST = 0.8
 #: A pair of similarity 0.8 meets in none of the bands with probability (1 - 0.8 ** 5) ** 30 = 0.000007.
 BANDS = 30
 ROWS = 5
+#: Members of a bucket up to which all its pairs are compared.
+SMALL = 4
+#: About so many members of a larger bucket, chosen by hash, vote on its centre; any centre finds the same or more pairs.
+VOTERS = 24
+#: MinHash values of a difference; two members of a bucket meet if they share one.
+TURNS = 6
+#: Texts of a similarity of 0.8 differ in more than so many of 64 SimHash bits with a probability of 0.0003.
+MOST_BITS = 20
+#: Sets up to so many bytes are broadcast where much of a table is compared with one of them.
+BROADCAST_SET = 1 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)
 _seeds = np.random.default_rng(7).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
 TIMES, PLUS = _seeds[0] | np.uint64(1), _seeds[1]
@@ -63,23 +81,32 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
 
-def _index(texts: DataFrame) -> DataFrame:
-    """``(node, key, n)`` of every class and band; ``n`` is the number of its shingles."""
+def simhash_of(marks: np.ndarray) -> int:
+    """64-bit SimHash of a set of hashes, as a signed integer; 0 for an empty set."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(marks), 4_096):
+        part = marks[at : at + 4_096].astype("<u8").view(np.uint8)
+        ones += np.unpackbits(part.reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(marks), bitorder="little").view("<i8")[0])
+
+
+def _sketches(texts: DataFrame) -> DataFrame:
+    """``(node, n, fp, keys)`` of every class: number of shingles, their SimHash, one key a band."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             keys = pa.array([band_keys(s).view(np.int64) for s in sets], pa.list_(pa.int64()))
-            sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, keys], names=["node", "n", "keys"])
+            sizes, fps = pa.array([len(s) for s in sets], pa.int64()), pa.array([simhash_of(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, fps, keys], names=["node", "n", "fp", "keys"])
 
-    marked = texts.mapInArrow(run, "node long, n long, keys array<long>").distinct()
-    return marked.select("node", "n", F.explode("keys").alias("key"))
+    made = texts.mapInArrow(run, "node long, n long, fp long, keys array<long>")
+    return made.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
 
 
-def _near(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose shingles have a Jaccard similarity of at least ``least``."""
-    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+def _sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``(node, marks)``: the shingles of the classes in ``nodes``, as bytes; each class once."""
+    wanted = stage(nodes.select("node").distinct(), "wanted")
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +121,20 @@ def _near(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "marks"])
 
     sets = texts.join(side, "node", "left_semi").mapInArrow(run, "node long, marks binary")
-    sets = stage(sets.groupBy("node").agg(F.first("marks").alias("marks")), "sets")
+    return stage(sets.groupBy("node").agg(F.first("marks").alias("marks")), "sets")
+
+
+def _with_set(pairs: DataFrame, sets: DataFrame, end: str, name: str) -> DataFrame:
+    """The pairs with the set of one end; classes that are in very many pairs are broadcast, if their sets are not long."""
+    uses = pairs.groupBy(end).agg(F.count(F.lit(1)).alias("uses"))
+    side = sets.select(F.col("node").alias(end), F.col("marks").alias(name)).join(uses, end)
+    side = stage(side.withColumn("uses", F.when(F.octet_length(name) <= BROADCAST_SET, F.col("uses")).otherwise(0)), "uses")
+    return join_hot(pairs, side, end, "uses", share=200)
+
+
+def _near(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose shingles have a Jaccard similarity of at least ``least``."""
+    sets = _sets(texts, pairs.select(F.explode(F.array("a", "b")).alias("node")))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -102,42 +142,140 @@ def _near(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
             near = pa.array([jaccard(p, q) >= least for p, q in zip(x, y)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(near)
 
-    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("marks").alias("x")), "a")
-    met = met.join(sets.select(F.col("node").alias("b"), F.col("marks").alias("y")), "b")
+    met = _with_set(_with_set(pairs, sets, "a", "x"), sets, "b", "y")
     return met.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def _fits(left: str, right: str, least: float) -> Column:
+    """Whether numbers of shingles and fingerprints leave two classes a chance to be near."""
+    x, y = F.col(f"{left}n"), F.col(f"{right}n")
+    few = F.bit_count(F.col(f"{left}fp").bitwiseXOR(F.col(f"{right}fp"))) <= MOST_BITS
+    return (F.least(x, y) >= least * F.greatest(x, y)) & few
+
+
+def _ordered(one: str, other: str) -> list[Column]:
+    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+
+
+def _by_fingerprint(sketches: DataFrame) -> DataFrame:
+    """Pairs of near fingerprints: each class with the first of its fingerprint, and the firsts of linked ones."""
+    fps = stage(sketches.groupBy("fp").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("of")), "fps")
+    same = join_hot(sketches.select("fp", "node"), fps.where("of > 1"), "fp", "of").where("node != rep")
+    rep = fps.select("fp", "rep")
+    linked = fingerprint_links(fps.select("fp")).join(rep.select(F.col("fp").alias("a"), F.col("rep").alias("u")), "a")
+    linked = linked.join(rep.select(F.col("fp").alias("b"), F.col("rep").alias("v")), "b")
+    return same.select(*_ordered("node", "rep")).unionByName(linked.select(*_ordered("u", "v")))
+
+
+def _centres(rows: DataFrame) -> DataFrame:
+    """``(key, centre)``: the shingles that more than half of a bucket's voters have; ``rows`` has their sets."""
+    share = F.pmod(F.xxhash64("node", "key"), F.lit(1 << 20)) * F.col("members")
+    voters = rows.where(share < VOTERS << 20).groupBy("key").agg(F.collect_list("marks").alias("sets"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 200):
+            centres = []
+            for sets in batch.column(1).to_pylist():
+                marks, votes = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_counts=True)
+                centres.append(marks[votes * 2 > len(sets)].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(centres, pa.binary())], names=["key", "centre"])
+
+    return voters.mapInArrow(run, "key long, centre binary")
+
+
+def difference_keys(key: int, marks: np.ndarray, centre: np.ndarray) -> tuple[int, list[int]]:
+    """Size of the difference of a set to a centre, and one key per MinHash value of the difference."""
+    apart = np.setxor1d(marks, centre, assume_unique=True)
+    least = np.full(TURNS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(apart), 4_096):
+        values = TIMES[:TURNS, None] * apart[at : at + 4_096] + PLUS[:TURNS, None]
+        np.minimum(least, values.min(axis=1), out=least)
+    seed = key & 0xFFFFFFFFFFFFFFFF
+    return len(apart), [xxhash.xxh64_intdigest(bytes([k]) + v.tobytes(), seed) for k, v in enumerate(least)]
+
+
+def _apart(texts: DataFrame, large: DataFrame) -> DataFrame:
+    """Members of large buckets in the buckets of their differences to the centres.
+
+    ``rank`` is the size of the difference. Each bucket also stays as it is, marked ``last``: there its members
+    meet the one nearest to the centre, and no more.
+    """
+    members = large.join(_sets(texts, large), "node")
+    members = stage(members, "members")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"))
+    centres = sizes.join(_centres(members), "key", "left").withColumn("centre", F.coalesce("centre", F.lit(b"")))
+    joined = join_hot(members, stage(centres, "centres"), "key", "n_rows", share=200)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rank, keys = [], []
+            for key, marks, centre in zip(*(c.to_pylist() for c in batch.columns[3:])):
+                size, own = difference_keys(key, np.frombuffer(marks, np.uint64), np.frombuffer(centre, np.uint64))
+                own.append(xxhash.xxh64_intdigest(b"last", key & 0xFFFFFFFFFFFFFFFF))
+                rank.append(size)
+                keys.append(np.array(own, np.uint64).view(np.int64))
+            made = [*batch.columns[:3], pa.array(rank, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(made, names=["node", "n", "fp", "rank", "keys"])
+
+    out = joined.select("node", "n", "fp", "key", "marks", "centre").mapInArrow(run, "node long, n long, fp long, rank long, keys array<long>")
+    return out.select("node", "n", "fp", "rank", F.posexplode("keys").alias("turn", "key")).select(
+        "key", "node", "n", "fp", "rank", (F.col("turn") == TURNS).alias("last")
+    )
+
+
+def _meeting(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Rows of buckets whose members lie in several components, with the bucket's size and pivot (the row of least rank)."""
+    if groups is None:
+        rows = rows.withColumn("component", F.col("node"))
+    else:
+        rows = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = stage(rows, "rows")
+    pivot = F.min(F.struct("rank", "node", "n", "fp", "component")).alias("p")
+    found = rows.groupBy("key").agg(F.count(F.lit(1)).alias("met"), F.min("component").alias("lo"), F.max("component").alias("hi"), pivot)
+    found = found.where("lo < hi").select(
+        "key", "met", F.col("met").alias("members"), F.col("p.node").alias("p_node"), F.col("p.n").alias("p_n"),
+        F.col("p.fp").alias("p_fp"), F.col("p.component").alias("p_component"),
+    )
+    return stage(join_hot(rows, stage(found, "buckets"), "key", "met"), "meeting")
+
+
 def components(texts: DataFrame, least: float = LEAST) -> DataFrame:
     """``(node, component)`` of every class of ``texts`` (node, text) that is linked to another.
 
-    Classes are linked if their similarity is at least ``least``, transitively. First each class is compared
-    with its neighbour in every bucket, which makes most of a group one component without its square of pairs;
-    then all pairs of a bucket that still lie in different components are compared.
+    Classes are linked if their similarity is at least ``least``, transitively. Each turn compares the members of all
+    buckets with their pivots; where a bucket still holds several components, all its pairs are compared if they
+    are few, or its members go on to the buckets of their differences to its centre. Those share the part of the
+    difference they were dealt by, which the next centre takes in, so the turns end.
     """
-    rows = stage(_index(texts), "bands")
-    met = Window.partitionBy("key")
-    shared = rows.select("*", F.count(F.lit(1)).over(met).alias("met")).where("met > 1").drop("met")
-    shared = stage(shared, "shared")
-    fits = lambda x, y: F.least(x, y) >= least * F.greatest(x, y)
-    line = met.orderBy("n", "node")
-    following = shared.select("node", "n", F.lead("node").over(line).alias("other"), F.lead("n").over(line).alias("m"))
-    pairs = following.where(F.col("other").isNotNull() & fits(F.col("n"), F.col("m")))
-    pairs = stage(pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "pairs")
-    links = stage(_near(texts, pairs, least), "near")
-    first = stage(connected_components(links, "a", "b"), "first")
-    named = shared.join(first, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    named = stage(named.join(mixed.select("key"), "key", "left_semi"), "mixed")
-    across = named.alias("l").join(
-        named.alias("r").hint("merge"),
-        (F.col("l.key") == F.col("r.key"))
-        & (F.col("l.node") < F.col("r.node"))
-        & (F.col("l.component") != F.col("r.component"))
-        & fits(F.col("l.n"), F.col("r.n")),
-    )
-    across = across.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stage(_near(texts, stage(across, "across"), least), "more")
-    return connected_components(links.unionByName(more), "a", "b")
+    sketches = stage(_sketches(texts), "sketches")
+    wanted = _by_fingerprint(sketches)
+    rows = sketches.select(F.explode("keys").alias("key"), "node", "n", "fp", F.xxhash64("node").alias("rank"), F.lit(False).alias("last"))
+    links: list[DataFrame] = []
+    groups: DataFrame | None = None
+    while True:
+        met = _meeting(rows, groups)
+        star = met.where((F.col("component") != F.col("p_component")) & _fits("", "p_", least)).select(*_ordered("node", "p_node"))
+        pairs = stage(wanted.unionByName(star).distinct(), "pairs")
+        links.append(stage(_near(texts, pairs, least), "near"))
+        groups = stage(connected_components(reduce(DataFrame.unionByName, links), "a", "b"), "groups")
+        left = _meeting(met.where("not last").select("key", "node", "n", "fp", "rank", "last"), groups)
+        few = left.where(F.col("members") <= SMALL).select("key", "node", "n", "fp", "component")
+        both = few.alias("l").join(
+            few.alias("r").hint("merge"),
+            (F.col("l.key") == F.col("r.key"))
+            & (F.col("l.node") < F.col("r.node"))
+            & (F.col("l.component") != F.col("r.component"))
+            & _fits("l.", "r.", least),
+        )
+        wanted = stage(both.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct(), "few")
+        large = left.where(F.col("members") > SMALL).select("node", "n", "fp", "key", "members")
+        if large.isEmpty():
+            break
+        rows = _apart(texts, large)
+    if not wanted.isEmpty():
+        links.append(stage(_near(texts, wanted, least), "near"))
+        groups = connected_components(reduce(DataFrame.unionByName, links), "a", "b")
+    return groups
 
 
 def keep_one(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

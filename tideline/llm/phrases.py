@@ -24,8 +24,8 @@ LONGEST = 3
 TOP = 2_000
 NO_LANG = "und"
 #: Bits of the fixed-size filter that tells which phrases are worth counting; what it lets through wrongly is counted in vain.
-FILTER_BITS = 27
-CELLS_AT_ONCE = 1 << 22
+FILTER_BITS = 26
+CELLS_AT_ONCE = 1 << 20
 SALTS = 64
 
 # Characters that end a piece.

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import below_share, fold, slices, text_bytes
@@ -190,13 +190,13 @@ def probabilities(model: QualityModel, column: pa.Array) -> np.ndarray:
     return forward(model.params, top, first)["prob"]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", bound: int = 2_000, sample_chars: int = 20_000) -> QualityModel:
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", bound: int = 2_000, most_chars: int = 40_000_000) -> QualityModel:
     """Train on about ``bound`` labelled rows outside the held-out fold, chosen by a hash of their id.
 
     Half of the bound goes to each label. A row without a label of 0 or 1, without an id or without text is left out;
-    an id with several labels counts once per label. Training texts beyond ``sample_chars`` enter as a stretch
-    of so many characters at a place chosen by hash (scoring always reads whole texts). The bounds keep what
-    comes to the driver small, whatever the input.
+    an id with several labels counts once per label. Texts are whole, in training as in scoring. Where ids repeat,
+    no more than ``bound`` rows are taken, in the order of a hash of id and text, and of these as many as hold
+    ``most_chars`` characters together: what comes to the driver is bounded, whatever the input.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & (fold(F.col("doc_id")) != 0)).select("doc_id", F.col(label_col).alias("label")).distinct()
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -204,13 +204,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", bound: i
     for label, n in sizes.items():
         share = F.when(F.col("label") == label, min(1.0, bound / 2 / n)).otherwise(share)
     chosen = known.where(below_share(F.col("doc_id"), "quality", share))
-    room = F.greatest(F.char_length("text") - sample_chars, F.lit(0)) + 1
-    place = F.pmod(F.xxhash64("doc_id"), room).cast("int") + 1
-    rows = (
-        docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "label", F.substring("text", place, F.lit(sample_chars)).alias("text"))
-        .toPandas().sort_values(["doc_id", "label", "text"])
-    )
+    joined = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    first = joined.withColumn("at", F.xxhash64("doc_id", "text")).orderBy("at", "label").limit(bound)
+    upto = F.sum(F.char_length("text")).over(Window.orderBy("at", "label").rowsBetween(Window.unboundedPreceding, 0))
+    rows = first.withColumn("upto", upto).where(F.col("upto") <= most_chars).select("doc_id", "label", "text").toPandas()
+    rows = rows.sort_values(["doc_id", "label", "text"])
     return train(rows["text"].tolist(), rows["label"].to_numpy(int))
 
 

@@ -35,7 +35,7 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)]
     done = chat.formatted(given.unionByName(spark.createDataFrame(planted, schema)))
     read = done.select(
-        "conv_id", "valid", "segments", chat.full_text(F.col("segments")).alias("formatted")
+        "conv_id", "valid", "broken_at", "segments", chat.full_text(F.col("segments")).alias("formatted")
     ).withColumn("turns", chat.turns_of(F.col("formatted")))
     told = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
     loss = chat.learned_text(F.col("segments"))
@@ -46,6 +46,8 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length(loss).cast("long").alias("loss_chars"),
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+        F.col("broken_at").cast("long").alias("broken_at"),
     )
 
 
@@ -54,17 +56,25 @@ def _escaped_sql(column: str, role: bool = False) -> str:
     return f"replace({out}, chr(10), '\\' || chr(10))" if role else out
 
 
+_MOVES = ", ".join(f"({before!r}, {role!r})" for before, roles in chat.CHATML.moves.items() for role in roles)
+_FINAL = ", ".join(map(repr, chat.CHATML.final))
 OP3_SQL = f"""
 with c as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
-  union all select -1, 0, 'user', '{CONTROL_TEXT}' union all select -1, 1, 'assistant', '{CONTROL_TEXT}')
-select conv_id, count(*) as n_turns,
+  union all select -1, 0, 'user', '{CONTROL_TEXT}' union all select -1, 1, 'assistant', '{CONTROL_TEXT}'),
+o as (select conv_id, role, row_number() over w as place, coalesce(lag(role) over w, 'start') as before,
+    row_number() over w = count(*) over (partition by conv_id) as is_last
+  from c window w as (partition by conv_id order by turn nulls first, role, text)),
+m(before, role) as (values {_MOVES}),
+b as (select conv_id, min(case when m.role is null then place when is_last and o.role not in ({_FINAL}) then place + 1 end) as broken_at
+  from o left join m using (before, role) group by conv_id)
+select * exclude (id) from (select conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
   coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
   sum(length('<|im_start|>' || {_escaped_sql("role", True)} || chr(10) || {_escaped_sql("text")} || '<|im_end|>' || chr(10)))::bigint
     as formatted_chars
-from c group by conv_id"""
+from c group by conv_id) t join (select conv_id as id, broken_at is null as valid, broken_at from b) on id is not distinct from conv_id"""
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,17 +91,18 @@ _NAMED = ", ".join(repr(s) for s in corpus_pipeline.WEIGHTS if s is not None)
 OP4_SQL = f"""
 with w as ({_weights_sql()}),
 d as (select *, case when source in ({_NAMED}) then source end as g,
-        ('0x' || substr(md5('count|{corpus_pipeline.SEED}|' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint / {1 << 52}::double as u
-      from documents),
+        'count|{corpus_pipeline.SEED}|' || coalesce(doc_id::varchar, 'null') as key from documents),
 n as (select g, sum(coalesce(length(text), 0))::double as chars from d group by g),
 r as (select w.g, (select sum(chars) from n) * w.w / sum(w.w) over () / n.chars as rate
       from w join n on w.g is not distinct from n.g where w.w > 0 and n.chars > 0),
-k as (select g, rate, unnest(range(0, (rate + 20 * sqrt(rate) + 60)::bigint)) as k from r),
+s as (select g, rate / greatest(1, ceil(rate / {mixing.MOST_RATE})) as rate, greatest(1, ceil(rate / {mixing.MOST_RATE}))::bigint as parts from r),
+e as (select *, ('0x' || substr(md5(key || case when part > 0 then '|' || part else '' end), 1, 13))::bigint / {1 << 52}::double as u
+  from (select d.*, unnest(range(0, s.parts)) as part from d join s on s.g is not distinct from d.g)),
+k as (select g, rate, unnest(range(0, (rate + 20 * sqrt(rate) + 60)::bigint)) as k from s),
 p as (select g, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) over (partition by g order by k) as upto from k),
-c as (select doc_id, text, lang, source, n_chars,
-        (select count(*) from p where p.g is not distinct from d.g and p.upto <= d.u and p.upto < 1) as n from d
-      where exists (select 1 from r where r.g is not distinct from d.g))
-select doc_id, text, lang, source, n_chars, unnest(range(0, n))::int as copy from c where n > 0"""
+c as (select doc_id, text, lang, source, n_chars, part,
+        (select count(*) from p where p.g is not distinct from e.g and p.upto <= e.u and p.upto < 1) as n from e)
+select doc_id, text, lang, source, n_chars, part * {mixing.PART_COPIES} + unnest(range(0, n)) as copy from c where n > 0"""
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ BLANKS = " \t\n\v\f\r"
 WINDOW = 8
 MOST_WORDS = 200_000
 LONGEST_WORD = 64
-WORDS_AT_ONCE = 1 << 20
+MOST_TOKENS = 1 << 14
 #: Tokens of a window of entropy; a shorter text is one window, the last of a longer one takes the rest in.
 ENTROPY_WINDOW = 1_024
 
@@ -62,7 +62,18 @@ class Bands:
     other: Band = Band((0.1, 12.0), (0.1, 12.0), 0.0, 0.9, 0.4)
 
 
+def _script_band(per_piece: float, fallback: float, slack: float = 0.5) -> Band:
+    return Band((per_piece, 7.0), (0.2, 7.0), slack, fallback, 0.3)
+
+
+# Lower bounds between what plain prose and letters drawn at random measure with the two public vocabularies. In Greek and
+# Hebrew script nearly every letter is a token of its own, so there the bands tell the share of byte tokens only.
 LATIN = Band((1.6, 7.0), (1.4, 7.0), 1.4, 0.05, 0.4)
+SCRIPT_BANDS = {
+    "Latn": LATIN, "Cyrl": _script_band(1.55, 0.05, 1.0), "Grek": _script_band(0.7, 0.05), "Hebr": _script_band(0.7, 0.05),
+    "Arab": _script_band(0.8, 0.10), "Armn": _script_band(0.7, 0.33), "Deva": _script_band(0.58, 0.35), "Thai": _script_band(0.7, 0.2),
+    "Hang": _script_band(0.45, 0.5), "Kana": _script_band(0.65, 0.3), "Hani": _script_band(0.4, 0.45),
+}
 BANDS = Bands(
     by_lang={
         "en": Band((2.14, 7.0), (2.13, 7.0), 1.4, 0.05, 0.4),
@@ -70,7 +81,7 @@ BANDS = Bands(
         "fr": Band((1.95, 7.0), (1.79, 7.0), 1.2, 0.05, 0.4),
         "es": Band((1.90, 7.0), (1.73, 7.0), 1.2, 0.05, 0.4),
     },
-    by_script={"Latn": LATIN},
+    by_script=SCRIPT_BANDS,
 )
 
 
@@ -118,18 +129,23 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def row_entropies(ids: np.ndarray) -> np.ndarray:
-    """Entropy of each row in parts of the logarithm of its length; 1 for rows of less than two."""
-    rows, n = ids.shape
-    if n < 2:
-        return np.ones(rows)
-    flat = np.sort(ids, axis=1)
-    starts = np.ones(ids.shape, bool)
-    starts[:, 1:] = flat[:, 1:] != flat[:, :-1]
-    at = np.flatnonzero(starts)
-    runs = np.diff(np.append(at, rows * n))
-    weight = np.bincount(at // n, runs * np.log2(runs), minlength=rows)
-    return 1 - weight / (n * np.log2(n))
+def window_entropies(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Mean entropy of the windows of each of many texts, whose ``ids`` follow one another, ``sizes`` of each.
+
+    The entropy of a window is taken in parts of the logarithm of its length (1 for a length of one); the windows
+    of a text are weighted by their lengths. A text without ids has 0.
+    """
+    windows = np.maximum(sizes // ENTROPY_WINDOW, 1)
+    first = np.concatenate([[0], np.cumsum(windows)])
+    lengths = np.full(first[-1], ENTROPY_WINDOW, np.int64)
+    lengths[first[1:] - 1] = sizes - (windows - 1) * ENTROPY_WINDOW
+    marks = (np.repeat(np.arange(len(lengths)), lengths) << 16) | ids
+    marks.sort()
+    starts = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]])) if len(marks) else np.zeros(0, np.int64)
+    runs = np.diff(np.append(starts, len(marks)))
+    weight = np.bincount(marks[starts] >> 16, runs * np.log2(runs), minlength=len(lengths))
+    whole = 1 - weight / (np.maximum(lengths, 2) * np.log2(np.maximum(lengths, 2)))
+    return np.add.reduceat(whole * lengths, first[:-1]) / np.maximum(sizes, 1)
 
 
 class Tokenisers:
@@ -145,65 +161,61 @@ class Tokenisers:
         self.of_word = Memory(self._word, MOST_WORDS, LONGEST_WORD)
 
     def _word(self, word: bytes) -> bytes:
-        """Piece numbers of one word, then ``size`` once for each of its byte-level tokens."""
+        """Piece numbers of one word, then ``size`` plus the number of its byte-level tokens (in parts, if very many)."""
         text = word.decode()
-        ids = self.pieces.encode(text) + [self.size] * len(self.bytes.encode_ordinary(" " + text))
-        return array("I", ids).tobytes()
+        ids, tokens = self.pieces.encode(text), len(self.bytes.encode_ordinary(" " + text))
+        ids += [self.size + MOST_TOKENS] * (tokens // MOST_TOKENS)
+        return array("H", [*ids, self.size + tokens % MOST_TOKENS]).tobytes()
 
-    def measure(self, words: list[bytes], word_chars: int) -> tuple[float, float, float, float, float]:
-        """Characters per piece and per byte-level token, share of byte pieces, relative entropy of the pieces.
+    def measure_all(self, texts: list[list[bytes]], word_chars: list[int]) -> list[tuple[float, float, float, float]]:
+        """Of each text, given as its words: characters per piece and per byte-level token, share of byte pieces, entropy.
 
-        The entropy is that of the whole text and, last, the mean of its windows weighted by their pieces.
+        The entropy is the mean of windows of pieces that cover the whole text; see ``window_entropies``.
         """
-        if not words:
-            return 0.0, 0.0, 0.0, 0.0, 0.0
-        counts = np.zeros(self.size + 1, np.int64)
-        open_part, windowed = np.zeros(0, np.uint32), 0.0
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            raw = b"".join(map(self.of_word.__getitem__, words[at : at + WORDS_AT_ONCE]))
-            ids = np.frombuffer(raw, np.uint32)
-            counts += np.bincount(ids, minlength=self.size + 1)
-            open_part = np.concatenate([open_part, ids[ids < self.size]])
-            full = max(len(open_part) // ENTROPY_WINDOW - 1, 0) * ENTROPY_WINDOW
-            if full:
-                windowed += ENTROPY_WINDOW * float(row_entropies(open_part[:full].reshape(-1, ENTROPY_WINDOW)).sum())
-                open_part = open_part[full:]
-        byte_tokens, counts = int(counts[-1]), counts[:-1]
-        n = int(counts.sum())
-        seen = counts[counts > 0] / max(n, 1)
-        entropy = float(-(seen * np.log2(seen)).sum()) / np.log2(n) if n > 1 else 1.0
-        fallback = float(counts[self.is_byte].sum() / max(n, 1))
-        windowed += len(open_part) * float(row_entropies(open_part.reshape(1, -1))[0])
-        return word_chars / max(n, 1), word_chars / max(byte_tokens, 1), fallback, entropy, windowed / max(n, 1)
-
-
-def judge(text: str | None, lang: str | None, tools: Tokenisers, bands: Bands) -> tuple:
-    """All measures of one text; see ``RESULT``."""
-    text = text or ""
-    words = text.encode().split()
-    word_chars = len(text) - sum(map(text.count, BLANKS))
-    repeats = repeated_words(words)
-    failed = len(words) < 20 or 100 * repeats > 30 * len(words)
-    per_piece, per_token, fallback, entropy, flatness = tools.measure(words, word_chars)
-    band = bands.by_lang.get(lang or "")
-    band = band or bands.by_script.get(script(text), bands.other)
-    slack = band.slack / max(len(words), 1) ** 0.5
-    inside = (
-        band.chars_per_piece[0] - slack <= per_piece <= band.chars_per_piece[1]
-        and band.chars_per_byte_token[0] - slack <= per_token <= band.chars_per_byte_token[1]
-        and fallback <= band.fallback_share
-        and flatness >= band.window_entropy
-    )
-    return (
-        len(words), word_chars, sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeats,
-        failed, not failed and inside, *(round(x, 6) for x in (per_piece, per_token, fallback, entropy, flatness)),
-    )
+        raw = [b"".join(map(self.of_word.__getitem__, words)) for words in texts]
+        ids = np.frombuffer(b"".join(raw), np.uint16).astype(np.int64)
+        ends = np.cumsum([len(r) // 2 for r in raw])
+        is_piece = ids < self.size
+        upto = lambda values: np.diff(np.concatenate([[0], np.concatenate([[0], np.cumsum(values)])[ends]]))
+        n, tokens = upto(is_piece), upto(np.where(is_piece, 0, ids - self.size))
+        pieces = ids[is_piece]
+        fallback = np.concatenate([[0], np.cumsum(self.is_byte[pieces])])[np.cumsum(n)]
+        fallback = np.diff(np.concatenate([[0], fallback])) / np.maximum(n, 1)
+        chars = np.array(word_chars, np.int64)
+        flatness = window_entropies(pieces, n)
+        return list(zip((chars / np.maximum(n, 1)).tolist(), (chars / np.maximum(tokens, 1)).tolist(), fallback.tolist(), flatness.tolist()))
+
+
+def judge_all(texts: list[str | None], langs: list[str | None], tools: Tokenisers, bands: Bands) -> list[tuple]:
+    """All measures of each text; see ``RESULT``."""
+    texts = [t or "" for t in texts]
+    words = [t.encode().split() for t in texts]
+    chars = [len(t) - sum(map(t.count, BLANKS)) for t in texts]
+    out = []
+    for text, own, n_chars, lang, measured in zip(texts, words, chars, langs, tools.measure_all(words, chars)):
+        repeats = repeated_words(own)
+        failed = len(own) < 20 or 100 * repeats > 30 * len(own)
+        per_piece, per_token, fallback, flatness = measured
+        band = bands.by_lang.get(lang or "")
+        band = band or bands.by_script.get(script(text), bands.other)
+        slack = band.slack / max(len(own), 1) ** 0.5
+        inside = (
+            band.chars_per_piece[0] - slack <= per_piece <= band.chars_per_piece[1]
+            and band.chars_per_byte_token[0] - slack <= per_token <= band.chars_per_byte_token[1]
+            and fallback <= band.fallback_share
+            and flatness >= band.window_entropy
+        )
+        out.append((
+            len(own), n_chars, sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeats,
+            failed, not failed and inside, *(round(x, 6) for x in measured),
+        ))
+    return out
 
 
 RESULT = [
     *((n, "long", pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
     *((n, "boolean", pa.bool_()) for n in ("base_failed", "kept")),
-    *((n, "double", pa.float64()) for n in ("chars_per_piece", "chars_per_token", "fallback_share", "relative_entropy", "window_entropy")),
+    *((n, "double", pa.float64()) for n in ("chars_per_piece", "chars_per_token", "fallback_share", "window_entropy")),
 ]
 
 
@@ -222,9 +234,9 @@ def judged(docs: DataFrame, piece_path: str, byte_path: str, bands: Bands = BAND
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = held(("rules", piece_path, byte_path), lambda: Tokenisers(*raw.value))
-        for batch in slices(batches):
+        for batch in slices(batches, 500):
             texts, langs = (batch.column(len(keep) + k).to_pylist() for k in (0, 1))
-            rows = [judge(t, x, tools, bands) for t, x in zip(texts, langs)]
+            rows = judge_all(texts, langs, tools, bands)
             made = [pa.array(list(v), kind) for v, (_, _, kind) in zip(zip(*rows) if rows else [()] * len(RESULT), RESULT)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], names=schema.names)
 

@@ -29,20 +29,26 @@ LEAST_BYTES = 100
 DICTIONARY_BYTES = 16 << 10
 SAMPLE_BYTES = 1 << 20
 LEVEL = 3
+#: Payloads that more than one in so many of the repeated records hold are fewer than that, and broadcast.
+HOT_SHARE = 1_000
 
 
 def marked(pages: DataFrame) -> DataFrame:
     """``(page_id, url, payload, digest, first)``: ``first`` is the page that holds an equal payload, null for responses.
 
-    Only payloads met more than once enter the join, without their text.
+    Payloads met very often are joined by broadcast, so no task gathers the copies of a common page.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     large = rows.where(F.length("payload") >= LEAST_BYTES)
     again = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    again = stage(again.where("n > 1").select("digest", "first"), "payloads")
+    again = stage(again.where("n > 1"), "payloads")
+    total = again.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(again.where(F.col("n") * HOT_SHARE > total).select("digest", "first"))
+    rest = again.where(F.col("n") * HOT_SHARE <= total).select("digest", "first")
     first = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    return rows.join(again, "digest", "left").select("page_id", "url", "payload", "digest", first.alias("first"))
+    joined = rows.join(hot, "digest").unionByName(rows.join(hot.select("digest"), "digest", "left_anti").join(rest, "digest", "left"))
+    return joined.select("page_id", "url", "payload", "digest", first.alias("first"))
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, first: int | None) -> bytes:
