@@ -16,7 +16,6 @@ from tideline.session import stage
 SEED = 17
 #: Target shares of characters: one source that has most of them is held to a fifth, the others share alike.
 WEIGHTS: dict[str | None, float] = {"src0": 0.2, **{f"src{k}": 0.04 for k in range(1, 20)}, None: 0.04}
-LEAST_SCORE = 0.5
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -28,14 +27,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose language is told with some certainty; texts without a letter go."""
+    """Rows whose n-grams are usual in the language they are told to be in; gibberish and texts without a letter go."""
     model = language.fit(docs, fold(F.col("doc_id")) != 0)
     told = language.predict(docs, model, list(COLUMNS))
-    return told.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+    return told.where((F.col("lang_pred") != language.UNKNOWN) & F.col("usual")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates: texts of a five-word Jaccard similarity of 0.8, transitively."""
+    """One row of each group of near-duplicates: texts of a five-word Jaccard similarity of 0.8, transitively.
+
+    SimHash fingerprints of the shingles, in the index of deletion variants, give the first candidates; at this
+    similarity most pairs differ in more bits than it can bridge, so bands of MinHash values give the others.
+    """
     return nearcopies.keep_one(docs.select(*COLUMNS))
 
 
