@@ -48,16 +48,16 @@ def stored(spark, seasonal, config, tmp_path_factory):
 
 
 def test_kinds_and_parameters(spark):
-    assert model_kind("xgboost") == "gbt_absolute" and model_kind("lightgbm") == "gbt_squared"
+    assert model_kind("xgboost") == "boosted_absolute" and model_kind("lightgbm") == "boosted_squared"
     with pytest.raises(ValueError):
         model_kind("forest")
     merged = merged_params("lightgbm", {"max_depth": 7})
     assert merged["max_depth"] == 7 and merged["n_estimators"] == 1000 and merged["num_leaves"] == 31
     with pytest.warns(UserWarning, match="reg_alpha"):
-        estimator = make_estimator("xgboost", {"reg_alpha": 0.5})
+        estimator = make_estimator("gbt_absolute", {"reg_alpha": 0.5})
     assert (estimator.getLossType(), estimator.getMaxIter(), estimator.getStepSize()) == ("absolute", 1000, 0.01)
     assert (estimator.getMaxDepth(), estimator.getSubsamplingRate(), estimator.getMinInstancesPerNode()) == (5, 0.7, 5)
-    assert make_estimator("lightgbm", {"max_depth": 8, "num_leaves": 15}).getMaxDepth() == 4
+    assert make_estimator("gbt_squared", {"max_depth": 8, "num_leaves": 15}).getMaxDepth() == 4
 
 
 @pytest.mark.parametrize(
