@@ -43,6 +43,18 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[where[0] : where[-1]], where - where[0]
 
 
+def modest(df: DataFrame) -> DataFrame:
+    """``df``, after its session hands at most 8 MB and 2,000 rows at a time to Python, unless other bounds than Spark's were set.
+
+    Texts and sets may be long, and Spark's own bounds are 64 MB on either side of every task.
+    """
+    conf = df.sparkSession.conf
+    for name, given, wanted in (("maxBytesPerBatch", "67108864b", "8m"), ("maxRecordsPerBatch", "10000", "2000")):
+        if conf.get(f"spark.sql.execution.arrow.{name}", given) == given:
+            conf.set(f"spark.sql.execution.arrow.{name}", wanted)
+    return df
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 2_000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, so that Python holds few whole texts at a time."""
     for batch in batches:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import below_share, slices
+from tideline.llm.common import below_share, modest, slices
 
 BUCKETS = 1 << 15
 CHARS_AT_ONCE = 1 << 18
@@ -190,5 +190,5 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str], text_col: st
                 names=[*keep, "lang_pred", "score", "usual"],
             )
 
-    text = docs[f"`{text_col}`"].alias("__text")
+    text = modest(docs)[f"`{text_col}`"].alias("__text")
     return docs.select(*[docs[f"`{c}`"] for c in keep], text).mapInArrow(run, schema)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import BROADCAST_ROWS, Memory, held, join_hot, one_of_each, slices, text_class
+from tideline.llm.common import BROADCAST_ROWS, Memory, held, join_hot, modest, one_of_each, slices, text_class
 from tideline.llm.components import connected_components
 from tideline.llm.simhash import TO_LOWER, fingerprint_links
 from tideline.session import stage
@@ -137,7 +137,7 @@ def _near(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     sets = _sets(texts, pairs.select(F.explode(F.array("a", "b")).alias("node")))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 500):
             x, y = ([np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(k)] for k in (2, 3))
             near = pa.array([jaccard(p, q) >= least for p, q in zip(x, y)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(near)
@@ -247,7 +247,7 @@ def components(texts: DataFrame, least: float = LEAST) -> DataFrame:
     are few, or its members go on to the buckets of their differences to its centre. Those share the part of the
     difference they were dealt by, which the next centre takes in, so the turns end.
     """
-    sketches = stage(_sketches(texts), "sketches")
+    sketches = stage(_sketches(modest(texts)), "sketches")
     wanted = _by_fingerprint(sketches)
     rows = sketches.select(F.explode("keys").alias("key"), "node", "n", "fp", F.xxhash64("node").alias("rank"), F.lit(False).alias("last"))
     links: list[DataFrame] = []

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import join_hot, slices
+from tideline.llm.common import join_hot, modest, slices
 from tideline.session import stage
 
 SUPPORT = 10
@@ -129,7 +129,7 @@ def _sources(docs: DataFrame, shards: int, text_col: str, lang_col: str) -> Data
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(NO_LANG))
     keys = [F.xxhash64(F.col(f"`{c}`").cast("string")) for c, kind in docs.dtypes if kind in ("bigint", "int", "string")]
-    return docs.select(text.alias("text"), lang.alias("lang"), F.pmod(F.xxhash64(F.lit(0), *keys), F.lit(shards)).cast("int").alias("shard"))
+    return modest(docs).select(text.alias("text"), lang.alias("lang"), F.pmod(F.xxhash64(F.lit(0), *keys), F.lit(shards)).cast("int").alias("shard"))
 
 
 def _groups(batch: pa.RecordBatch, by_shard: bool) -> Iterator[tuple[str, int | None, Words]]:

@@ -15,14 +15,15 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Memory, held, slices
+from tideline.llm.common import held, modest, slices
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
 WINDOW = 8
-MOST_WORDS = 200_000
+MOST_WORDS = 80_000
 LONGEST_WORD = 64
 MOST_TOKENS = 1 << 14
+WORDS_AT_ONCE = 10_000
 #: Tokens of a window of entropy; a shorter text is one window, the last of a longer one takes the rest in.
 ENTROPY_WINDOW = 1_024
 
@@ -158,21 +159,46 @@ class Tokenisers:
         self.bytes = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.size = self.pieces.get_piece_size()
         self.is_byte = np.array([self.pieces.is_byte(k) for k in range(self.size)])
-        self.of_word = Memory(self._word, MOST_WORDS, LONGEST_WORD)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
-    def _word(self, word: bytes) -> bytes:
-        """Piece numbers of one word, then ``size`` plus the number of its byte-level tokens (in parts, if very many)."""
-        text = word.decode()
-        ids, tokens = self.pieces.encode(text), len(self.bytes.encode_ordinary(" " + text))
-        ids += [self.size + MOST_TOKENS] * (tokens // MOST_TOKENS)
-        return array("H", [*ids, self.size + tokens % MOST_TOKENS]).tobytes()
+    def encoded(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Of each word its piece numbers, then ``size`` plus the number of its byte-level tokens (in parts, if very many).
+
+        Words seen before are remembered in two generations of ``MOST_WORDS``; new ones are encoded together.
+        """
+        out, new, young, old = {}, [], self.young, self.old
+        for word in words:
+            value = young.get(word)
+            if value is None:
+                value = old.get(word)
+                if value is None:
+                    new.append(word)
+                    continue
+                young[word] = value
+            out[word] = value
+        count, size = self.bytes.encode_ordinary, self.size
+        for at in range(0, len(new), WORDS_AT_ONCE):
+            part = new[at : at + WORDS_AT_ONCE]
+            texts = [word.decode() for word in part]
+            for word, text, ids in zip(part, texts, self.pieces.encode(texts, num_threads=1)):
+                tokens = len(count(" " + text))
+                ids += [size + MOST_TOKENS] * (tokens // MOST_TOKENS)
+                ids.append(size + tokens % MOST_TOKENS)
+                out[word] = value = array("H", ids).tobytes()
+                if len(word) <= LONGEST_WORD:
+                    young[word] = value
+        if len(young) >= MOST_WORDS:
+            self.old, self.young = young, {}
+        return out
 
     def measure_all(self, texts: list[list[bytes]], word_chars: list[int]) -> list[tuple[float, float, float, float]]:
         """Of each text, given as its words: characters per piece and per byte-level token, share of byte pieces, entropy.
 
         The entropy is the mean of windows of pieces that cover the whole text; see ``window_entropies``.
         """
-        raw = [b"".join(map(self.of_word.__getitem__, words)) for words in texts]
+        known = self.encoded(set().union(*texts))
+        raw = [b"".join(map(known.__getitem__, words)) for words in texts]
         ids = np.frombuffer(b"".join(raw), np.uint16).astype(np.int64)
         ends = np.cumsum([len(r) // 2 for r in raw])
         is_piece = ids < self.size
@@ -240,7 +266,7 @@ def judged(docs: DataFrame, piece_path: str, byte_path: str, bands: Bands = BAND
             made = [pa.array(list(v), kind) for v, (_, _, kind) in zip(zip(*rows) if rows else [()] * len(RESULT), RESULT)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return modest(source).mapInArrow(run, schema)
 
 
 def filtered(docs: DataFrame, piece_path: str, byte_path: str, bands: Bands = BANDS) -> DataFrame:
