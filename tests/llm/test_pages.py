@@ -132,8 +132,8 @@ def slow_template(sources):
 
     template = {t for v, ts in members.items() if valid(v) for t in ts}
     whole = sum(chars[t] for t in template if t[0] == "e" and around[t] == ("e", 0))
-    fixed = {t for t in template if t[0] == "t"}
-    if sum(chars[t] for t in fixed) > 0.5 * whole:
+    fixed = {t for t in template if t[0] == "t" and sum(map(bool, vector[t])) >= 4}
+    if sum(chars[t] for t in fixed) > 0.2 * whole:
         fixed = set()
     return {t[1] for t in template if t[0] == "e"}, sorted(t[1] for t in fixed)
 

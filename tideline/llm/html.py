@@ -54,8 +54,9 @@ LEAST_PAGES = 2
 SUPPORT = 0.5
 #: Slots of at least this share of a host's text belong to the article, and headings.
 SLOT_SHARE = 0.08
-#: Texts of all classes are no template if they are more than this share of a host's text: its pages are variants of one page.
-CONSTANT_SHARE = 0.5
+#: Texts are template from so many pages on, for a few pages may well quote the same; and none are if they are more than
+#: this share of a host's text: then its pages are variants of one page.
+LEAST_TEXT_PAGES, CONSTANT_SHARE = 4, 0.2
 FLUSH = 100_000
 TEMPLATES_MB = 64
 
@@ -331,7 +332,7 @@ def template_of(tokens: pd.DataFrame, n_pages: int) -> dict:
     template = [r for r in rows if is_valid(class_of[r.token, r.tag is None])]
     elements = {r.token: r for r in template if r.tag is not None}
     whole = sum(r.chars for r in elements.values() if r.around == 0)
-    texts = [r for r in template if r.tag is None and (r.around in elements or r.around == 0)]
+    texts = [r for r in template if r.tag is None and r.pages >= LEAST_TEXT_PAGES and (r.around in elements or r.around == 0)]
     if sum(r.chars for r in texts) > CONSTANT_SHARE * whole:
         texts = []
     slots = {t: r.chars for t, r in elements.items()}

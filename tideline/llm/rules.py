@@ -69,7 +69,7 @@ def _script_band(per_piece: float, fallback: float, slack: float = 0.5) -> Band:
 
 # Lower bounds between what plain prose and letters drawn at random measure with the two public vocabularies. In Greek and
 # Hebrew script nearly every letter is a token of its own, so there the bands tell the share of byte tokens only.
-LATIN = Band((1.6, 7.0), (1.4, 7.0), 1.4, 0.05, 0.4)
+LATIN = Band((1.7, 7.0), (1.4, 7.0), 0.9, 0.05, 0.4)
 SCRIPT_BANDS = {
     "Latn": LATIN, "Cyrl": _script_band(1.55, 0.05, 1.0), "Grek": _script_band(0.7, 0.05), "Hebr": _script_band(0.7, 0.05),
     "Arab": _script_band(0.8, 0.10), "Armn": _script_band(0.7, 0.33), "Deva": _script_band(0.58, 0.35), "Thai": _script_band(0.7, 0.2),
