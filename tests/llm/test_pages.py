@@ -91,23 +91,23 @@ def slow_template(sources):
     counts, tag, around, chars = [], {}, {}, Counter()
     for p in pages:
         own, good = Counter(), p.counting()
-        below = Counter()
+        below, scale = Counter(), max(sum(len(t) for k, t in p.blocks if good[k]), 1)
         for k, t in p.blocks:
             up = k
             while good[k] and up >= 0:
                 below[up] += len(t)
                 up = p.parent[up]
-        for k in range(1, len(p.parent)):
+        for k in range(len(p.parent)):
             token = ("e", p.place[k])
             own[token] += 1
-            tag[token], around[token] = p.tag[k], ("e", p.place[p.parent[k]])
-            chars[token] += below[k]
+            tag[token], around[token] = p.tag[k], ("e", p.place[p.parent[k]]) if k else None
+            chars[token] += below[k] / scale
         for k, t in p.blocks:
             if good[k]:
                 token = ("t", html.text_token(p.place[k], t))
                 own[token] += 1
                 tag[token], around[token] = None, ("e", p.place[k])
-                chars[token] += len(t)
+                chars[token] += len(t) / scale
         counts.append(own)
     vector = {t: tuple(c[t] for c in counts) for t in tag}
     frequent = {t for t, v in vector.items() if sum(map(bool, v)) >= max(2, 0.5 * len(pages))}
@@ -119,7 +119,7 @@ def slow_template(sources):
         outer = set()
         for t in members[v]:
             a = around[t]
-            if a == ("e", 0):
+            if a is None:
                 outer.add("top")
             elif a not in frequent:
                 return False
@@ -131,7 +131,7 @@ def slow_template(sources):
         return o == "top" or valid(o, (*seen, v))
 
     template = {t for v, ts in members.items() if valid(v) for t in ts}
-    whole = sum(chars[t] for t in template if t[0] == "e" and around[t] == ("e", 0))
+    whole = chars["e", 0] if ("e", 0) in template else 0
     fixed = {t for t in template if t[0] == "t" and sum(map(bool, vector[t])) >= 4}
     if sum(chars[t] for t in fixed) > 0.2 * whole:
         fixed = set()

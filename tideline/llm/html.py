@@ -242,6 +242,9 @@ def text_token(place: int, text: str) -> int:
     return _digest(f"{place}\n{text}")
 
 
+#: What the page itself, the element of place 0, stands in.
+TOP = -1
+SHARE_OF_PAGE = 1_000_000
 TOKEN = (
     "host string, token long, around long, tag string, pages long, vector_a long, vector_b long, total long, chars long, most long"
 )
@@ -251,8 +254,9 @@ def page_tokens(distinct: DataFrame) -> DataFrame:
     """Tokens of distinct pages (host, page, html), added up per task.
 
     ``vector_a`` and ``vector_b`` are sums, over the pages that have the token, of two digests of page and count, so
-    tokens of equal sums have equal occurrence vectors. ``chars`` is the text that counts inside an element,
-    ``around`` the place a token stands in; ``tag`` is null for a text.
+    tokens of equal sums have equal occurrence vectors. ``chars`` is the text that counts inside an element, in parts of
+    that of its page, so that no long page outweighs the others; ``around`` is the place a token stands in, ``tag`` null
+    for a text.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,15 +283,17 @@ def page_tokens(distinct: DataFrame) -> DataFrame:
                 counts = page.counting()
                 chars = page.below((k, len(t)) for k, t in page.blocks if counts[k])
                 elements: dict[tuple, list[int]] = {}
-                for k in range(1, len(page.parent)):
-                    cell = elements.setdefault((page.place[k], page.place[page.parent[k]], page.tag[k]), [0, 0])
+                for k in range(len(page.parent)):
+                    around = page.place[page.parent[k]] if k else TOP
+                    cell = elements.setdefault((page.place[k], around, page.tag[k]), [0, 0])
                     cell[0] += 1
                     cell[1] += chars[k]
                 texts = Counter((text_token(page.place[k], t), page.place[k], len(t)) for k, t in page.blocks if counts[k])
+                share = lambda n: n * SHARE_OF_PAGE // max(chars[0], 1)  # noqa: B023, E731
                 for (token, around, tag), (n, inside) in elements.items():
-                    add((host, token, around, tag[:40]), mark, n, inside)
+                    add((host, token, around, tag[:40]), mark, n, share(inside))
                 for (token, around, length), n in texts.items():
-                    add((host, token, around, None), mark, n, length * n)
+                    add((host, token, around, None), mark, n, share(length * n))
                 if len(sums) > FLUSH:
                     yield flush()
         yield flush()
@@ -298,15 +304,15 @@ def page_tokens(distinct: DataFrame) -> DataFrame:
 def template_of(tokens: pd.DataFrame, n_pages: int) -> dict:
     """Region and template texts of a host from its frequent tokens.
 
-    A class, the tokens of one occurrence vector, is valid if each of its tokens stands at the top of the page, in a
-    token of the class itself, or in one other class, the same for all of them, that is valid. Tokens of valid
-    classes are the template.
+    A class, the tokens of one occurrence vector, is valid if it has the page itself, or if each of its tokens stands in
+    a token of the class or in one other class, the same for all of them, that is valid. Tokens of valid classes are
+    the template.
     """
     rows = list(tokens[["token", "around", "tag", "pages", "vector_a", "vector_b", "total", "chars"]].itertuples(index=False))
     class_of = {(r.token, r.tag is None): (r.pages, r.vector_a, r.vector_b, r.total) for r in rows}
     outer: dict[tuple, set] = {}
     for r in rows:
-        around = class_of.get((r.around, False)) if r.around else "top"
+        around = "top" if r.around == TOP else class_of.get((r.around, False))
         if around != class_of[r.token, r.tag is None]:
             outer.setdefault(class_of[r.token, r.tag is None], set()).add(around)
     valid: dict[tuple, bool] = {}
@@ -331,8 +337,8 @@ def template_of(tokens: pd.DataFrame, n_pages: int) -> dict:
 
     template = [r for r in rows if is_valid(class_of[r.token, r.tag is None])]
     elements = {r.token: r for r in template if r.tag is not None}
-    whole = sum(r.chars for r in elements.values() if r.around == 0)
-    texts = [r for r in template if r.tag is None and r.pages >= LEAST_TEXT_PAGES and (r.around in elements or r.around == 0)]
+    whole = elements[0].chars if 0 in elements else 0
+    texts = [r for r in template if r.tag is None and r.pages >= LEAST_TEXT_PAGES and r.around in elements]
     if sum(r.chars for r in texts) > CONSTANT_SHARE * whole:
         texts = []
     slots = {t: r.chars for t, r in elements.items()}
@@ -346,7 +352,7 @@ def template_of(tokens: pd.DataFrame, n_pages: int) -> dict:
 
 
 def _region(elements: dict, slots: dict[int, int], whole: int) -> int:
-    """The smallest element around all slots of the article; 0 for the whole page.
+    """The smallest element around all slots of the article; 0, the page itself, if that is the template's only one.
 
     An article or main element that holds most of the text is the region. Otherwise slots count that hold a
     share of the text, and headings, so no part of an article that stands beside its longest one is left out.

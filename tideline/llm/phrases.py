@@ -25,7 +25,7 @@ TOP = 2_000
 NO_LANG = "und"
 #: Bits of the fixed-size filter that tells which phrases are worth counting; what it lets through wrongly is counted in vain.
 FILTER_BITS = 26
-CELLS_AT_ONCE = 1 << 20
+CELLS_AT_ONCE = 1 << 19
 SALTS = 64
 
 # Characters that end a piece.
@@ -35,7 +35,7 @@ _PLAIN = bytes.maketrans(bytes(range(65, 91)) + b"\t" + BREAKS, bytes(range(97,
 _TURNS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 _BYTES = np.random.default_rng(12).integers(0, 1 << 64, (2, 256), np.uint64)
 _BASES = (0x2545F4914F6CDD1D, 0x369DEA0F31A53F85)
-CHARS_AT_ONCE = 1 << 20
+CHARS_AT_ONCE = 1 << 18
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -43,7 +43,7 @@ def _power(base: int, n: int) -> np.ndarray:
     """``base ** k`` for k up to ``n`` at least, in 64 bits."""
     held = _powers.get(base)
     if held is None or len(held) <= n:
-        factors = np.full(max(n + 1, 1 << 20), base, np.uint64)
+        factors = np.full(max(n + 1, CHARS_AT_ONCE), base, np.uint64)
         factors[0] = 1
         held = _powers[base] = np.multiply.accumulate(factors)
     return held
