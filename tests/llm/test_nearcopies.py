@@ -155,7 +155,7 @@ def run_components(spark, texts, pairs):
 def test_pairs_do_not_grow_with_the_square(spark, similarity):
     """However large a group whose members stay apart, a member is compared with a bounded number of others."""
     per_member, found, all_links = [], 0, 0
-    for members in (100, 1200):
+    for members in (100, 700):
         rng, pairs = random.Random(members), []
         texts = star(rng, members, similarity, 120)
         links = incidence_links(texts)
@@ -166,8 +166,8 @@ def test_pairs_do_not_grow_with_the_square(spark, similarity):
         assert all(want[i] == want[j] for i in range(members) for j in [got[i]])  # nothing is joined wrongly
         per_member.append(sum(pairs) / members)
     assert found >= 0.9 * all_links
-    # a pivot a band and few neighbours, on any level; all pairs would be 600 a member
-    assert per_member[1] <= nearcopies.BANDS * (1 + (nearcopies.SMALL - 1) / 2) / 2, per_member
+    # a pivot and few neighbours a band, some more in buckets of differences; all pairs would be 350 a member
+    assert per_member[1] <= 2 * nearcopies.BANDS, per_member
 
 
 def test_links_among_members_that_stay_apart(spark):
