@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, con, name):
     assert compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) == ""
 
 
-@pytest.mark.parametrize("name", ["boost_defaults_hourly"])
+@pytest.mark.parametrize("name", ["boost_deep_hourly"])
 def test_query_without_sql_has_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
 
