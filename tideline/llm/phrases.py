@@ -262,15 +262,15 @@ def named(sources: DataFrame, found: DataFrame, longest: int, bits: int) -> Data
     shared = sources.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.zeros(0, np.uint64) for _ in shared.value]
+        seen: list[set[int]] = [set() for _ in shared.value]
         for batch in slices(batches):
             for lang, _, words in _groups(batch, False):
                 for size, known in enumerate(shared.value, 1):
                     places, value, second = _kept(words, size, _salt(lang), known)
                     own, first = np.unique(value ^ second, return_index=True)
-                    new = ~np.isin(own, seen[size - 1], assume_unique=True)
-                    seen[size - 1] = np.concatenate([seen[size - 1], own[new]])
-                    first = first[new]
+                    known_here, own = seen[size - 1], own.tolist()
+                    first = first[np.array([mark not in known_here for mark in own], bool)]
+                    known_here.update(own)
                     phrases = [words.phrase(k, size) for k in places[first].tolist()]
                     columns = [value[first].view(np.int64), second[first].view(np.int64)]
                     text = pa.array(phrases, pa.binary()).cast(pa.string())
