@@ -26,6 +26,8 @@ NO_LANG = "und"
 #: Bits of the fixed-size filter that tells which phrases are worth counting; what it lets through wrongly is counted in vain.
 FILTER_BITS = 26
 CELLS_AT_ONCE = 1 << 19
+#: Counts are summed in so many groups of hashes, so a group holds about so small a part of all distinct phrases.
+BUCKET_BITS = 11
 SALTS = 64
 
 # Characters that end a piece.
@@ -36,6 +38,8 @@ _TURNS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 _BYTES = np.random.default_rng(12).integers(0, 1 << 64, (2, 256), np.uint64)
 _BASES = (0x2545F4914F6CDD1D, 0x369DEA0F31A53F85)
 CHARS_AT_ONCE = 1 << 18
+#: Names of the columns that counts travel in, after the hash.
+PACKED = ("n", "other", "text")
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -53,7 +57,10 @@ class Words:
     """The words of some texts: their bytes, lower-cased, where each begins and ends, and the piece it lies in."""
 
     def __init__(self, texts: Iterable[str | None]):
-        self.data = "\n".join([t for t in texts if t]).encode().translate(_PLAIN)
+        raw = [t.encode() for t in texts if t]
+        self.data = b"\n".join(raw).translate(_PLAIN)
+        self.texts = np.fromiter(map(xxhash.xxh32_intdigest, raw), np.uint32, len(raw))
+        self.text_ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
         self.bytes = np.frombuffer(self.data, np.uint8)
         inside = np.concatenate([[False], (self.bytes != BLANK) & (self.bytes != BREAK), [False]])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
@@ -61,6 +68,7 @@ class Words:
         self.piece = np.cumsum(self.bytes == BREAK)[self.starts] if len(self.starts) else self.starts
 
         self._marks: dict[int, np.ndarray] = {}
+        self._text_of: np.ndarray | None = None
 
     def marks(self, which: int = 0) -> np.ndarray:
         """A 64-bit hash of every word: a polynomial of its bytes, by differences of sums over all bytes."""
@@ -73,6 +81,12 @@ class Words:
         self._marks[which] = _mixed((upto[self.ends] - upto[self.starts]) * back[self.starts])
         return self._marks[which]
 
+    def text_of(self, places: np.ndarray) -> np.ndarray:
+        """A 32-bit hash of the text that each of these words lies in."""
+        if self._text_of is None:
+            self._text_of = self.texts[np.searchsorted(self.text_ends, self.starts, "right")]
+        return self._text_of[places]
+
     def phrase(self, first: int, size: int) -> bytes:
         """The words from number ``first`` on, joined by single blanks."""
         return b" ".join(self.data[a:b] for a, b in zip(self.starts[first : first + size], self.ends[first : first + size]))
@@ -147,13 +161,43 @@ def _groups(batch: pa.RecordBatch, by_shard: bool) -> Iterator[tuple[str, int |
         yield lang, shard, Words(texts)
 
 
-def _counted(cells: list[np.ndarray], shards: list[np.ndarray]) -> pa.RecordBatch:
-    """Occurrences of each phrase in each cell, from the hashes at all places and their cells."""
-    every, of, out = np.concatenate(cells), np.concatenate(shards), []
-    for cell in np.unique(of):
-        marks, counts = np.unique(every[of == cell], return_counts=True)
-        out.append((marks.view(np.int64), np.full(len(marks), cell, np.int32), counts))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["mark", "cell", "n"])
+def _packed(cell: int, marks: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """One row for each bucket of ``marks``, which are sorted: the bucket, the cell, and each column's part as bytes."""
+    bucket = (marks >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(first, len(marks)).astype(np.int32)
+    parts = []
+    for c in (marks, *columns):
+        offsets = pa.py_buffer((ends * np.int32(c.itemsize)).tobytes())
+        parts.append(pa.Array.from_buffers(pa.binary(), len(first), [None, offsets, pa.py_buffer(c.tobytes())]))
+    cells = pa.array(np.full(len(first), cell, np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), cells, *parts], names=["bucket", "cell", "mark", *PACKED[: len(columns)]])
+
+
+def _unpacked(group: pa.Table) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The rows of one bucket: the columns of each cell."""
+    of = group.column("cell").to_numpy()
+    kinds = {"mark": np.uint64, "n": np.uint32, "other": np.uint64, "text": np.uint32}
+    for cell in np.unique(of).tolist():
+        rows = group.filter(pa.array(of == cell))
+        yield cell, [np.frombuffer(b"".join(rows.column(c).to_pylist()), kinds[c]) for c in rows.column_names[2:]]
+
+
+def _starts(*sorted_by: np.ndarray) -> np.ndarray:
+    """Where a new value begins in sorted columns."""
+    new = np.zeros(len(sorted_by[0]), bool)
+    new[:1] = True
+    for c in sorted_by:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _summed(marks: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in their order, and the sums of ``n``."""
+    order = np.argsort(marks)
+    marks = marks[order]
+    first = _starts(marks)
+    return marks[first], np.add.reduceat(n[order], first, dtype=np.int64) if len(first) else n
 
 
 def _shard_salts(shards: int) -> list[int]:
@@ -164,12 +208,22 @@ def mined(sources: DataFrame, sizes: tuple[int, ...], least: dict[int, int], sho
     """``(words, mark, shard)`` of every phrase of such ``sizes`` that is frequent within a shard, by its support ``least``.
 
     ``shorter`` holds the phrases of one word less that are frequent in their shard: a phrase whose first or last
-    words are not among them cannot be frequent there. Tasks count what they hold before anything is shuffled.
+    words are not among them cannot be frequent there. Tasks count what they hold before anything is shuffled, and
+    the counts of a bucket of hashes travel together.
     """
     shared = sources.sparkSession.sparkContext.broadcast(shorter)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cells, of, n_held = shared.value, [], [], 0
+        known, n_held = shared.value, 0
+        cells: dict[int, list[np.ndarray]] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for cell, parts in cells.items():
+                marks, n = np.unique(np.concatenate(parts), return_counts=True)
+                if len(marks):
+                    yield _packed(cell, marks, n.astype(np.uint32))
+            cells.clear()
+
         for batch in slices(batches):
             for lang, shard, words in _groups(batch, True):
                 marks, salt = words.marks(), _salt(lang)
@@ -181,21 +235,24 @@ def mined(sources: DataFrame, sizes: tuple[int, ...], least: dict[int, int], sho
                         good[starts] = known.has(phrase_marks(marks, starts, size - 1, salt) ^ np.uint64(salts[shard]))
                         places = places[good[places] & good[places + 1]]
                     value = phrase_marks(marks, places, size, salt)
-                    cells.append(value)
-                    of.append(np.full(len(value), size * len(salts) + shard, np.int32))
+                    cells.setdefault(size * len(salts) + shard, []).append(value)
                     n_held += len(value)
             if n_held >= CELLS_AT_ONCE:
-                yield _counted(cells, of)
-                cells, of, n_held = [], [], 0
-        if n_held:
-            yield _counted(cells, of)
+                yield from flush()
+                n_held = 0
+        yield from flush()
+
+    def merge(group: pa.Table) -> pa.Table:
+        out = [(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32))]
+        for cell, (marks, n) in _unpacked(group):
+            size, shard = divmod(cell, len(salts))
+            marks, n = _summed(marks, n)
+            marks = marks[n >= least.get(shard, 1)].view(np.int64)
+            out.append((np.full(len(marks), size, np.int32), marks, np.full(len(marks), shard, np.int32)))
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], names=["words", "mark", "shard"])
 
-    counts = sources.mapInArrow(run, "mark long, cell int, n long").groupBy("mark", "cell").agg(F.sum("n").alias("n"))
-    enough, shard = F.lit(1), F.col("cell") % len(salts)
-    for own, support in least.items():
-        enough = F.when(shard == own, support).otherwise(enough)
-    words = F.expr(f"cast(cell div {len(salts)} as int)").alias("words")
-    return counts.where(F.col("n") >= enough).select(words, "mark", shard.alias("shard"))
+    counts = sources.mapInArrow(run, "bucket int, cell int, mark binary, n binary")
+    return counts.groupBy("bucket").applyInArrow(merge, "words int, mark long, shard int")
 
 
 def _sized(sources: DataFrame) -> DataFrame:
@@ -215,68 +272,92 @@ def _kept(words: Words, size: int, salt: int, known: Filter) -> tuple[np.ndarray
     places = phrase_places(words, size)
     value = phrase_marks(words.marks(), places, size, salt)
     keep = known.has(value)
-    return places[keep], value[keep], phrase_marks(words.marks(1), places[keep], size, 0)
+    return places[keep], value[keep], phrase_marks(words.marks(1), places[keep], size, salt ^ 1)
 
 
 def counted(sources: DataFrame, candidates: list[Filter], support: int) -> DataFrame:
-    """``(lang, words, mark, other, n)``: exact counts of all phrases the filters may hold; those of ``support``.
+    """``(mark, other, place, n)``: exact counts of all phrases the filters may hold; those of ``support``.
 
-    A phrase is known by two hashes of 64 bits that have nothing in common, so two phrases are never taken for one.
+    A phrase of a language is known by two hashes of 64 bits that have nothing in common, so two phrases are never
+    taken for one. ``place`` is its hash mixed with that of one of the texts that have it.
     """
     shared = sources.sparkSession.sparkContext.broadcast(candidates)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], list] = {}
+        held: dict[int, list] = {}
         n_held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, size), parts in held.items():
-                value, second = (np.concatenate(p) for p in zip(*parts))
-                _, first, of, n = np.unique(value, return_index=True, return_inverse=True, return_counts=True)
-                odd = np.flatnonzero(second != second[first][of])  # other phrases of one first hash
-                np.subtract.at(n, of[odd], 1)
-                rows, n = np.concatenate([first, odd]), np.concatenate([n, np.ones(len(odd), n.dtype)])
-                columns = [value[rows].view(np.int64), second[rows].view(np.int64), n.astype(np.int64)]
-                same = [pa.array([lang] * len(rows), pa.string()), pa.array(np.full(len(rows), size, np.int32))]
-                yield pa.RecordBatch.from_arrays([*same, *map(pa.array, columns)], names=["lang", "words", "mark", "other", "n"])
+            for size, parts in held.items():
+                value, second, text = (np.concatenate(p) for p in zip(*parts))
+                if len(value):
+                    marks, n, *rest = _distinct(value, np.ones(len(value), np.uint32), second, text)
+                    yield _packed(size, marks, n.astype(np.uint32), *rest)
             held.clear()
 
         for batch in slices(batches):
             for lang, _, words in _groups(batch, False):
                 for size, known in enumerate(shared.value, 1):
-                    _, value, second = _kept(words, size, _salt(lang), known)
-                    held.setdefault((lang, size), []).append((value, second))
+                    places, value, second = _kept(words, size, _salt(lang), known)
+                    held.setdefault(size, []).append((value, second, words.text_of(places)))
                     n_held += len(value)
             if n_held >= CELLS_AT_ONCE:
                 yield from flush()
                 n_held = 0
         yield from flush()
 
-    rows = sources.mapInArrow(run, "lang string, words int, mark long, other long, n long")
-    return rows.groupBy("lang", "words", "mark", "other").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+    def merge(group: pa.Table) -> pa.Table:
+        out = [tuple(np.zeros(0, np.int64) for _ in range(4))]
+        for _, columns in _unpacked(group):
+            marks, n, other, text = _distinct(*columns)
+            enough = n >= support
+            marks, other = marks[enough], other[enough]
+            out.append((marks.view(np.int64), other.view(np.int64), _placed(marks, text[enough]).view(np.int64), n[enough]))
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], names=["mark", "other", "place", "n"])
+
+    rows = sources.mapInArrow(run, "bucket int, cell int, mark binary, n binary, other binary, text binary")
+    return rows.groupBy("bucket").applyInArrow(merge, "mark long, other long, place long, n long")
+
+
+def _distinct(marks: np.ndarray, n: np.ndarray, other: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One row for each pair of hashes: the sum of ``n`` and the text of one row. Sorted by ``marks``."""
+    order = np.argsort(marks)
+    sorted_marks, second = marks[order], other[order]
+    first = _starts(sorted_marks)
+    if len(_starts(sorted_marks, second)) != len(first):  # other phrases of one first hash
+        order = np.lexsort((other, marks))
+        sorted_marks, second = marks[order], other[order]
+        first = _starts(sorted_marks, second)
+    sums = np.add.reduceat(n[order], first, dtype=np.int64) if len(first) else n
+    return sorted_marks[first], sums, second[first], text[order][first]
+
+
+def _placed(marks: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    return _mixed(marks * _TURNS[0] + texts)
 
 
 def named(sources: DataFrame, found: DataFrame, longest: int, bits: int) -> DataFrame:
-    """``(lang, phrase, words, n)`` of counted phrases: their words, from one place in each task that has them."""
-    filters = [filter_of(found.where(F.col("words") == n), F.col("mark"), bits) for n in range(1, longest + 1)]
-    shared = sources.sparkSession.sparkContext.broadcast(filters)
+    """``(lang, phrase, words, n)`` of counted phrases: their words, from the texts that they were seen in."""
+    known = filter_of(found, F.col("place"), bits)
+    shared = sources.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: list[set[int]] = [set() for _ in shared.value]
         for batch in slices(batches):
             for lang, _, words in _groups(batch, False):
-                for size, known in enumerate(shared.value, 1):
-                    places, value, second = _kept(words, size, _salt(lang), known)
-                    own, first = np.unique(value ^ second, return_index=True)
-                    known_here, own = seen[size - 1], own.tolist()
-                    first = first[np.array([mark not in known_here for mark in own], bool)]
-                    known_here.update(own)
+                for size in range(1, longest + 1):
+                    salt, places = _salt(lang), phrase_places(words, size)
+                    value = phrase_marks(words.marks(), places, size, salt)
+                    keep = shared.value.has(_placed(value, words.text_of(places)))
+                    places, value = places[keep], value[keep]
+                    second = phrase_marks(words.marks(1), places, size, salt ^ 1)
+                    _, first = np.unique(value ^ second, return_index=True)
                     phrases = [words.phrase(k, size) for k in places[first].tolist()]
-                    columns = [value[first].view(np.int64), second[first].view(np.int64)]
-                    text = pa.array(phrases, pa.binary()).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), text], names=["mark", "other", "phrase"])
+                    columns = [value[first].view(np.int64), second[first].view(np.int64), np.full(len(first), size, np.int32)]
+                    text = [pa.array([lang] * len(first), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string())]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *text], names=["mark", "other", "words", "lang", "phrase"])
 
-    names = sources.mapInArrow(run, "mark long, other long, phrase string").groupBy("mark", "other").agg(F.min("phrase").alias("phrase"))
+    seen = sources.mapInArrow(run, "mark long, other long, words int, lang string, phrase string")
+    names = seen.dropDuplicates(["mark", "other"])
     return found.join(names, ["mark", "other"]).select("lang", "phrase", "words", "n")
 
 
