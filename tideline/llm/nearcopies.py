@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tideline.llm.common import BROADCAST_ROWS, Memory, held, join_hot, modest, one_of_each, slices, text_class
 from tideline.llm.components import connected_components
 from tideline.llm.simhash import TO_LOWER, fingerprint_links
-from tideline.session import stage
+from tideline.session import drop_staged, settled, short_shuffles, stage
 
 SIZE = 5
 LEAST = 0.8
@@ -124,17 +124,26 @@ def _sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     return stage(sets.groupBy("node").agg(F.first("marks").alias("marks")), "sets")
 
 
-def _with_set(pairs: DataFrame, sets: DataFrame, end: str, name: str) -> DataFrame:
-    """The pairs with the set of one end; classes that are in very many pairs are broadcast, if their sets are not long."""
-    uses = pairs.groupBy(end).agg(F.count(F.lit(1)).alias("uses"))
-    side = sets.select(F.col("node").alias(end), F.col("marks").alias(name)).join(uses, end)
-    side = stage(side.withColumn("uses", F.when(F.octet_length(name) <= BROADCAST_SET, F.col("uses")).otherwise(0)), "uses")
-    return join_hot(pairs, side, end, "uses", share=200)
-
-
 def _near(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose shingles have a Jaccard similarity of at least ``least``."""
+    """Those of ``pairs`` (a, b) whose shingles have a Jaccard similarity of at least ``least``.
+
+    Each end that is in very many pairs is marked first, while a pair is two numbers: its set is broadcast if it is
+    not long. So every pair meets each of its sets once.
+    """
     sets = _sets(texts, pairs.select(F.explode(F.array("a", "b")).alias("node")))
+    least_uses = pairs.count() // 200
+    marked, hot = pairs.select("a", "b"), {}
+    for end in ("a", "b"):
+        often = pairs.groupBy(end).agg(F.count(F.lit(1)).alias("uses")).where(F.col("uses") > least_uses)
+        short = sets.where(F.octet_length("marks") <= BROADCAST_SET).withColumnRenamed("node", end)
+        hot[end] = stage(short.join(F.broadcast(often.select(end)), end), "hot")
+        mark = F.broadcast(hot[end].select(end, F.lit(True).alias(f"hot_{end}")))
+        marked = marked.join(mark, end, "left").withColumn(f"hot_{end}", F.coalesce(f"hot_{end}", F.lit(False)))
+    met = stage(marked, "marked")
+    for end, name in (("a", "x"), ("b", "y")):
+        often, seldom = (met.where(F.col(f"hot_{end}") == F.lit(is_hot)) for is_hot in (True, False))
+        often = often.join(F.broadcast(hot[end].withColumnRenamed("marks", name)), end)
+        met = often.unionByName(seldom.join(sets.select(F.col("node").alias(end), F.col("marks").alias(name)), end))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 500):
@@ -142,7 +151,6 @@ def _near(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
             near = pa.array([jaccard(p, q) >= least for p, q in zip(x, y)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(near)
 
-    met = _with_set(_with_set(pairs, sets, "a", "x"), sets, "b", "y")
     return met.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
@@ -157,20 +165,34 @@ def _ordered(one: str, other: str) -> list[Column]:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
-def _by_fingerprint(sketches: DataFrame) -> DataFrame:
-    """Pairs of near fingerprints: each class with the first of its fingerprint, and the firsts of linked ones."""
-    fps = stage(sketches.groupBy("fp").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("of")), "fps")
+def _fingerprints(sketches: DataFrame) -> DataFrame:
+    """``(fp, rep, of)``: the first class of each fingerprint and their number."""
+    return sketches.groupBy("fp").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("of"))
+
+
+def _of_one_fingerprint(sketches: DataFrame, fps: DataFrame) -> DataFrame:
+    """Pairs of each class with the first of its fingerprint."""
     same = join_hot(sketches.select("fp", "node"), fps.where("of > 1"), "fp", "of").where("node != rep")
-    rep = fps.select("fp", "rep")
-    linked = fingerprint_links(fps.select("fp")).join(rep.select(F.col("fp").alias("a"), F.col("rep").alias("u")), "a")
+    return same.select(*_ordered("node", "rep"))
+
+
+def _by_fingerprint(fps: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs of the firsts of near fingerprints that ``groups`` does not connect yet.
+
+    Near copies have near fingerprints, so all links of a group would grow with its square.
+    """
+    named = fps.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    named = stage(named.select("fp", "rep", F.coalesce("component", "rep").alias("component")), "named")
+    rep = named.select("fp", "rep")
+    linked = fingerprint_links(named.select("fp", "component"), group_col="component")
+    linked = linked.join(rep.select(F.col("fp").alias("a"), F.col("rep").alias("u")), "a")
     linked = linked.join(rep.select(F.col("fp").alias("b"), F.col("rep").alias("v")), "b")
-    return same.select(*_ordered("node", "rep")).unionByName(linked.select(*_ordered("u", "v")))
+    return linked.select(*_ordered("u", "v"))
 
 
 def _centres(rows: DataFrame) -> DataFrame:
-    """``(key, centre)``: the shingles that more than half of a bucket's voters have; ``rows`` has their sets."""
-    share = F.pmod(F.xxhash64("node", "key"), F.lit(1 << 20)) * F.col("members")
-    voters = rows.where(share < VOTERS << 20).groupBy("key").agg(F.collect_list("marks").alias("sets"))
+    """``(key, centre)``: the shingles that more than half of a bucket's voters have; ``rows`` are these with their sets."""
+    voters = rows.groupBy("key").agg(F.collect_list("marks").alias("sets"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 200):
@@ -200,11 +222,12 @@ def _apart(texts: DataFrame, large: DataFrame) -> DataFrame:
     ``rank`` is the size of the difference. Each bucket also stays as it is, marked ``last``: there its members
     meet the one nearest to the centre, and no more.
     """
-    members = large.join(_sets(texts, large), "node")
-    members = stage(members, "members")
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"))
-    centres = sizes.join(_centres(members), "key", "left").withColumn("centre", F.coalesce("centre", F.lit(b"")))
-    joined = join_hot(members, stage(centres, "centres"), "key", "n_rows", share=200)
+    sets = _sets(texts, large)
+    share = F.pmod(F.xxhash64("node", "key"), F.lit(1 << 20)) * F.col("members")
+    voters = large.where(share < VOTERS << 20).select("key", "node").join(sets, "node")
+    sizes = large.groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"))
+    centres = sizes.join(_centres(voters), "key", "left").withColumn("centre", F.coalesce("centre", F.lit(b"")))
+    joined = join_hot(large, stage(centres, "centres"), "key", "n_rows", share=200).join(sets, "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -236,7 +259,7 @@ def _meeting(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
         "key", "met", F.col("met").alias("members"), F.col("p.node").alias("p_node"), F.col("p.n").alias("p_n"),
         F.col("p.fp").alias("p_fp"), F.col("p.component").alias("p_component"),
     )
-    return stage(join_hot(rows, stage(found, "buckets"), "key", "met"), "meeting")
+    return join_hot(rows, stage(found, "buckets"), "key", "met")
 
 
 def components(texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -247,18 +270,28 @@ def components(texts: DataFrame, least: float = LEAST) -> DataFrame:
     are few, or its members go on to the buckets of their differences to its centre. Those share the part of the
     difference they were dealt by, which the next centre takes in, so the turns end.
     """
-    sketches = stage(_sketches(modest(texts)), "sketches")
-    wanted = _by_fingerprint(sketches)
+    spark = texts.sparkSession
+    with short_shuffles(spark):
+        return settled(spark, "components", lambda: _turns(modest(texts), least))
+
+
+def _turns(texts: DataFrame, least: float) -> DataFrame:
+    """``components``; of what a turn writes, the next finds only its buckets, pairs, links and groups."""
+    spark = texts.sparkSession
+    sketches = stage(_sketches(texts), "sketches")
+    fps = stage(_fingerprints(sketches), "fps")
     rows = sketches.select(F.explode("keys").alias("key"), "node", "n", "fp", F.xxhash64("node").alias("rank"), F.lit(False).alias("last"))
+    met = settled(spark, "meeting", lambda: _meeting(rows, None))
+    wanted = _of_one_fingerprint(sketches, fps)
     links: list[DataFrame] = []
-    groups: DataFrame | None = None
+    first = True
     while True:
-        met = _meeting(rows, groups)
         star = met.where((F.col("component") != F.col("p_component")) & _fits("", "p_", least)).select(*_ordered("node", "p_node"))
         pairs = stage(wanted.unionByName(star).distinct(), "pairs")
-        links.append(stage(_near(texts, pairs, least), "near"))
-        groups = stage(connected_components(reduce(DataFrame.unionByName, links), "a", "b"), "groups")
-        left = _meeting(met.where("not last").select("key", "node", "n", "fp", "rank", "last"), groups)
+        links.append(settled(spark, "near", lambda: _near(texts, pairs, least)))
+        groups = settled(spark, "groups", lambda: connected_components(reduce(DataFrame.unionByName, links), "a", "b"))
+        again = met.where("not last").select("key", "node", "n", "fp", "rank", "last")
+        left = settled(spark, "meeting", lambda: _meeting(again, groups))
         few = left.where(F.col("members") <= SMALL).select("key", "node", "n", "fp", "component")
         both = few.alias("l").join(
             few.alias("r").hint("merge"),
@@ -267,13 +300,19 @@ def components(texts: DataFrame, least: float = LEAST) -> DataFrame:
             & (F.col("l.component") != F.col("r.component"))
             & _fits("l.", "r.", least),
         )
-        wanted = stage(both.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct(), "few")
+        both = both.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+        wanted = settled(spark, "few", lambda: (both.unionByName(_by_fingerprint(fps, groups)) if first else both).distinct())
+        first = False
+        drop_staged(met)
+        drop_staged(pairs)
         large = left.where(F.col("members") > SMALL).select("node", "n", "fp", "key", "members")
         if large.isEmpty():
             break
-        rows = _apart(texts, large)
+        met = settled(spark, "meeting", lambda: _meeting(_apart(texts, large), groups))
+        drop_staged(left)
+        drop_staged(groups)
     if not wanted.isEmpty():
-        links.append(stage(_near(texts, wanted, least), "near"))
+        links.append(settled(spark, "near", lambda: _near(texts, wanted, least)))
         groups = connected_components(reduce(DataFrame.unionByName, links), "a", "b")
     return groups
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import join_hot, slices
@@ -71,7 +71,7 @@ def _segment(fp: Column, first: int, bits: int) -> Column:
     return F.shiftrightunsigned(fp, first).bitwiseAND(_mask(bits))
 
 
-def fingerprint_links(fps: DataFrame, distance: int = 4) -> DataFrame:
+def fingerprint_links(fps: DataFrame, distance: int = 4, group_col: str | None = None) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints of at most ``distance`` differing bits, each once.
 
     ``fps`` has one row per fingerprint in column ``fp``. Two linked fingerprints have a segment in which
@@ -79,6 +79,7 @@ def fingerprint_links(fps: DataFrame, distance: int = 4) -> DataFrame:
     key of the segment with this bit as wildcard, one with the bit unset, one with it set). Both joins are
     equality joins; a met pair is verified on all 64 bits and kept by its first such segment only. They are
     merge joins at any size: the planner takes the exploded index for as small as ``fps`` and would broadcast it.
+    With ``group_col`` only links between different groups are given, and keys met by one group alone take no part.
     """
     cut = segments(distance)
     fp = F.col("fp")
@@ -90,15 +91,21 @@ def fingerprint_links(fps: DataFrame, distance: int = 4) -> DataFrame:
             bit = F.shiftrightunsigned(fp, first + j).bitwiseAND(F.lit(1)).cast("int")
             rest = part.bitwiseAND(_mask(bits, j))
             wild.append(F.struct(F.lit(s * 65 + 1 + j).alias("kind"), rest.alias("rest"), bit.alias("bit")))
-    index = fps.select("fp", F.explode(F.array(*exact, *wild)).alias("key")).select("fp", "key.*")
-    a = index.where("bit != 1").select("kind", "rest", F.col("fp").alias("a"))
-    b = index.where("bit != 0").select("kind", "rest", F.col("fp").alias("b"))
+    group = F.lit(0) if group_col is None else F.col(group_col)
+    index = fps.select("fp", group.alias("group"), F.explode(F.array(*exact, *wild)).alias("key")).select("fp", "group", "key.*")
+    if group_col is not None:
+        met = Window.partitionBy("kind", "rest")
+        index = index.withColumns({"lo": F.min("group").over(met), "hi": F.max("group").over(met)}).where("lo < hi")
+    a = index.where("bit != 1").select("kind", "rest", "group", F.col("fp").alias("a"))
+    b = index.where("bit != 0").select("kind", "rest", "group", F.col("fp").alias("b"))
     apart = F.col("a").bitwiseXOR(F.col("b"))
     here = F.floor(F.col("l.kind") / 65)
     first_met = F.lit(len(cut))
     for s in reversed(range(len(cut))):
         first_met = F.when(F.bit_count(_segment(apart, *cut[s])) <= 1, s).otherwise(first_met)
     ordered = (F.col("l.kind") % 65 != 0) | (F.col("a") < F.col("b"))
+    if group_col is not None:
+        ordered = ordered & (F.col("l.group") != F.col("r.group"))
     return (
         a.alias("l")
         .join(
