@@ -140,6 +140,57 @@ def test_early_stopping_fits_every_round_once(spark, binned):
     assert [math.sqrt(s) for s in squares] == pytest.approx(rooted)
 
 
+@pytest.mark.parametrize("deep, num_leaves", [(5, 31), (4, 6), (-1, 12)])
+def test_best_leaf_first_takes_a_pass_a_level(spark, binned, deep, num_leaves):
+    """One pass sums the children of all leaves that may still be split, also of those whose parents wait for their turn."""
+    table, x, y = binned
+    p = {**PLAIN, "max_depth": deep, "num_leaves": num_leaves, "n_estimators": 3}
+    counted = Binned(table.table, table.names, table.cuts, table.flat)
+    model, _, _ = Booster(counted, 1, "squared", p, 7, use_val=False).fit()
+    levels = lambda t, k=0: 0 if t.feature[k] < 0 else 1 + max(levels(t, t.left[k]), levels(t, t.right[k]))
+    assert len(counted.passes) <= sum(levels(t) + 1 for t in model.trees)
+    now, leaves = slow_fit(binned_values(x[80:], table.cuts), y[80:], p, "squared", 3)
+    assert [t.n_leaves for t in model.trees] == leaves and np.allclose(model.predicted(x[80:]), now, atol=1e-6)
+
+
+def test_places_at_any_depth():
+    """A chain that is far deeper than the levels that all rows walk together, with missing values on either side."""
+    n = 3 * boosting.LEVELS_TOGETHER
+    feature, left, right = np.full(2 * n + 1, -1, np.int32), np.full(2 * n + 1, -1, np.int32), np.full(2 * n + 1, -1, np.int32)
+    cut, missing_left = np.zeros(2 * n + 1, np.int32), np.zeros(2 * n + 1, bool)
+    for k in range(n):
+        feature[2 * k], cut[2 * k], missing_left[2 * k] = k % 3, 3 * (k + 1) + 2, k == n // 2
+        left[2 * k], right[2 * k] = (2 * k + 1, 2 * k + 2)
+    tree = boosting.Tree(feature, cut, missing_left, left, right, np.zeros(2 * n + 1), np.zeros(2 * n + 1))
+    bins = np.random.default_rng(3).integers(0, 3 * n + 8, (500, 3)).astype(np.uint8)
+    bins[:50] = 0
+    want = []
+    for row in bins:
+        at = 0
+        while feature[at] >= 0:
+            own = row[feature[at]]
+            at = left[at] if (missing_left[at] if own == 0 else own <= cut[at]) else right[at]
+        want.append(at)
+    assert tree.places(bins).tolist() == want and len(set(want)) > boosting.LEVELS_TOGETHER
+    assert tree.places(bins[:0]).tolist() == []
+
+
+def test_same_trees_by_blocks_of_any_size(spark, binned, monkeypatch):
+    """Blocks, rows at once, rounds between writes and who adds up the tasks' sums change no tree."""
+    table, x, _ = binned
+    dealt = Binned(table.table.repartition(3), table.names, table.cuts, table.flat)
+    for loss in ("squared", "absolute"):
+        p = {**PLAIN, "n_estimators": 6, "subsample": 0.6, "num_leaves": 6 if loss == "squared" else None}
+        whole, errors, _ = Booster(table, 1, loss, p, 3).fit()
+        with monkeypatch.context() as m:
+            for name, value in (("BLOCK_BYTES", 70), ("ROWS_AT_ONCE", 7), ("ROUNDS_PER_STAGE", 2), ("SUMS_ADDED", 0)):
+                m.setattr(boosting, name, value)
+            booster = Booster(dealt, 1, loss, p, 3)
+            assert booster.state.where("length(y) > 16 or y is null").isEmpty()
+            other, again, _ = booster.fit()
+        assert errors == again and np.array_equal(whole.predicted(x), other.predicted(x))
+
+
 def test_a_fit_is_continued(spark, binned, monkeypatch):
     monkeypatch.setattr(boosting, "ROUNDS_PER_STAGE", 3)
     table, x, _ = binned

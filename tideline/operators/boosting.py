@@ -2,8 +2,9 @@
 
 The windows are binned once and written; every round reads them, adds what the trees so far predict, and sums the
 gradients per (leaf, feature, bin) in Spark. Only these sums, whose number depends on the trees and not on the rows,
-come to the driver, which picks the splits. A round costs each of its levels one pass, the error on the validation
-rows comes with the first pass of the next round, and a fit can be continued where another one ended.
+come to the driver, which picks the splits. A round costs each of its levels one pass, also where the leaf of most gain
+is split first; the error on the validation rows comes with the first pass of the next round, and a fit can be
+continued where another one ended.
 
 Sums are made of integers (gradients in fixed point), so they do not depend on the order of the tasks: the same
 table, parameters and seed give the same trees on any cluster.
@@ -13,8 +14,9 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 from typing import Any
 
 import numpy as np
@@ -28,8 +30,14 @@ from tideline.session import drop_staged, stage
 MOST_BINS = 254
 #: Rows that one task reads in a pass; fewer rows are dealt to fewer tasks.
 ROWS_PER_TASK = 100_000
+#: Bytes of a block of rows, as which passes read them, and rows that a task handles at once.
+BLOCK_BYTES, ROWS_AT_ONCE = 8192, 16_384
 #: Rounds after which the predictions so far are written with the rows.
-ROUNDS_PER_STAGE = 20
+ROUNDS_PER_STAGE = 8
+#: Sums of all tasks of a pass up to which the driver adds them up itself, without a shuffle.
+SUMS_ADDED = 1 << 20
+#: Levels that all rows walk together; below, only those that are not in a leaf yet.
+LEVELS_TOGETHER = 6
 #: Bits of a residual that one counting pass of a median tells apart, and values below which they are fetched.
 MEDIAN_BITS, MEDIAN_VALUES = 12, 64
 
@@ -50,17 +58,29 @@ class Tree:
     def n_leaves(self) -> int:
         return int((self.feature < 0).sum())
 
+    @cached_property
+    def _steps(self) -> tuple[np.ndarray, np.ndarray, int]:
+        """The feature that each node looks at, the node behind each (node, bin), and the levels; a leaf leads to itself."""
+        own = np.arange(256)
+        inner = (self.feature >= 0)[:, None]
+        go_left = np.where(own == 0, self.missing_left[:, None], own <= self.bin[:, None])
+        onward = np.where(inner, np.where(go_left, self.left[:, None], self.right[:, None]), np.arange(len(self.feature))[:, None])
+        levels, level = 0, np.array([0])
+        while len(level := level[self.feature[level] >= 0]):
+            levels, level = levels + 1, np.concatenate([self.left[level], self.right[level]])
+        return np.maximum(self.feature, 0).astype(np.intp), onward.astype(np.intp).ravel(), levels
+
     def places(self, bins: np.ndarray) -> np.ndarray:
         """The leaf of every row of binned features."""
-        node = np.zeros(len(bins), np.int32)
-        rows = np.arange(len(bins))
-        while len(rows):
+        looked_at, onward, levels = self._steps
+        cells, first = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+        node = np.zeros(len(bins), np.intp)
+        for _ in range(min(levels, LEVELS_TOGETHER)):
+            node = onward.take((node << 8) + cells.take(first + looked_at.take(node)))
+        rows = np.arange(len(bins)) if levels > LEVELS_TOGETHER else first[:0]
+        while len(rows := rows[self.feature[node[rows]] >= 0]):
             at = node[rows]
-            inner = self.feature[at] >= 0
-            rows, at = rows[inner], at[inner]
-            own = bins[rows, self.feature[at]]
-            go_left = np.where(own == 0, self.missing_left[at], own <= self.bin[at])
-            node[rows] = np.where(go_left, self.left[at], self.right[at])
+            node[rows] = onward.take((at << 8) + cells.take(first[rows] + looked_at.take(at)))
         return node
 
 
@@ -198,6 +218,43 @@ def _wide(bins: np.ndarray) -> np.ndarray:
     return bins if bins.shape[1] else np.zeros((len(bins), 1), np.uint8)
 
 
+_BLOCKS = "part int, row binary, y binary, pred binary, bins binary"
+
+
+def _blocks(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The rows of ``values`` in blocks, each a binary value; ``ends`` has the first row of each block and the end of the last."""
+    offsets = (ends * (values.nbytes // max(len(values), 1))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(values).tobytes())])
+
+
+def _numbers(blocks: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all blocks one after the other, and how many each block has."""
+    _, offsets, data = blocks.buffers()
+    at = np.frombuffer(offsets, np.int32)[blocks.offset : blocks.offset + len(blocks) + 1]
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]].view(kind), np.diff(at) // np.dtype(kind).itemsize
+
+
+def in_blocks(rows: DataFrame, width: int) -> DataFrame:
+    """Rows ``(part, row, y, bins)`` of ``width`` bins in written blocks of one part each, so that a pass moves few values.
+
+    ``pred`` is null as long as all rows have the same prediction.
+    """
+    most = max(1, BLOCK_BYTES // (width + 24))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, row, y = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            bins = _numbers(batch.column(3), np.uint8)[0].reshape(len(part), width) if len(part) else None
+            for own in np.unique(part):
+                held = np.flatnonzero(part == own)
+                ends = np.append(np.arange(0, len(held), most), len(held))
+                cells = [_blocks(v[held], ends) for v in (row.astype(np.int64), y.astype(float), bins)]
+                whole = pa.array(np.full(len(ends) - 1, own, np.int32))
+                yield pa.RecordBatch.from_arrays([whole, *cells[:2], pa.nulls(len(whole), pa.binary()), cells[2]], names=["part", "row", "y", "pred", "bins"])
+
+    return stage(rows.select("part", "row", "y", "bins").mapInArrow(run, _BLOCKS), "blocks")
+
+
 def shrunk(total: np.ndarray, alpha: float) -> np.ndarray:
     """Sums of gradients after the L1 penalty: moved towards zero by ``alpha``."""
     return np.sign(total) * np.maximum(np.abs(total) - alpha, 0)
@@ -300,6 +357,22 @@ class _Growing:
             whole.value[pick], whole.gain[pick],
         )
 
+    def in_reach(self, ready: list[int], n: int) -> list[int]:
+        """Nodes without children that may be among the next ``n`` splits, so that one pass can sum the children of all.
+
+        A node waits for those above it, so its turn comes by the least gain on the way from an open leaf. With ``n``
+        known nodes before it, it is never reached, for nodes not known yet only come in between.
+        """
+        known, todo = [], [(self.nodes[k].split.gain, 0, k) for k in ready]
+        while todo:
+            gain, above, k = todo.pop()
+            node = self.nodes[k]
+            known.append((-gain, above, node.path, k))
+            for child in (node.left, node.right) if node.left >= 0 and above + 1 < n else ():
+                if split := self.nodes[child].split:
+                    todo.append((min(gain, split.gain), above + 1, child))
+        return [k for *_, k in sorted(known)[:n] if self.nodes[k].left < 0]
+
     def leaves(self) -> list[int]:
         """Nodes that rows of the taken tree end in."""
         out, todo = [], [0]
@@ -338,7 +411,6 @@ class Booster:
 
     def __init__(self, binned: Binned, step: int, loss: str, params: dict[str, Any], seed: int, use_val: bool = True, start: BoostedModel | None = None):
         self.binned, self.loss, self.seed = binned, loss, seed
-        self.n_tasks = binned.table.rdd.getNumPartitions()
         self.p = {"reg_alpha": 0.0, "reg_lambda": 0.0, "min_child_weight": 1, "subsample": 1.0, "colsample_bytree": 1.0, "colsample_bylevel": 1.0, **params}
         self.n_features = len(binned.names)
         self.width = max((len(c) for c in binned.cuts), default=0) + 2
@@ -359,15 +431,13 @@ class Booster:
         self.square_scale = 2.0 ** (bits - math.ceil(2 * math.log2(span)))
         self.trees: list[Tree] = list(start.trees) if start else []
         self.staged = 0
+        self.state = in_blocks(rows, max(self.n_features, 1))
+        self.n_tasks = self.state.rdd.getNumPartitions()
         if start:
             self.base = start.base
         else:
             self.base = 0.0
-            self.state = rows.select("part", "row", "y", F.lit(0.0).alias("pred"), "bins")
             self.base = self._mean(rows, known[0]["n"]) if loss == "squared" else self._medians(Tree(*_stump()), [0], {0: known[0]["n"]}, whole=True)[0]
-        self.state = rows.select("part", "row", "y", F.lit(self.base).alias("pred"), "bins")
-        self.staged = 0
-        self.own_state = False
 
     # ---- passes over the rows ----
 
@@ -377,25 +447,30 @@ class Booster:
         return rows.where("part = 0").agg(F.sum(whole).alias("s")).first()["s"] / self.error_scale / n
 
     def _read(self, batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        part, row, y, pred = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-        raw = batch.column(4)
-        _, offsets, data = raw.buffers()
-        first = np.frombuffer(offsets, np.int32)[raw.offset] if len(raw) else 0
-        width = max(self.n_features, 1)
-        bins = np.frombuffer(data, np.uint8)[first : first + len(raw) * width].reshape(len(raw), width)
-        return part, row, y, pred, bins
+        bins = _numbers(batch.column(4), np.uint8)[0].reshape(-1, max(self.n_features, 1))
+        y, rows = _numbers(batch.column(2), np.float64)
+        pred = np.full(len(y), float(self.base)) if batch.column(3).null_count else _numbers(batch.column(3), np.float64)[0]
+        return np.repeat(batch.column(0).to_numpy(), rows), _numbers(batch.column(1), np.int64)[0], y, pred, bins
 
-    def _rows(self, recent: Sequence[Tree]):
-        """A function from batches to (part, row, residual, bins) with the predictions of the recent trees in."""
+    def _rows(self, recent: Sequence[Tree], wanted: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None):
+        """A function from batches to (part, row, residual, prediction, bins) with the predictions of the recent trees in.
+
+        ``wanted`` tells from part and row which rows to return; without it, all.
+        """
 
         def read(batches: Iterable[pa.RecordBatch]):
             for batch in batches:
                 if batch.num_rows:
-                    part, row, y, pred, bins = self._read(batch)
-                    now = pred.copy()
-                    for tree in recent:
-                        now += tree.value[tree.places(bins)]
-                    yield part, row, y - now, now, bins
+                    whole = self._read(batch)
+                    for first in range(0, len(whole[0]), ROWS_AT_ONCE):
+                        part, row, y, pred, bins = (v[first : first + ROWS_AT_ONCE] for v in whole)
+                        if wanted is not None:
+                            held = wanted(part, row)
+                            part, row, y, pred, bins = part[held], row[held], y[held], pred[held], bins[held]
+                        now = pred.copy()
+                        for tree in recent:
+                            now += tree.value[tree.places(bins)]
+                        yield part, row, y - now, now, bins
 
         return read
 
@@ -422,31 +497,34 @@ class Booster:
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, recent, tree, nodes, with_error, turn = shared.value
-            cells = max(own.n_features, 1) * own.width
-            grad, count = np.zeros(len(nodes) * cells, np.int64), np.zeros(len(nodes) * cells, np.int64)
+            shape = (max(own.n_features, 1), len(nodes), own.width)
+            grad, count = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
+            size = len(nodes) * own.width
             error = np.zeros(2, np.int64)
             place_of = np.full(len(tree.feature), -1, np.int64)
             place_of[nodes] = np.arange(len(nodes))
-            for part, row, left, _, bins in own._rows(recent)(batches):
+            wanted = lambda part, row: own._in_sample(part, row, turn) | (with_error & (part == 1))
+            for part, _, left, _, bins in own._rows(recent, wanted)(batches):
                 if with_error:
                     off = np.minimum(np.abs(left[part == 1]), own.limit)
                     error += [np.rint(off * own.error_scale).astype(np.int64).sum(), np.rint(off * off * own.square_scale).astype(np.int64).sum()]
-                chosen = own._in_sample(part, row, turn)
-                bins, left = bins[chosen], left[chosen]
+                    bins, left = bins[part == 0], left[part == 0]
                 at = place_of[tree.places(bins)]
                 held = at >= 0
-                bins, left, at = bins[held], left[held], at[held]
+                columns, left, first = np.ascontiguousarray(bins[held].T), left[held], at[held] * own.width
                 if own.loss == "squared":
                     g = np.rint(np.clip(left, -own.limit, own.limit) * own.scale).astype(np.int64)
                 else:
                     g = np.sign(left).astype(np.int64)
-                for f in range(bins.shape[1]):
-                    index = at * cells + f * own.width + bins[:, f]
-                    count += np.bincount(index, minlength=len(count))
-                    # Two halves keep the sums of doubles inside bincount exact.
-                    high = g >> 26
-                    grad += np.bincount(index, high, len(grad)).astype(np.int64) << 26
-                    grad += np.bincount(index, g - (high << 26), len(grad)).astype(np.int64)
+                # Two halves keep the sums of doubles inside bincount exact.
+                high = g >> 26
+                low, high = (g - (high << 26)).astype(float), high.astype(float)
+                for f, column in enumerate(columns):
+                    index = first + column
+                    count[f] += np.bincount(index, minlength=size).reshape(shape[1:])
+                    grad[f] += (np.bincount(index, high, size).astype(np.int64) << 26).reshape(shape[1:])
+                    grad[f] += np.bincount(index, low, size).astype(np.int64).reshape(shape[1:])
+            grad, count = grad.transpose(1, 0, 2).ravel(), count.transpose(1, 0, 2).ravel()
             some = np.flatnonzero(count)
             cell = np.concatenate([some, [-1, -2]]) if with_error else some
             g = np.concatenate([grad[some], error]) if with_error else grad[some]
@@ -454,22 +532,22 @@ class Booster:
             yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(g), pa.array(n)], names=["cell", "g", "n"])
 
         self.binned.passes.append("sums")
-        added = self.state.mapInArrow(run, schema)
-        if self.n_tasks > 1:
-            added = added.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
-        added = added.toPandas()
+        added = (self.state if with_error else self.state.where("part = 0")).mapInArrow(run, schema)
         cells = max(self.n_features, 1) * self.width
-        grad, count = np.zeros(len(nodes) * cells, np.int64), np.zeros(len(nodes) * cells, np.int64)
-        cell, g, n = (added[c].to_numpy(np.int64) for c in ("cell", "g", "n"))
-        inner = cell >= 0
-        grad[cell[inner]], count[cell[inner]] = g[inner], n[inner]
-        error = dict(zip(cell[~inner].tolist(), g[~inner].tolist()))
+        if self.n_tasks * len(nodes) * cells > SUMS_ADDED:
+            added = added.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
+        added = added.toArrow()
+        # The errors have the cells -1 and -2, which are the last two.
+        grad, count = np.zeros(len(nodes) * cells + 2, np.int64), np.zeros(len(nodes) * cells + 2, np.int64)
+        cell, g, n = (added.column(c).to_numpy() for c in ("cell", "g", "n"))
+        np.add.at(grad, cell, g)
+        np.add.at(count, cell, n)
         shape = (max(self.n_features, 1), self.width)
         sums = {
             node: (grad[k * cells : (k + 1) * cells].reshape(shape) / self.scale, count[k * cells : (k + 1) * cells].reshape(shape))
             for k, node in enumerate(nodes)
         }
-        return sums, (error.get(-1, 0) / self.error_scale, error.get(-2, 0) / self.square_scale)
+        return sums, (int(grad[-1]) / self.error_scale, int(grad[-2]) / self.square_scale)
 
     def _medians(self, tree: Tree, leaves: list[int], counts: dict[int, int], whole: bool = False) -> list[float]:
         """Exact medians of what is left in each leaf, the mean of the two middle ones of an even number.
@@ -598,11 +676,6 @@ class Booster:
                     open_nodes += [growing.nodes[k].left, growing.nodes[k].right]
                 continue
             order = lambda k: (-growing.nodes[k].split.gain, growing.nodes[k].path)
-            ranked = sorted(ready, key=order)
-            if not ranked or n_leaves >= most:
-                return growing
-            # Children of all leaves that may still be split are summed in one pass; which of them count is decided after.
-            self._expand(growing, [k for k in ranked[: most - n_leaves] if growing.nodes[k].left < 0], columns, turn)
             while n_leaves < most:
                 ready = [k for k in open_nodes if growing.nodes[k].split]
                 best = min(ready, key=order, default=None)
@@ -612,6 +685,9 @@ class Booster:
                 open_nodes.remove(best)
                 open_nodes += [growing.nodes[best].left, growing.nodes[best].right]
                 n_leaves += 1
+            if n_leaves >= most or best is None:
+                return growing
+            self._expand(growing, growing.in_reach(ready, most - n_leaves), columns, turn)
 
     def _round(self, sums: tuple[np.ndarray, np.ndarray]) -> Tree:
         growing = self._grown(sums)
@@ -633,13 +709,13 @@ class Booster:
             own, recent = shared.value
             for batch in batches:
                 if batch.num_rows:
-                    for _, _, _, now, _ in own._rows(recent)([batch]):
-                        yield batch.set_column(3, "pred", pa.array(now))
+                    now = np.concatenate([now for _, _, _, now, _ in own._rows(recent)([batch])])
+                    ends = np.append(0, np.cumsum(_numbers(batch.column(2), np.float64)[1]))
+                    yield batch.set_column(3, "pred", _blocks(now, ends))
 
-        following = stage(self.state.mapInArrow(run, self.state.schema), "boosted")
-        if self.own_state:
-            drop_staged(self.state)
-        self.state, self.own_state, self.staged = following, True, len(self.trees)
+        following = stage(self.state.mapInArrow(run, _BLOCKS), "boosted")
+        drop_staged(self.state)
+        self.state, self.staged = following, len(self.trees)
         self.n_tasks = following.rdd.getNumPartitions()
 
     def fit(self, metric: str = "absolute", root_metric: bool = False) -> tuple[BoostedModel, list[float], int | None]:
@@ -669,8 +745,7 @@ class Booster:
             if ended:
                 break
             self.trees.append(self._round(sums[0]))
-        if self.own_state:
-            drop_staged(self.state)
+        drop_staged(self.state)
         kept = max(best, 1) if self.n_val and patience else len(self.trees) - before
         model = BoostedModel(self.binned.names, self.binned.cuts, float(self.base), tuple(self.trees[: before + kept]), self.loss, self.binned.flat)
         return model, history, (max(best, 1) if self.n_val else None)
