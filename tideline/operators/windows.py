@@ -11,6 +11,9 @@ its own, so a series of any length is spread over all tasks.
 
 Spark evaluates a sliding frame anew for each row, so its cost grows with the size of the window.  Statistics of
 long windows are put together from running ones instead, see ``block_frames``.
+
+The cells of a flat window are lags, so that reading one of them costs no array: code that joins arrays and takes them
+apart again, cell by cell, soon outgrows the 8,000 bytes of a method that the JVM compiles, and is interpreted.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from tideline.spec import SeriesSpec, WindowSpec
 CHUNK_ROWS = 65_536
 #: Window size from which rolling statistics are put together from blocks.
 BLOCKS_FROM = 48
+#: Cells of a flat window, of less than ``BLOCKS_FROM`` rows, up to which each is a lag of its own; more would swell the plan.
+MOST_LAGS = 512
 
 
 def _col(name: str) -> Column:
@@ -121,7 +126,10 @@ def industrial_features(sensors: Sequence[str], time_columns: Sequence[str], siz
 
 def flat_features(columns: Sequence[str], size: int, rows: Frame) -> Column:
     """All columns of all rows of the window, row after row."""
-    row = F.array(*[_col(c).cast("double") for c in columns])
+    values = [_col(c).cast("double") for c in columns]
+    if columns and size < BLOCKS_FROM and size * len(columns) <= MOST_LAGS:
+        return F.array(*[F.lag(v, back).over(rows) if back else v for back in range(size - 1, -1, -1) for v in values])
+    row = F.array(*values)
     return F.flatten(F.collect_list(row).over(rows.rowsBetween(-(size - 1), 0)))
 
 
